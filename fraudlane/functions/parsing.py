@@ -28,7 +28,11 @@ def parse_trans_date(c) -> Column:
     The fact column is ``timestamp(0)``: fractions of a second round half-up.
     """
     ts = F.to_timestamp_ntz(_col(c))
-    return F.date_trunc("second", ts + F.expr("INTERVAL '0.5' SECOND")).cast(T.TimestampNTZType())
+    # interval arithmetic keeps the wall clock; date_trunc would pass through the session zone
+    secs = F.date_part(F.lit("SECOND"), ts)
+    frac = secs - F.floor(secs)
+    whole = ts - F.make_dt_interval(secs=frac)
+    return F.when(frac >= 0.5, whole + F.make_dt_interval(secs=F.lit(1))).otherwise(whole)
 
 
 def parse_entry_date(c) -> Column:
@@ -42,5 +46,6 @@ def parse_iso_date(c) -> Column:
 
 
 def business_date_from_name(c) -> Column:
-    """Business date encoded as ``_DDMMYYYY.`` in a drop file name -> ``date``."""
-    return F.to_date(F.regexp_extract(_col(c), r"_(\d{8})\.", 1), "ddMMyyyy")
+    """Business date encoded as ``_DDMMYYYY.`` in a drop file name or path -> ``date``
+    (the last such group of a path wins)."""
+    return F.to_date(F.regexp_extract(_col(c), r".*_(\d{8})\.", 1), "ddMMyyyy")

@@ -61,11 +61,12 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transactions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same transactions as the daily text file carries them (all strings, decimal comma)."""
+    """The same transactions as the daily text file carries them: all strings, decimal
+    comma, and the event time with its microseconds (the load rounds it to seconds)."""
     tr = transactions(spark, sf_dir)
     return tr.select(
         "trans_id",
-        F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss").alias("trans_date"),
+        F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("trans_date"),
         F.regexp_replace(_s("amt"), r"\.", ",").alias("amt"),
         "card_num", "oper_type", "oper_result", "terminal",
     )
@@ -143,6 +144,22 @@ def blacklist_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def terminals_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The terminals sheet as it arrives: text padded with spaces around every field."""
+    t = terminals_rows(spark, sf_dir)
+    return t.select(*[F.concat(F.lit("  "), F.col(c), F.lit(" ")).alias(c) for c in t.columns])
+
+
+def blacklist_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The blacklist sheet: every listed passport, entry date spread over January 2024."""
+    k = F.col("c_custkey")
+    return _read(spark, sf_dir, "customer").where(k % 29 == 3).select(
+        F.date_format(F.date_add(date_lit(BLACKLIST_ENTRY), (k % 20).cast("int")), "yyyy-MM-dd")
+         .alias("entry_dt"),
+        F.concat(F.lit("PN"), _s(k)).alias("passport_num"),
+    )
+
+
 @dataclass
 class BankTables:
     fact_transactions: DataFrame
