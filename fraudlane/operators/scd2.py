@@ -90,10 +90,18 @@ def scd2_apply(hist: DataFrame, stage: DataFrame, keys: DataFrame | None, spec:
                load_ts, deleted_from=None) -> DataFrame:
     """New history after one daily load of ``stage`` (and, if given, the full ``keys``
     snapshot). ``load_ts`` starts deleted versions (terminals pass the file date)."""
+    closed = hist.where(~is_open()).select(*spec.columns)
+    return closed.unionByName(scd2_step(hist.where(is_open()), stage, keys, spec, load_ts, deleted_from))
+
+
+def scd2_step(open_versions: DataFrame, stage: DataFrame, keys: DataFrame | None, spec: DimSpec,
+              load_ts, deleted_from=None) -> DataFrame:
+    """The part of the history a load touches, from the open versions alone: the versions
+    it closes (with their new end) and all open versions afterwards. The closed history is
+    not needed, so a daily load reads and writes only about one row per key."""
     cols = list(spec.columns)
     load = _ts(deleted_from if deleted_from is not None else load_ts)
-    closed = hist.where(~is_open()).select(*cols)
-    opened = hist.where(is_open()).select(
+    opened = open_versions.select(
         F.col(spec.key).alias("_key"),
         F.struct(*[F.col(c) for c in spec.attributes + ("effective_from", "effective_to",
                                                           "deleted_flg")]).alias("h"))
@@ -133,8 +141,7 @@ def scd2_apply(hist: DataFrame, stage: DataFrame, keys: DataFrame | None, spec:
                           _version(spec, "h", load, end, FLAG_DELETED))) \
             .otherwise(F.array(_version(spec, "h", h_from, h_to, h_flag)))
     versions = F.when(~has_h, new_rows).when(changed, changed_rows).otherwise(kept)
-    current = j.select(F.inline(versions)).select(*cols)
-    return closed.unionByName(current)
+    return j.select(F.inline(versions)).select(*cols)
 
 
 # ---------------------------------------------------------------------------
