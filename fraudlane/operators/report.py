@@ -46,10 +46,15 @@ def empty_report(spark) -> DataFrame:
 def fraud_mart(tables, report_dt=None, existing: DataFrame | None = None, versions: str = "all",
                city_window=CITY_HOP, probe_window=PROBE, slice_width=None) -> DataFrame:
     """The whole report step: enrich once, two lag windows on one shuffle, classify, and
-    keep the rows not reported yet. ``tables`` carries the facts and history tables."""
+    keep the rows not reported yet. ``tables`` carries the facts and history tables.
+
+    ``versions='all'`` (the source system's report) joins every dimension version;
+    ``'current'`` joins open versions only, which also lets the rule flags stay inside the
+    client partitioning (see :func:`.rules.classify`)."""
     enriched = enrich_transactions(
         tables.fact_transactions, tables.dim_cards_hist, tables.dim_accounts_hist,
         tables.dim_clients_hist, tables.dim_terminals_hist, tables.fact_passport_blacklist,
         versions=versions)
-    classified = classify(enriched, city_window, probe_window, slice_width)
+    copies = "global" if versions == "all" else "local"
+    classified = classify(enriched, city_window, probe_window, slice_width, copies)
     return not_yet_reported(report_rows(classified, report_dt), existing)

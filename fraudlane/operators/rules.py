@@ -62,7 +62,7 @@ def amount_probe_rule(window=PROBE) -> Column:
 
 
 def with_rule_lags(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE,
-                   slice_width=None) -> DataFrame:
+                   slice_width=None, keep_slices: bool = False) -> DataFrame:
     """Add the lag columns rules 3 and 4 read.
 
     Values are exact wherever a rule can fire: a predecessor older than the rule's horizon
@@ -79,18 +79,38 @@ def with_rule_lags(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE
         lags += [F.lag("trans_date", k).over(by_card).alias(f"trans_date_{k}"),
                  F.lag("amt", k).over(by_card).alias(f"amt_{k}"),
                  F.lag("oper_result", k).over(by_card).alias(f"result_{k}")]
-    return home_rows(x.select("*", *lags))
+    x = x.select("*", *lags)
+    return x if keep_slices else home_rows(x)
 
 
 def classify(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE,
-             slice_width=None) -> DataFrame:
-    """Every enriched row with ``event_type`` '1'..'4' (first matching rule) or null."""
-    x = with_rule_lags(enriched, city_window, probe_window, slice_width)
+             slice_width=None, copies: str = "global") -> DataFrame:
+    """Every enriched row with ``event_type`` '1'..'4' (first matching rule) or null.
+
+    ``copies`` says where other rows of the same ``trans_id`` can be:
+
+    * ``'global'`` (any history): copies may belong to different clients, so the flagged
+      ids are aggregated and joined back on ``trans_id`` (AQE broadcasts the flagged set
+      when it measures small, else both sides are shuffled on ``trans_id``);
+    * ``'local'`` (one version per key, e.g. ``versions='current'``): copies can only be
+      repeated fact rows, which share client and time slice, so a window over
+      ``(client_id, _slice, trans_id)`` spreads the flags inside the existing partitioning,
+      with no further exchange.
+    """
+    x = with_rule_lags(enriched, city_window, probe_window, slice_width, keep_slices=True)
     hop, probe = city_hop_rule(city_window), amount_probe_rule(probe_window)
-    flagged = (x.where(hop | probe)
-                .groupBy("trans_id")
-                .agg(F.max(hop).alias("any_hop"), F.max(probe).alias("any_probe")))
-    x = x.join(flagged, "trans_id", "left")
+    if copies == "local":
+        same = Window.partitionBy("client_id", "_slice", "trans_id")
+        x = x.select("*", F.max(hop).over(same).alias("any_hop"), F.max(probe).over(same).alias("any_probe"))
+        x = home_rows(x)
+    elif copies == "global":
+        x = home_rows(x)
+        flagged = (x.where(hop | probe)
+                    .groupBy("trans_id")
+                    .agg(F.max(hop).alias("any_hop"), F.max(probe).alias("any_probe")))
+        x = x.join(flagged, "trans_id", "left")
+    else:
+        raise ValueError(f"copies must be 'global' or 'local', not {copies!r}")
     event_type = (F.when(passport_rule(), "1").when(contract_rule(), "2")
                   .when(F.col("any_hop"), "3").when(F.col("any_probe"), "4"))
     return x.withColumn("event_type", event_type)

@@ -55,6 +55,14 @@ def q_fraud_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fraud_mart(t, REPORT_DT, existing, probe_window=PROBE_WINDOW)
 
 
+@register("fraud_mart_current")
+def q_fraud_mart_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 over current versions only (history with extra versions, FIXTURES §3.1): the
+    evident intent of the report, and the plan without a ``trans_id`` shuffle."""
+    t = with_extra_versions(bank_tables(spark, sf_dir))
+    return fraud_mart(t, REPORT_DT, None, versions="current", probe_window=PROBE_WINDOW)
+
+
 @register("report_incremental")
 def q_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rerun on the same report date after a morning run that saw the transactions

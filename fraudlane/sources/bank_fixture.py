@@ -184,17 +184,21 @@ def bank_tables(spark: SparkSession, sf_dir: str) -> BankTables:
 
 def with_extra_versions(tables: BankTables, clients: bool = True, terminal: bool = True) -> BankTables:
     """FIXTURES §3.1: a second version of clients with ``k % 7 = 1`` (same attributes) and of
-    terminal ``T3`` in city ``ELSEWHERE``; both start on 2024-01-05."""
-    start = "2024-01-05 00:00:00"
+    terminal ``T3`` in city ``ELSEWHERE``; both start on 2024-01-05 and the first versions
+    end the day before."""
+    start, end_before = "2024-01-05 00:00:00", "2024-01-04 00:00:00"
     cl, tm = tables.dim_clients_hist, tables.dim_terminals_hist
+
+    def split(df, moved):
+        old = df.withColumn("effective_to", F.when(moved, ts_lit(end_before)).otherwise(F.col("effective_to")))
+        return old, df.where(moved).drop("effective_from", "effective_to", "deleted_flg")
+
     if clients:
-        extra = cl.where(F.col("client_id").cast("bigint") % 7 == 1).drop(
-            "effective_from", "effective_to", "deleted_flg")
+        cl, extra = split(cl, F.col("client_id").cast("bigint") % 7 == 1)
         cl = cl.unionByName(_scd(extra, start))
     if terminal:
-        extra = tm.where(F.col("terminal_id") == "T3").drop(
-            "effective_from", "effective_to", "deleted_flg").withColumn("terminal_city", F.lit("ELSEWHERE"))
-        tm = tm.unionByName(_scd(extra, start))
+        tm, extra = split(tm, F.col("terminal_id") == "T3")
+        tm = tm.unionByName(_scd(extra.withColumn("terminal_city", F.lit("ELSEWHERE")), start))
     return BankTables(tables.fact_transactions, tables.fact_passport_blacklist, tm,
                       tables.dim_cards_hist, tables.dim_accounts_hist, cl)
 
