@@ -8,6 +8,7 @@ with the SQL oracle (``oracle_queries.py``); see ``FIXTURES.md``.
 
 from __future__ import annotations
 
+import weakref
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,8 +40,18 @@ def _s(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
+_SCANS: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One scan DataFrame per session and table: the file listing and footer read happen
+    once, and every derived table reuses the same relation (Catalyst still prunes columns
+    and pushes filters per use)."""
+    scans = _SCANS.setdefault(spark, {})
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in scans:
+        scans[path] = spark.read.parquet(path)
+    return scans[path]
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
