@@ -58,7 +58,7 @@ def _differs(spec: DimSpec, a: str, b: str) -> Column:
 
 
 def _typed(spec: DimSpec, src: str, c: str) -> Column:
-    return F.col(f"{src}.{c}").cast(spec.history_schema()[c].dataType)
+    return F.col(f"{src}.{c}").cast(spec.type_name(c))
 
 
 def _version(spec: DimSpec, src: str, start: Column, end: Column, flag) -> Column:

@@ -118,6 +118,10 @@ class DimSpec:
         """History columns in table order: key, attributes, then the SCD triple."""
         return (self.key,) + self.attributes + SCD_COLUMNS
 
+    def type_name(self, column: str) -> str:
+        """SQL type name of an attribute (a string cast is one cheap JVM call)."""
+        return self.types.get(column, S).simpleString()
+
     def history_schema(self) -> T.StructType:
         fields = [T.StructField(self.key, S)]
         fields += [T.StructField(c, self.types.get(c, S)) for c in self.attributes]
