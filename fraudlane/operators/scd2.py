@@ -61,16 +61,6 @@ def _typed(spec: DimSpec, src: str, c: str) -> Column:
     return F.col(f"{src}.{c}").cast(spec.type_name(c))
 
 
-def _version(spec: DimSpec, src: str, start: Column, end: Column, flag) -> Column:
-    """One history row as a struct, attributes taken from struct column ``src``."""
-    flag_col = flag if isinstance(flag, Column) else F.lit(flag)
-    fields = [F.col("_key").cast("string").alias(spec.key)]
-    fields += [_typed(spec, src, c).alias(c) for c in spec.attributes]
-    fields += [start.cast("timestamp_ntz").alias("effective_from"),
-               end.cast("timestamp_ntz").alias("effective_to"), flag_col.alias("deleted_flg")]
-    return F.struct(*fields)
-
-
 def _stamp(stage: DataFrame, c: str) -> Column:
     return (F.col(c) if c in stage.columns else F.lit(None)).cast("timestamp_ntz").alias(c)
 
@@ -125,21 +115,29 @@ def scd2_step(open_versions: DataFrame, stage: DataFrame, keys: DataFrame | None
     changed = has_h & has_s & (_differs(spec, "s", "h") | (h_flag == FLAG_DELETED))
     chg_from = _changed_from()
 
+    # attribute lists built once and shared by every version struct (Columns are immutable)
+    key = F.col("_key").cast("string").alias(spec.key)
+    attrs = {src: [_typed(spec, src, c).alias(c) for c in spec.attributes] for src in ("s", "h")}
+    live, deleted = F.lit(FLAG_LIVE), F.lit(FLAG_DELETED)
+
+    def version(src, start, stop, flag):
+        return F.struct(key, *attrs[src], start.cast("timestamp_ntz").alias("effective_from"),
+                        stop.cast("timestamp_ntz").alias("effective_to"), flag.alias("deleted_flg"))
+
     # new key (D1), then possibly deleted in the same load
-    new_rows = F.when(gone, F.array(_version(spec, "s", s_new_from, before_load, FLAG_LIVE),
-                                    _version(spec, "s", load, end, FLAG_DELETED))) \
-                .otherwise(F.array(_version(spec, "s", s_new_from, end, FLAG_LIVE)))
+    new_live = version("s", s_new_from, end, live)
+    new_rows = F.when(gone, F.array(version("s", s_new_from, before_load, live),
+                                    version("s", load, end, deleted))) \
+                .otherwise(F.array(new_live))
     # changed or revived (D2/D3), the new version possibly deleted right away
-    old_closed = _version(spec, "h", h_from, chg_from - _one_day(), h_flag)
-    changed_rows = F.when(gone, F.array(old_closed,
-                                        _version(spec, "s", chg_from, before_load, FLAG_LIVE),
-                                        _version(spec, "s", load, end, FLAG_DELETED))) \
-                    .otherwise(F.array(old_closed, _version(spec, "s", chg_from, end, FLAG_LIVE)))
+    old_closed = version("h", h_from, chg_from - _one_day(), h_flag)
+    s_deleted = version("s", load, end, deleted)
+    changed_rows = F.when(gone, F.array(old_closed, version("s", chg_from, before_load, live), s_deleted)) \
+                    .otherwise(F.array(old_closed, version("s", chg_from, end, live)))
     # unchanged open version: kept, or deleted when live and missing from the snapshot
     kept = F.when(gone & (h_flag == FLAG_LIVE),
-                  F.array(_version(spec, "h", h_from, before_load, h_flag),
-                          _version(spec, "h", load, end, FLAG_DELETED))) \
-            .otherwise(F.array(_version(spec, "h", h_from, h_to, h_flag)))
+                  F.array(version("h", h_from, before_load, h_flag), version("h", load, end, deleted))) \
+            .otherwise(F.array(version("h", h_from, h_to, h_flag)))
     versions = F.when(~has_h, new_rows).when(changed, changed_rows).otherwise(kept)
     return j.select(F.inline(versions)).select(*cols)
 
