@@ -63,6 +63,14 @@ def q_fraud_mart_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fraud_mart(t, REPORT_DT, None, versions="current", probe_window=PROBE_WINDOW)
 
 
+@register("fraud_mart_as_of")
+def q_fraud_mart_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 joining each transaction to the versions valid at its time (Q1 'as_of'):
+    T3 is in its old city before 2024-01-05 and ELSEWHERE after."""
+    t = with_extra_versions(bank_tables(spark, sf_dir))
+    return fraud_mart(t, REPORT_DT, None, versions="as_of", probe_window=PROBE_WINDOW)
+
+
 @register("report_incremental")
 def q_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rerun on the same report date after a morning run that saw the transactions
@@ -153,6 +161,13 @@ def q_enrich_all_versions(spark, sf_dir):
                                "passport_num", "terminal_city")
 
 
+@register("enrich_transactions_as_of")
+def q_enrich_as_of(spark, sf_dir):
+    """J7 as an as-of join: one row per transaction, the versions in effect at its time."""
+    t = with_extra_versions(bank_tables(spark, sf_dir))
+    return _enriched(t, "as_of").select(*ENRICHED_COLUMNS)
+
+
 @register("lag_client")
 def q_lag_client(spark, sf_dir):
     """Previous date and city per client (unbounded lag, time-sliced)."""

@@ -169,3 +169,39 @@ def test_exact_lags_match_window_lag(spark):
     cols = ["trans_id", *specs]
     assert got.select(cols).exceptAll(want.select(cols)).count() == 0
     assert want.select(cols).exceptAll(got.select(cols)).count() == 0
+
+
+def test_as_of_joins_the_version_in_effect(spark):
+    """Card known from 01-01, its account only from 01-05, the client moves on 01-07; a
+    same-day change (version ended before it started) never matches."""
+    from datetime import datetime as dt
+    from fraudlane.schemas import ACCOUNTS, CARDS, CLIENTS, FACT_TRANSACTIONS, TERMINALS
+    end = dt(9999, 12, 31)
+    fact = spark.createDataFrame(
+        [(f"t{d}", dt(2024, 1, d, 12), "C1", "DEPOSIT", None, "SUCCESS", "T1") for d in (3, 6, 8)],
+        FACT_TRANSACTIONS)
+    cards = spark.createDataFrame([("C1", "A1", dt(2024, 1, 1), end, "N")], CARDS.history_schema())
+    accounts = spark.createDataFrame([("A1", date(2030, 1, 1), "1", dt(2024, 1, 5), end, "N")],
+                                     ACCOUNTS.history_schema())
+    clients = spark.createDataFrame(
+        [("1", "Old", "X", "P", "P1", None, "+1", None, dt(2024, 1, 1), dt(2024, 1, 6), "N"),
+         ("1", "Gone", "X", "P", "P1", None, "+1", None, dt(2024, 1, 7), dt(2024, 1, 6), "N"),
+         ("1", "New", "X", "P", "P1", None, "+1", None, dt(2024, 1, 7), end, "N")],
+        CLIENTS.history_schema())
+    terminals = spark.createDataFrame([("T1", "POS", "Moscow", "a", dt(2024, 1, 1), end, "N")],
+                                      TERMINALS.history_schema())
+    e = enrich_transactions(fact, cards, accounts, clients, terminals, versions="as_of")
+    got = {r.trans_id: (r.card_num_dim, r.client_id, r.last_name) for r in e.collect()}
+    assert got == {"t3": ("C1", None, None), "t6": ("C1", "1", "Old"), "t8": ("C1", "1", "New")}
+
+
+@pytest.mark.parametrize("copies", ["global", "local"])
+def test_duplicate_fact_rows_are_flagged_together(spark, copies):
+    """The second copy's own lag is its twin (same city), yet IN-semantics flag both."""
+    rows = hop(600)
+    rows.append(rows[1])
+    t = tables(spark, rows)
+    e = enrich_transactions(t.fact_transactions, t.dim_cards_hist, t.dim_accounts_hist,
+                            t.dim_clients_hist, t.dim_terminals_hist, t.fact_passport_blacklist)
+    got = [r.event_type for r in classify(e, copies=copies).where("trans_id = 'b'").collect()]
+    assert got == ["3", "3"]
