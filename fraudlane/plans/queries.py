@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.text import full_name
 from ..operators.enrich import enrich_transactions
 from ..operators.lags import exact_lags
-from ..operators.report import fraud_mart, not_yet_reported, report_rows
+from ..operators.report import fraud_mart, report_rows
 from ..operators.rules import (amount_probe_rule, city_hop_rule, classify, contract_rule,
                                passport_rule, window_order, with_rule_lags)
 from ..schemas import ts_lit

@@ -205,3 +205,17 @@ def test_duplicate_fact_rows_are_flagged_together(spark, copies):
                             t.dim_clients_hist, t.dim_terminals_hist, t.fact_passport_blacklist)
     got = [r.event_type for r in classify(e, copies=copies).where("trans_id = 'b'").collect()]
     assert got == ["3", "3"]
+
+
+def test_fanout_class_sizes_match_fixtures(spark):
+    """FIXTURES §3.1, both extra versions at sf0.01: rows / distinct transactions per class."""
+    from conftest import SF001
+    from fraudlane.sources.bank_fixture import bank_tables, with_extra_versions
+    t = with_extra_versions(bank_tables(spark, SF001))
+    e = enrich_transactions(t.fact_transactions, t.dim_cards_hist, t.dim_accounts_hist,
+                            t.dim_clients_hist, t.dim_terminals_hist, t.fact_passport_blacklist)
+    c = classify(e, probe_window=timedelta(days=7))
+    got = {r.event_type: (r.rows, r.ids) for r in
+           c.groupBy("event_type").agg(F.count("*").alias("rows"),
+                                       F.countDistinct("trans_id").alias("ids")).collect()}
+    assert got == {"1": (881, 708), "2": (394, 315), "3": (2837, 1550), "4": (5, 5), None: (8489, 7422)}
