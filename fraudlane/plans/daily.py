@@ -121,8 +121,13 @@ class DayDrop:
     clients: DataFrame
 
 
-def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_window=None) -> None:
-    """Steps 0-9 of the daily run for ``load_id`` (must exceed every earlier load id)."""
+def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_window=None,
+            report_since=None, versions: str = "all") -> None:
+    """Steps 0-9 of the daily run for ``load_id`` (must exceed every earlier load id).
+
+    ``report_since`` limits the report to transactions from then on (facts are read from one
+    rule horizon earlier); by default the whole history is re-reported each day (Q4).
+    ``versions`` is passed to the report ('all', 'current' or 'as_of')."""
     # staging and marks (state as of the loads before this one)
     meta = seed_marks(wh.meta(before=load_id))
     stages = {"terminals": stage_terminals(drop.terminals, drop.business_date)}
@@ -164,7 +169,8 @@ def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_
         kwargs["probe_window"] = probe_window
     if city_window is not None:
         kwargs["city_window"] = city_window
-    rows = fraud_mart(tables, drop.report_dt, wh.report(before=load_id), **kwargs)
+    rows = fraud_mart(tables, drop.report_dt, wh.report(before=load_id), versions=versions,
+                      since=report_since, **kwargs)
     wh.write(rows, "rep_fraud", load_id)
     wh.publish(load_id, REPORTED)
 

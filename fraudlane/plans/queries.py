@@ -24,6 +24,7 @@ from ..sources.bank_fixture import BankTables, bank_tables, with_extra_versions
 REPORT_DT = "2024-02-01"
 PROBE_WINDOW = timedelta(days=7)
 MORNING_CUTOFF = "2024-01-08 00:00:00"
+SINCE = "2024-01-10 00:00:00"
 
 QUERIES: dict = {}
 
@@ -71,6 +72,14 @@ def q_fraud_mart_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fraud_mart(t, REPORT_DT, None, versions="as_of", probe_window=PROBE_WINDOW)
 
 
+@register("fraud_mart_since")
+def q_fraud_mart_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 for transactions from 2024-01-10 on, reading facts only from one rule horizon
+    earlier (the daily run's incremental report)."""
+    t = bank_tables(spark, sf_dir)
+    return fraud_mart(t, REPORT_DT, None, probe_window=PROBE_WINDOW, since=SINCE)
+
+
 @register("report_incremental")
 def q_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rerun on the same report date after a morning run that saw the transactions
