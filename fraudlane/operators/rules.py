@@ -83,34 +83,41 @@ def with_rule_lags(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE
     return x if keep_slices else home_rows(x)
 
 
+def _spread_nulls() -> Column:
+    """Extra partition key that scatters rows without ``trans_id`` by content: their flags are
+    not spread (``NULL IN (...)`` is never true), so they must not pile into one task."""
+    return F.when(F.col("trans_id").isNull(),
+                  F.xxhash64("trans_date", "card_num", "terminal", "amt", "oper_type"))
+
+
 def classify(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE,
              slice_width=None, copies: str = "global") -> DataFrame:
     """Every enriched row with ``event_type`` '1'..'4' (first matching rule) or null.
 
-    ``copies`` says where other rows of the same ``trans_id`` can be:
+    Rules 3 and 4 flag a ``trans_id`` when any of its rows matches. ``copies`` says where
+    the other rows of a ``trans_id`` can be:
 
-    * ``'global'`` (any history): copies may belong to different clients, so the flagged
-      ids are aggregated and joined back on ``trans_id`` (AQE broadcasts the flagged set
-      when it measures small, else both sides are shuffled on ``trans_id``);
+    * ``'global'`` (any history): copies may belong to different clients, so the flags are
+      spread by a window over ``trans_id`` (one exchange of the classified rows; the
+      enrichment and the lag windows run once);
     * ``'local'`` (one version per key, e.g. ``versions='current'``): copies can only be
-      repeated fact rows, which share client and time slice, so a window over
-      ``(client_id, _slice, trans_id)`` spreads the flags inside the existing partitioning,
-      with no further exchange.
+      repeated fact rows, which share client and time slice, so the window runs over
+      ``(client_id, _slice, trans_id)`` inside the existing partitioning, with no exchange.
     """
     x = with_rule_lags(enriched, city_window, probe_window, slice_width, keep_slices=True)
     hop, probe = city_hop_rule(city_window), amount_probe_rule(probe_window)
     if copies == "local":
-        same = Window.partitionBy("client_id", "_slice", "trans_id")
-        x = x.select("*", F.max(hop).over(same).alias("any_hop"), F.max(probe).over(same).alias("any_probe"))
-        x = home_rows(x)
+        same = Window.partitionBy("client_id", "_slice", "trans_id", _spread_nulls())
     elif copies == "global":
         x = home_rows(x)
-        flagged = (x.where(hop | probe)
-                    .groupBy("trans_id")
-                    .agg(F.max(hop).alias("any_hop"), F.max(probe).alias("any_probe")))
-        x = x.join(flagged, "trans_id", "left")
+        same = Window.partitionBy("trans_id", _spread_nulls())
     else:
         raise ValueError(f"copies must be 'global' or 'local', not {copies!r}")
+    known = F.col("trans_id").isNotNull()
+    x = x.select("*", F.when(known, F.max(hop).over(same)).alias("any_hop"),
+                 F.when(known, F.max(probe).over(same)).alias("any_probe"))
+    if copies == "local":
+        x = home_rows(x)
     event_type = (F.when(passport_rule(), "1").when(contract_rule(), "2")
                   .when(F.col("any_hop"), "3").when(F.col("any_probe"), "4"))
     return x.withColumn("event_type", event_type)
