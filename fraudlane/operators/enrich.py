@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.skew import SPREAD, no_spread, null_spread
 from ..schemas import OPEN_END, ts_lit
 
 VERSION_ORDER = ("card_version", "account_version", "client_version", "terminal_version")
@@ -136,15 +137,19 @@ def enrich_transactions(fact: DataFrame, cards: DataFrame, accounts: DataFrame,
         F.col("effective_from").alias("terminal_version"))
     f = fact.select("trans_id", "trans_date", "card_num", "oper_type", "amt", "oper_result",
                     "terminal")
+    # a fact row without a card number matches nothing: spread those over all tasks
+    f = f.select("*", null_spread(["card_num"], ["trans_id", "trans_date", "terminal"]))
+    prof = prof.select("*", no_spread())
+    card_match = (F.trim(f.card_num) == prof.card_key) & (f[SPREAD] == prof[SPREAD])
     if versions != "as_of":
-        out = (f.join(prof, F.trim(f.card_num) == prof.card_key, "left")
+        out = (f.join(prof, card_match, "left")
                 .join(tm, f.terminal == tm.terminal_key, "left"))
-        return out.drop("card_key", "terminal_key")
+        return out.drop("card_key", "terminal_key", SPREAD)
     tm = _validity(_versions(terminals, versions).select(
         F.col("terminal_id").alias("terminal_key"), "terminal_city",
         F.col("effective_from").alias("terminal_version"), "effective_from", "effective_to"),
         "terminal_key", "t", placeholder=False)
     t = f.trans_date
-    out = (f.join(prof, (F.trim(f.card_num) == prof.card_key) & _in_interval(t, "valid"), "left")
+    out = (f.join(prof, card_match & _in_interval(t, "valid"), "left")
             .join(tm, (f.terminal == tm.terminal_key) & _in_interval(t, "t"), "left"))
-    return out.drop("card_key", "terminal_key", "valid_from", "valid_until", "t_from", "t_until")
+    return out.drop("card_key", "terminal_key", "valid_from", "valid_until", "t_from", "t_until", SPREAD)

@@ -219,3 +219,15 @@ def test_fanout_class_sizes_match_fixtures(spark):
            c.groupBy("event_type").agg(F.count("*").alias("rows"),
                                        F.countDistinct("trans_id").alias("ids")).collect()}
     assert got == {"1": (881, 708), "2": (394, 315), "3": (2837, 1550), "4": (5, 5), None: (8489, 7422)}
+
+
+def test_null_card_rows_join_nothing_and_are_spread(spark):
+    rows = [("a", "2024-01-05 10:00:00", None, "DEPOSIT", 10, "SUCCESS", "T1"),
+            ("b", "2024-01-05 10:05:00", None, "DEPOSIT", 10, "SUCCESS", "T2")]
+    t = tables(spark, rows)
+    e = enrich_transactions(t.fact_transactions, t.dim_cards_hist, t.dim_accounts_hist,
+                            t.dim_clients_hist, t.dim_terminals_hist, t.fact_passport_blacklist)
+    assert not any(c.startswith("_") for c in e.columns)
+    got = sorted((r.trans_id, r.client_id, r.terminal_city) for r in e.collect())
+    assert got == [("a", None, "Moscow"), ("b", None, "Kazan")]
+    assert classes(spark, t)["b"] == "3"  # both land in the null client's window
