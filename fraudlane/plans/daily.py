@@ -23,10 +23,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.facts import new_blacklist, new_transactions
-from ..operators.report import empty_report, fraud_mart
+from ..operators.report import fraud_mart
 from ..operators.scd2 import empty_history, is_open, scd2_step
-from ..operators.watermark import (advance_mark, advance_terminals_mark, empty_meta,
-                                   read_mark, seed_marks)
+from ..operators.watermark import advance_mark, advance_terminals_mark, read_mark, seed_marks
 from ..schemas import DIMENSIONS, FACT_BLACKLIST, FACT_TRANSACTIONS, META, REPORT
 from ..sources.bank_fixture import BankTables
 from ..sources.extracts import incremental_extract, key_snapshot
@@ -44,7 +43,7 @@ class Warehouse:
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _read(self, table: str, schema) -> DataFrame | None:
+    def _read(self, table: str) -> DataFrame | None:
         try:
             return self.spark.read.parquet(self._path(table))
         except AnalysisException:
@@ -52,7 +51,7 @@ class Warehouse:
 
     def published(self, phase: str, before: int | None = None) -> list[int]:
         """Load ids published for ``phase`` (a handful of metadata rows)."""
-        pub = self._read("published", None)
+        pub = self._read("published")
         if pub is None:
             return []
         pub = pub.where(F.col("phase") == phase)
@@ -61,7 +60,7 @@ class Warehouse:
         return sorted({r["load_id"] for r in pub.select("load_id").distinct().collect()})
 
     def _loads(self, table: str, schema, ids: list[int]) -> DataFrame:
-        df = self._read(table, schema) if ids else None
+        df = self._read(table) if ids else None
         if df is None:
             return self.spark.createDataFrame([], schema)
         return df.where(F.col("load_id").isin(ids)).select(*schema.names)
@@ -75,7 +74,7 @@ class Warehouse:
         ids = self.published(LOAD, before)
         if not ids:
             return empty_history(self.spark, spec)
-        df = self._read(f"dim_{dim}", None)
+        df = self._read(f"dim_{dim}")
         return df.where((F.col("load_id") == ids[-1]) & (F.col("state") == "open")).select(*spec.columns)
 
     def history(self, dim: str, before: int | None = None) -> DataFrame:
@@ -83,7 +82,7 @@ class Warehouse:
         ids = self.published(LOAD, before)
         if not ids:
             return empty_history(self.spark, spec)
-        df = self._read(f"dim_{dim}", None)
+        df = self._read(f"dim_{dim}")
         closed = df.where(F.col("load_id").isin(ids) & (F.col("state") == "closed"))
         latest = df.where((F.col("load_id") == ids[-1]) & (F.col("state") == "open"))
         return closed.select(*spec.columns).unionByName(latest.select(*spec.columns))
@@ -159,11 +158,13 @@ def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_
     wh.publish(load_id, LOAD)
 
     # report over everything published so far, appended without repeats (second commit)
+    # open versions are all a 'current' report needs; 'all' and 'as_of' read the history
+    dim = wh.open_versions if versions == "current" else wh.history
     tables = BankTables(
         fact_transactions=wh.fact("fact_transactions"),
         fact_passport_blacklist=wh.fact("fact_passport_blacklist"),
-        dim_terminals_hist=wh.history("terminals"), dim_cards_hist=wh.history("cards"),
-        dim_accounts_hist=wh.history("accounts"), dim_clients_hist=wh.history("clients"))
+        dim_terminals_hist=dim("terminals"), dim_cards_hist=dim("cards"),
+        dim_accounts_hist=dim("accounts"), dim_clients_hist=dim("clients"))
     kwargs = {}
     if probe_window is not None:
         kwargs["probe_window"] = probe_window
@@ -171,9 +172,5 @@ def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_
         kwargs["city_window"] = city_window
     rows = fraud_mart(tables, drop.report_dt, wh.report(before=load_id), versions=versions,
                       since=report_since, **kwargs)
-    wh.write(rows, "rep_fraud", load_id)
+    wh.write(rows, "rep_fraud", load_id, partition_by="report_dt")
     wh.publish(load_id, REPORTED)
-
-
-def empty_inputs(spark: SparkSession):
-    return empty_meta(spark), empty_report(spark)
