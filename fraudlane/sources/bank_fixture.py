@@ -181,8 +181,19 @@ class BankTables:
     dim_clients_hist: DataFrame
 
 
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
+
+
 def bank_tables(spark: SparkSession, sf_dir: str) -> BankTables:
-    """Facts and single-version SCD2 dimensions for the fraud mart."""
+    """Facts and single-version SCD2 dimensions for the fraud mart (built once per session
+    and scale; DataFrames are immutable plans, so sharing them is safe)."""
+    cache = _TABLES.setdefault(spark, {})
+    if sf_dir not in cache:
+        cache[sf_dir] = _bank_tables(spark, sf_dir)
+    return cache[sf_dir]
+
+
+def _bank_tables(spark: SparkSession, sf_dir: str) -> BankTables:
     return BankTables(
         fact_transactions=transactions(spark, sf_dir),
         fact_passport_blacklist=blacklist_rows(spark, sf_dir),

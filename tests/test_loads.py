@@ -119,3 +119,19 @@ def test_daily_pipeline_two_days_and_rerun(spark, scratch):
     after = wh.report()
     assert after.exceptAll(before).count() == 0 and before.exceptAll(after).count() == 0
     assert wh.fact("fact_transactions").count() == transactions(spark, SF0001).count()
+
+
+def test_daily_pipeline_current_versions_since(spark, scratch):
+    wh = Warehouse(spark, f"{scratch}/wh")
+    text = transactions_text(spark, SF0001)
+    for day in (1, 2):
+        bd, load_ts = REPLAY_DAYS[day]
+        drop = DayDrop(bd, load_ts, bd, text, replay_source(spark, SF0001, "terminals", day),
+                       blacklist_sheet(spark, SF0001), replay_source(spark, SF0001, "cards", day),
+                       replay_source(spark, SF0001, "accounts", day), replay_source(spark, SF0001, "clients", day))
+        run_day(wh, day, drop, probe_window=timedelta(days=7), versions="current",
+                report_since=f"{bd} 00:00:00")
+    rep = wh.report()
+    assert rep.count() > 0
+    assert rep.where(F.col("event_dt") < F.col("report_dt").cast("timestamp_ntz")).count() == 0
+    assert wh.open_versions("clients").count() == 138 + 11  # FIXTURES §4 day 2: open N + Y
