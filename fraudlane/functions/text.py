@@ -1,19 +1,13 @@
-"""String helpers: trimming, the report's full name, null-safe change detection."""
+"""String helpers: the report's full name and null-safe change detection."""
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def trim_all(df: DataFrame, columns=None) -> DataFrame:
-    """Trim spaces on both ends of every (or the named) string column."""
-    names = columns or [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
-    return df.select(*[F.trim(F.col(c)).alias(c) if c in names else F.col(c) for c in df.columns])
-
-
 def full_name(last="last_name", first="first_name", patronymic="patronymic") -> Column:
     """``last || ' ' || first || ' ' || patronymic``; any null part makes the name null."""
     return F.concat(F.col(last), F.lit(" "), F.col(first), F.lit(" "), F.col(patronymic))

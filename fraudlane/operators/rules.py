@@ -14,17 +14,15 @@ and time slice (see :mod:`.lags`).
 
 from __future__ import annotations
 
-from datetime import timedelta
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import OPER_REJECT, OPER_SUCCESS, PROBE_OPER_TYPES
+from ..schemas import CITY_HOP_WINDOW, OPER_REJECT, OPER_SUCCESS, PROBE_OPER_TYPES, PROBE_WINDOW
 from .enrich import VERSION_ORDER
 from .lags import home_rows, seconds_of, split_with_horizon
 
-CITY_HOP = timedelta(hours=1)
-PROBE = timedelta(minutes=20)
+CITY_HOP = CITY_HOP_WINDOW
+PROBE = PROBE_WINDOW
 
 
 def interval(td) -> Column:

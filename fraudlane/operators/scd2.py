@@ -30,11 +30,10 @@ grouping as the other dimensions (Q5); terminal keys are trimmed once on staging
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import any_differs
 from ..schemas import FLAG_DELETED, FLAG_LIVE, DimSpec, open_end
 
 
@@ -53,8 +52,7 @@ def is_open() -> Column:
 
 
 def _differs(spec: DimSpec, a: str, b: str) -> Column:
-    checks = [~F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in spec.tracked]
-    return reduce(lambda x, y: x | y, checks, F.lit(False))
+    return any_differs(spec.tracked, a, b)
 
 
 def _typed(spec: DimSpec, src: str, c: str) -> Column:

@@ -7,6 +7,7 @@ such as ``00123`` keep their leading zeros.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,8 +25,8 @@ OPER_REJECT = "REJECT"
 OPER_SUCCESS = "SUCCESS"
 PROBE_OPER_TYPES = ("PAYMENT", "WITHDRAW")
 EVENT_TYPES = ("1", "2", "3", "4")
-CITY_HOP_WINDOW = "1 hour"  # rule 3: strictly less than
-PROBE_WINDOW = "20 minutes"  # rule 4: at most
+CITY_HOP_WINDOW = timedelta(hours=1)  # rule 3: strictly less than
+PROBE_WINDOW = timedelta(minutes=20)  # rule 4: first to last, at most
 # ---------------------------------------------------------------------------
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.parsing import business_date_from_name
+from ..functions.parsing import business_date_from_name, parse_iso_date
 from ..schemas import BLACKLIST_FILE, TERMINALS_FILE, TRANSACTIONS_FILE
 
 
@@ -47,7 +47,7 @@ def read_terminal_keys(spark: SparkSession, path: str, fmt: str = "csv", sep: st
 
 def _file_date(df: DataFrame, file_date) -> Column:
     if file_date is not None:
-        return F.lit(str(file_date)).cast("date")
+        return parse_iso_date(F.lit(str(file_date)))
     return business_date_from_name(F.col("file_name"))
 
 
@@ -63,8 +63,3 @@ def stage_terminals(raw: DataFrame, file_date=None) -> DataFrame:
 def stage_blacklist(raw: DataFrame) -> DataFrame:
     """Blacklist rows as staged (text)."""
     return raw.select(*BLACKLIST_FILE.names)
-
-
-def business_dates(df: DataFrame, name_col: str = "file_name") -> DataFrame:
-    """Distinct business dates of the files a DataFrame was read from."""
-    return df.select(business_date_from_name(F.col(name_col)).alias("business_date")).distinct()

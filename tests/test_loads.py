@@ -135,3 +135,16 @@ def test_daily_pipeline_current_versions_since(spark, scratch):
     assert rep.count() > 0
     assert rep.where(F.col("event_dt") < F.col("report_dt").cast("timestamp_ntz")).count() == 0
     assert wh.open_versions("clients").count() == 138 + 11  # FIXTURES §4 day 2: open N + Y
+
+
+def test_blacklist_sheet_reader_and_source_contracts(spark, scratch):
+    from fraudlane.schemas import SRC_ACCOUNTS, SRC_CARDS, SRC_CLIENTS
+    from fraudlane.sources.files import read_blacklist, stage_blacklist
+    path = os.path.join(scratch, "passport_blacklist_01032021.csv")
+    with open(path, "w") as f:
+        f.write("entry_dt;passport_num\n2021-03-01;0012 345678\n")
+    row = stage_blacklist(read_blacklist(spark, path)).collect()[0]
+    assert (row.entry_dt, row.passport_num) == ("2021-03-01", "0012 345678")
+    for dim, contract in (("cards", SRC_CARDS), ("accounts", SRC_ACCOUNTS), ("clients", SRC_CLIENTS)):
+        got = replay_source(spark, SF0001, dim, 2).schema
+        assert [(f.name, f.dataType) for f in got] == [(f.name, f.dataType) for f in contract]
