@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import any_differs
-from ..schemas import FLAG_DELETED, FLAG_LIVE, DimSpec, open_end
+from ..schemas import FLAG_DELETED, FLAG_LIVE, OPEN_END, DimSpec, open_end
 
 
 def _one_day() -> Column:
@@ -88,7 +88,7 @@ def scd2_step(open_versions: DataFrame, stage: DataFrame, keys: DataFrame | None
     it closes (with their new end) and all open versions afterwards. The closed history is
     not needed, so a daily load reads and writes only about one row per key."""
     cols = list(spec.columns)
-    load = _ts(deleted_from if deleted_from is not None else load_ts)
+    load_text = str(deleted_from if deleted_from is not None else load_ts)
     opened = open_versions.select(
         F.col(spec.key).alias("_key"),
         F.struct(*[F.col(c) for c in spec.attributes + ("effective_from", "effective_to",
@@ -104,40 +104,42 @@ def scd2_step(open_versions: DataFrame, stage: DataFrame, keys: DataFrame | None
         staged = staged.withColumn("s_present", F.lit(True))
     j = opened.join(staged, "_key", "full")
 
-    has_h, has_s = F.col("h").isNotNull(), F.col("s").isNotNull()
-    gone = ~F.coalesce(F.col("h_present"), F.col("s_present"), F.lit(False))
-    before_load = load - _one_day()
-    end = open_end()
-    h_from, h_to, h_flag = F.col("h.effective_from"), F.col("h.effective_to"), F.col("h.deleted_flg")
-    s_new_from = F.col(f"s.{spec.new_from}")
-    changed = has_h & has_s & (_differs(spec, "s", "h") | (h_flag == FLAG_DELETED))
-    chg_from = _changed_from()
-
-    # attribute lists built once and shared by every version struct (Columns are immutable)
-    key = F.col("_key").cast("string").alias(spec.key)
-    attrs = {src: [_typed(spec, src, c).alias(c) for c in spec.attributes] for src in ("s", "h")}
-    live, deleted = F.lit(FLAG_LIVE), F.lit(FLAG_DELETED)
+    # Per key, the versions to write, as one SQL expression (one call to build, however many
+    # attributes; the plan is the same as with Column objects).
+    load_sql = f"CAST('{load_text}' AS TIMESTAMP_NTZ)"
+    end, before_load = f"TIMESTAMP_NTZ '{OPEN_END}'", f"{load_sql} - INTERVAL 1 DAY"
+    live, deleted = f"'{FLAG_LIVE}'", f"'{FLAG_DELETED}'"
+    chg_from = "coalesce(s.update_dt, s.create_dt)"  # Q10 fix: no update stamp -> create stamp
+    gone = "NOT coalesce(h_present, s_present, false)"
+    differs = " OR ".join(f"NOT (s.{c} <=> h.{c})" for c in spec.tracked) or "false"
+    changed = f"h IS NOT NULL AND s IS NOT NULL AND (({differs}) OR h.deleted_flg = {deleted})"
 
     def version(src, start, stop, flag):
-        return F.struct(key, *attrs[src], start.cast("timestamp_ntz").alias("effective_from"),
-                        stop.cast("timestamp_ntz").alias("effective_to"), flag.alias("deleted_flg"))
-
-    # new key (D1), then possibly deleted in the same load
-    new_live = version("s", s_new_from, end, live)
-    new_rows = F.when(gone, F.array(version("s", s_new_from, before_load, live),
-                                    version("s", load, end, deleted))) \
-                .otherwise(F.array(new_live))
-    # changed or revived (D2/D3), the new version possibly deleted right away
-    old_closed = version("h", h_from, chg_from - _one_day(), h_flag)
-    s_deleted = version("s", load, end, deleted)
-    changed_rows = F.when(gone, F.array(old_closed, version("s", chg_from, before_load, live), s_deleted)) \
-                    .otherwise(F.array(old_closed, version("s", chg_from, end, live)))
+        fields = [f"'{spec.key}', CAST(_key AS STRING)"]
+        fields += [f"'{c}', CAST({src}.{c} AS {spec.type_name(c)})" for c in spec.attributes]
+        fields += [f"'effective_from', CAST({start} AS TIMESTAMP_NTZ)",
+                   f"'effective_to', CAST({stop} AS TIMESTAMP_NTZ)", f"'deleted_flg', {flag}"]
+        return f"named_struct({', '.join(fields)})"
+
+    def arrays(when, then, otherwise):
+        return f"CASE WHEN {when} THEN array({', '.join(then)}) ELSE array({', '.join(otherwise)}) END"
+
+    s_new_from = f"s.{spec.new_from}"
+    old_closed = version("h", "h.effective_from", f"{chg_from} - INTERVAL 1 DAY", "h.deleted_flg")
+    # new key (D1), deleted at once when missing from the snapshot
+    new_key = arrays(gone, [version("s", s_new_from, before_load, live), version("s", load_sql, end, deleted)],
+                     [version("s", s_new_from, end, live)])
+    # changed or revived (D2/D3), the new version possibly deleted at once
+    new_version = arrays(gone, [old_closed, version("s", chg_from, before_load, live),
+                                version("s", load_sql, end, deleted)],
+                         [old_closed, version("s", chg_from, end, live)])
     # unchanged open version: kept, or deleted when live and missing from the snapshot
-    kept = F.when(gone & (h_flag == FLAG_LIVE),
-                  F.array(version("h", h_from, before_load, h_flag), version("h", load, end, deleted))) \
-            .otherwise(F.array(version("h", h_from, h_to, h_flag)))
-    versions = F.when(~has_h, new_rows).when(changed, changed_rows).otherwise(kept)
-    return j.select(F.inline(versions)).select(*cols)
+    kept = arrays(f"{gone} AND h.deleted_flg = {live}",
+                  [version("h", "h.effective_from", before_load, "h.deleted_flg"),
+                   version("h", load_sql, end, deleted)],
+                  [version("h", "h.effective_from", "h.effective_to", "h.deleted_flg")])
+    versions = f"CASE WHEN h IS NULL THEN {new_key} WHEN {changed} THEN {new_version} ELSE {kept} END"
+    return j.selectExpr(f"inline({versions})").select(*cols)
 
 
 # ---------------------------------------------------------------------------
