@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.skew import SPREAD, no_spread, null_spread
+from ..functions.skew import SPREAD, null_spread
 from ..schemas import OPEN_END, ts_lit
 
 VERSION_ORDER = ("card_version", "account_version", "client_version", "terminal_version")
@@ -139,7 +139,7 @@ def enrich_transactions(fact: DataFrame, cards: DataFrame, accounts: DataFrame,
                     "terminal")
     # a fact row without a card number matches nothing: spread those over all tasks
     f = f.select("*", null_spread(["card_num"], ["trans_id", "trans_date", "terminal"]))
-    prof = prof.select("*", no_spread())
+    prof = prof.select("*", null_spread(["card_key"], ["card_num_dim"]))
     card_match = (F.trim(f.card_num) == prof.card_key) & (f[SPREAD] == prof[SPREAD])
     if versions != "as_of":
         out = (f.join(prof, card_match, "left")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.skew import SPREAD, no_spread, null_spread
+from ..functions.skew import SPREAD, null_spread
 from ..functions.text import full_name
 from ..schemas import EVENT_TYPES, REPORT
 from .enrich import enrich_transactions
@@ -38,7 +38,7 @@ def not_yet_reported(rows: DataFrame, existing: DataFrame | None) -> DataFrame:
     if existing is None:
         return rows
     on = ["passport", "report_dt", "event_dt"]
-    keys = existing.select(*on).where(F.col("passport").isNotNull()).select(*on, no_spread())
+    keys = existing.select(*on, null_spread(on, ["fio", "phone", "event_type"]))
     # rows without a passport (e.g. every row of the unknown-card client) cannot match:
     # scatter them instead of sending them all to the null key's task
     spread = rows.select("*", null_spread(on, ["event_dt", "fio", "phone", "event_type"]))

@@ -231,3 +231,21 @@ def test_null_card_rows_join_nothing_and_are_spread(spark):
     got = sorted((r.trans_id, r.client_id, r.terminal_city) for r in e.collect())
     assert got == [("a", None, "Moscow"), ("b", None, "Kazan")]
     assert classes(spark, t)["b"] == "3"  # both land in the null client's window
+
+
+def test_null_spread_stays_in_the_exchange_keys(spark):
+    """A constant spread on one side would be folded away by the optimizer."""
+    from conftest import SF0001
+    from fraudlane.sources.bank_fixture import bank_tables
+    t = bank_tables(spark, SF0001)
+    e = enrich_transactions(t.fact_transactions, t.dim_cards_hist, t.dim_accounts_hist,
+                            t.dim_clients_hist, t.dim_terminals_hist)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = e._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+    card_exchanges = [ln for ln in plan.splitlines() if "hashpartitioning(trim(card_num" in ln]
+    assert card_exchanges and all("_null_spread" in ln for ln in card_exchanges)
