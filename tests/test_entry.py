@@ -48,3 +48,13 @@ def test_oracle_parity(spark, duck, key):
     idx = [ocols.index(c) for c in df.columns]
     want = sorted((tuple(norm(r[i]) for i in idx) for r in res.fetchall()), key=repr)
     assert sorted(rows, key=repr) == want
+
+
+@pytest.mark.parametrize("key", ["fraud_mart", "parse_transactions", "scd2_apply_cards", "lag_client"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, key):
+    """Everything is wall-clock (timestamp_ntz): another session zone changes nothing."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        test_oracle_parity(spark, duck, key)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
