@@ -29,11 +29,14 @@ def interval(td) -> Column:
     return F.expr(f"INTERVAL '{seconds_of(td)}' SECOND")
 
 
+def _order_columns(df: DataFrame) -> list[str]:
+    return ["trans_date", "trans_id"] + [c for c in VERSION_ORDER if c in df.columns]
+
+
 def window_order(df: DataFrame) -> list[Column]:
     """``trans_date`` then ``trans_id`` (ties), then the version stamps of fanned-out rows;
     nulls last as in the warehouse."""
-    cols = ["trans_date", "trans_id"] + [c for c in VERSION_ORDER if c in df.columns]
-    return [F.col(c).asc_nulls_last() for c in cols]
+    return [F.col(c).asc_nulls_last() for c in _order_columns(df)]
 
 
 def passport_rule() -> Column:
@@ -68,16 +71,17 @@ def with_rule_lags(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE
     """
     horizon = max(seconds_of(city_window), seconds_of(probe_window))
     x = split_with_horizon(enriched, "trans_date", horizon, slice_width)
-    order = window_order(enriched)
-    by_client = Window.partitionBy("client_id", "_slice").orderBy(*order)
-    by_card = Window.partitionBy("client_id", "card_num_dim", "oper_type", "_slice").orderBy(*order)
-    lags = [F.lag("trans_date").over(by_client).alias("last_trans_date"),
-            F.lag("terminal_city").over(by_client).alias("last_city")]
+    # the eleven lags as SQL text: one call to build, same plan as Column objects
+    order = ", ".join(f"{c} ASC NULLS LAST" for c in _order_columns(enriched))
+    by_client = f"OVER (PARTITION BY client_id, _slice ORDER BY {order})"
+    by_card = f"OVER (PARTITION BY client_id, card_num_dim, oper_type, _slice ORDER BY {order})"
+    lags = [f"lag(trans_date) {by_client} AS last_trans_date",
+            f"lag(terminal_city) {by_client} AS last_city"]
     for k in (1, 2, 3):
-        lags += [F.lag("trans_date", k).over(by_card).alias(f"trans_date_{k}"),
-                 F.lag("amt", k).over(by_card).alias(f"amt_{k}"),
-                 F.lag("oper_result", k).over(by_card).alias(f"result_{k}")]
-    x = x.select("*", *lags)
+        lags += [f"lag(trans_date, {k}) {by_card} AS trans_date_{k}",
+                 f"lag(amt, {k}) {by_card} AS amt_{k}",
+                 f"lag(oper_result, {k}) {by_card} AS result_{k}"]
+    x = x.selectExpr("*", *lags)
     return x if keep_slices else home_rows(x)
 
 
