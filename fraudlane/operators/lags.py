@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY = 86400
+LAST_SLICE = 2 ** 62
 
 
 def seconds_of(td) -> int:
@@ -55,9 +56,10 @@ def split_with_horizon(df: DataFrame, time_col: str, horizon, width=None) -> Dat
     s = epoch_seconds(time_col)
     home = F.floor(s / F.lit(w))
     last = F.floor((s + F.lit(h + 1)) / F.lit(w))
+    # a row without a time keeps one copy in the null slice (ordered last, like its time)
     return (df.withColumn("_home_slice", home)
-              .withColumn("_slice", F.explode(F.sequence(home, last)))
-              .withColumn("_home", F.col("_slice") == F.col("_home_slice"))
+              .withColumn("_slice", F.explode_outer(F.sequence(home, last)))
+              .withColumn("_home", F.coalesce(F.col("_slice") == F.col("_home_slice"), F.lit(True)))
               .drop("_home_slice"))
 
 
@@ -76,8 +78,11 @@ def exact_lags(df: DataFrame, partition_cols, order_cols, specs: dict, time_col:
     kmax = max(k for _, k in specs.values())
     values = sorted({c for c, _ in specs.values()})
     w_s = seconds_of(width)
+    # rows without a time sort after every dated row: give them a slice after all real ones
+    # (a null slice could not join its carry back)
     x = (df.withColumn("_pkey", F.struct(*[F.col(p) for p in partition_cols]))
-           .withColumn("_slice", F.floor(epoch_seconds(time_col) / F.lit(w_s))))
+           .withColumn("_slice", F.coalesce(F.floor(epoch_seconds(time_col) / F.lit(w_s)),
+                                            F.lit(LAST_SLICE))))
     part = Window.partitionBy("_pkey", "_slice")
     w = part.orderBy(*order_cols)
     x = x.select("*", F.row_number().over(w).alias("_rn"), F.count(F.lit(1)).over(part).alias("_cnt"),

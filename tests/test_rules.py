@@ -249,3 +249,22 @@ def test_null_spread_stays_in_the_exchange_keys(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
     card_exchanges = [ln for ln in plan.splitlines() if "hashpartitioning(trim(card_num" in ln]
     assert card_exchanges and all("_null_spread" in ln for ln in card_exchanges)
+
+
+def test_rows_without_a_time_are_kept_and_ordered_last(spark):
+    from datetime import datetime as dt
+    from fraudlane.operators.lags import exact_lags
+    from fraudlane.operators.rules import window_order
+    from fraudlane.schemas import FACT_TRANSACTIONS
+    rows = hop(600)
+    t = tables(spark, rows)
+    fact = t.fact_transactions.unionByName(spark.createDataFrame(
+        [("z", None, "C1", "DEPOSIT", None, "SUCCESS", "T2")], FACT_TRANSACTIONS))
+    e = enrich_transactions(fact, t.dim_cards_hist, t.dim_accounts_hist, t.dim_clients_hist,
+                            t.dim_terminals_hist, t.fact_passport_blacklist)
+    got = {r.trans_id: r.event_type for r in classify(e).select("trans_id", "event_type").collect()}
+    assert got == {"a": None, "b": "3", "z": None}
+    lags = exact_lags(e, ["client_id"], window_order(e), {"prev": ("trans_date", 1)}, "trans_date",
+                      width=60)
+    prev = {r.trans_id: r.prev for r in lags.collect()}
+    assert prev == {"a": None, "b": dt(2024, 1, 5, 10, 0), "z": dt(2024, 1, 5, 10, 10)}
