@@ -39,6 +39,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._published = None  # (load_id, phase) rows, read once and refreshed on publish
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -51,13 +52,11 @@ class Warehouse:
 
     def published(self, phase: str, before: int | None = None) -> list[int]:
         """Load ids published for ``phase`` (a handful of metadata rows)."""
-        pub = self._read("published")
-        if pub is None:
-            return []
-        pub = pub.where(F.col("phase") == phase)
-        if before is not None:
-            pub = pub.where(F.col("load_id") < before)
-        return sorted({r["load_id"] for r in pub.select("load_id").distinct().collect()})
+        if self._published is None:
+            pub = self._read("published")
+            self._published = [] if pub is None else [(r["load_id"], r["phase"]) for r in
+                                                       pub.select("load_id", "phase").distinct().collect()]
+        return sorted({i for i, p in self._published if p == phase and (before is None or i < before)})
 
     def _loads(self, table: str, schema, ids: list[int]) -> DataFrame:
         df = self._read(table) if ids else None
@@ -103,6 +102,7 @@ class Warehouse:
     def publish(self, load_id: int, phase: str) -> None:
         row = self.spark.createDataFrame([(load_id, phase)], "load_id int, phase string")
         row.coalesce(1).write.mode("append").parquet(self._path("published"))
+        self._published = None
 
 
 @dataclass
