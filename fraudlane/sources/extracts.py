@@ -40,7 +40,10 @@ def incremental_extract(source: DataFrame, dim: str, mark) -> DataFrame:
     in staging column names (all source columns for a table without a listed extract)."""
     cols = EXTRACT_COLUMNS.get(dim, tuple(source.columns))
     renames = RENAMES.get(dim, {})
-    newer = F.coalesce(F.col("update_dt"), F.col("create_dt")) > mark_day(mark)
+    # coalesce(update_dt, create_dt) > mark, spelled with plain comparisons so that Parquet
+    # and JDBC sources can take the filter into the scan
+    cut = mark_day(mark)
+    newer = (F.col("update_dt") > cut) | (F.col("update_dt").isNull() & (F.col("create_dt") > cut))
     return source.where(newer).select(*[F.col(c).alias(renames.get(c, c)) for c in cols])
 
 
