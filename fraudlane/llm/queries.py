@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracles
 from .common import shared_folder, table
+from .divergence import quality
+from .pareto_mix import mix
 from .registry import register
 from .token_cache import token_counts
 from .tokenizer_files import tokenizer_json
@@ -19,3 +22,17 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counts = token_counts(docs, shared_folder(spark, "token-cache"), tokenizer_json())
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@register("op5_quality_divergence")
+def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base facts and the divergence verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality(docs).drop("lang", "text")
+
+
+@register("op3_pareto_mix", oracle=oracles.PARETO_MIX)
+def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to source weights 5, 2, 1 with at most three copies."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
