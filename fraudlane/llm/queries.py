@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import oracles
 from .common import shared_folder, table
 from .divergence import quality
+from .hash_ring import ring_shards
 from .pareto_mix import mix
 from .registry import register
 from .token_cache import token_counts
@@ -36,3 +37,10 @@ def op3_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to source weights 5, 2, 1 with at most three copies."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@register("op4_ring_shards")
+def op4_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents on 16 shards with tight quotas: row counts at most one apart."""
+    dealt = ring_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
