@@ -30,3 +30,32 @@ SELECT doc_id, size, source_size, target,
        ((sure + CASE WHEN taken0 OR coalesce(drawn = closing, false) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM rest LEFT JOIN c ON rest.source IS NOT DISTINCT FROM c.source
 """
+
+#: (kind, rank, pattern, group, least length of the group), as the scan's rules state them.
+SECRET_RULES = (
+    ("assign", 1, r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", 2, r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", 3, r"[0-9a-f]+", 0, 24),
+    ("github", 4, r"gh[opsur]_[A-Za-z0-9]{36,}", 0, 40),
+    ("pem", 5, r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+)
+
+SECRETS = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS (""" + " UNION ALL ".join(f"""
+  SELECT doc_id, '{kind}' AS kind, {rank} AS rk, {least} AS least, string_split_regex(t, '{pattern}') AS p,
+         regexp_extract_all(t, '{pattern}', 0) AS w, regexp_extract_all(t, '{pattern}', {group}) AS v
+  FROM d""" for kind, rank, pattern, group, least in SECRET_RULES) + r"""),
+e AS (SELECT doc_id, kind, rk, least, unnest(range(len(w))) AS k, p, w, v FROM m),
+l AS (SELECT doc_id, kind, rk, least, k, length(p[k + 1]) AS between_, length(w[k + 1]) AS whole, length(v[k + 1]) AS value FROM e),
+s AS (SELECT *, sum(between_ + whole) OVER (PARTITION BY doc_id, kind ORDER BY k) AS stop FROM l),
+f AS (SELECT doc_id, kind, rk, (stop - whole)::BIGINT AS start, stop::BIGINT AS stop FROM s WHERE value >= least),
+g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex,
+             string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rk) FILTER (rk <= 3) AS base,
+             string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rk) AS spans
+      FROM f GROUP BY doc_id)
+SELECT documents.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN g USING (doc_id)
+"""

@@ -11,6 +11,7 @@ from .divergence import quality
 from .hash_ring import ring_shards
 from .pareto_mix import mix
 from .registry import register
+from .secret_ledger import scan_secrets, span_text
 from .token_cache import token_counts
 from .tokenizer_files import tokenizer_json
 
@@ -44,3 +45,16 @@ def op4_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents on 16 shards with tight quotas: row counts at most one apart."""
     dealt = ring_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+BASE_KINDS = ("assign", "access", "hex")
+
+
+@register("op6_secret_ledger", oracle=oracles.SECRETS)
+def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, scanned into a new ledger in the shared folder."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = scan_secrets(docs, shared_folder(spark, "secret-ledger"))
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    counts = [F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text("spans").alias("spans"))
