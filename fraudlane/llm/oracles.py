@@ -59,3 +59,24 @@ SELECT documents.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN g USING (doc_id)
 """
+
+#: Every window of every document against every item window, as strings.
+DECONTAMINATE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bl AS (SELECT item_id, w, least(10, len(w)) AS n FROM b WHERE len(w) > 0),
+bk AS (SELECT item_id, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM bl),
+bw AS (SELECT DISTINCT item_id, n, array_to_string(w[s:s + n - 1], ' ') AS win FROM bk),
+dk AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM bl) WHERE len(w) >= n),
+dw AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS win FROM dk),
+h AS (SELECT doc_id, item_id, s, n FROM dw JOIN bw USING (n, win)),
+p AS (SELECT doc_id, unnest(range(s, s + n)) AS place FROM h),
+c AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM p GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)
+"""

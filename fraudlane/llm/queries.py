@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import oracles
 from .common import shared_folder, table
+from .decontaminate import contamination
 from .divergence import quality
 from .hash_ring import ring_shards
 from .pareto_mix import mix
@@ -58,3 +59,11 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     counts = [F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(span_text(base), 256).alias("base_sha256"), span_text("spans").alias("spans"))
+
+
+@register("op2_decontaminate", oracle=oracles.DECONTAMINATE)
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark windows in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
