@@ -10,6 +10,7 @@ from .common import shared_folder, table
 from .decontaminate import contamination
 from .divergence import quality
 from .hash_ring import ring_shards
+from .ngram_join import jaccard_components
 from .pareto_mix import mix
 from .registry import register
 from .secret_ledger import scan_secrets, span_text
@@ -67,3 +68,10 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = contamination(docs, table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op8_ngram_jaccard")
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles have a Jaccard similarity of 0.85 or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_components(docs, width=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_copies")
