@@ -15,7 +15,8 @@ from .pareto_mix import mix
 from .registry import register
 from .secret_ledger import scan_secrets, span_text
 from .token_cache import token_counts
-from .tokenizer_files import tokenizer_json
+from .tokenizer_files import END_TOKEN, rank_file, tokenizer_json
+from .training_order import in_training_order, token_records
 
 TOKEN_LIMIT = 1024
 
@@ -75,3 +76,14 @@ def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of four-word shingles have a Jaccard similarity of 0.85 or more."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_components(docs, width=4, percent=85).select("doc_id", "n_shingles", "component_id", "n_copies")
+
+
+ORDER_KEY, RECORD_TOKENS, RECORDS_PER_SHARD = 20240229, 1024, 4096
+
+
+@register("op1_training_order")
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as records of 1,024 tokens, whole shards of 4,096 slots in slot order."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    records = token_records(docs, rank_file(), END_TOKEN, RECORD_TOKENS)
+    return in_training_order(records, ORDER_KEY, RECORDS_PER_SHARD)
