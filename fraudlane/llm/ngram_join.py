@@ -233,18 +233,35 @@ def class_components(near: DataFrame, percent: int) -> DataFrame:
     return connected(tied)
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, _class, n_shingles, n_copies, component_id) for each row of ``docs``: the size of its set, the number
-    of rows with an equal set, and the smallest id that links reach from it."""
+def _members(docs: DataFrame, width: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(id, _class, _n) of all rows, and (_class, _first, n_copies, root) of all classes with n-grams."""
     rows = materialise(with_class(docs, width, text_col, [id_col]), "shingle-sets")
     classes = rows.where("_n > 0").groupBy("_class").agg(F.min(id_col).alias("_first"), F.max("_n").alias("_n"), F.count(F.lit(1)).alias("n_copies"))
     n_grams = classes.agg(F.sum("_n")).first()[0] or 0
     near = materialise(near_classes(docs, width, percent, n_grams, text_col), "near-classes")
-    roots = class_components(near, percent)
-    members = materialise(classes.drop("_n").join(roots.withColumnRenamed("node", "_class"), "_class", "left")
-                          .withColumn("root", F.coalesce("root", "_class")), "members")
+    roots = class_components(near, percent).withColumnRenamed("node", "_class")
+    members = classes.drop("_n").join(roots, "_class", "left").withColumn("root", F.coalesce("root", "_class"))
+    return rows, materialise(members, "members")
+
+
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, _class, n_shingles, n_copies, component_id) for each row of ``docs``: its class of equal sets, the
+    size of its set, the number of rows in its class, and the smallest id that links reach from it."""
+    rows, members = _members(docs, width, percent, id_col, text_col)
     least = members.groupBy("root").agg(F.min("_first").alias("component_id"))
     of_class = members.join(least, "root").select(F.col("_class").alias("_c"), "n_copies", "component_id")
     joined = rows.join(of_class, F.col("_class") == F.col("_c"), "left")
     return joined.select(id_col, "_class", F.col("_n").alias("n_shingles"), F.coalesce("n_copies", F.lit(1)).alias("n_copies"),
                          F.when(F.col("_class").isNull(), F.col(id_col)).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, that of the smallest id (null ids last); rows without words all stay."""
+    _, members = _members(docs, width, percent, id_col, text_col)
+    order = F.struct(F.col("_first").isNull().alias("no_id"), "_first", "_class")
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_key")  # noqa: E731  so that null ids join
+    chosen = members.groupBy("root").agg(F.min(order).alias("o")).select(F.col("o._class").alias("_class"), F.col("o._first").alias("_first"))
+    chosen = materialise(chosen.select("_class", key("_first")), "chosen")
+    classed = with_class(docs, width, text_col, docs.columns).select("*", key(id_col))
+    kept = classed.join(chosen, ["_key", "_class"]).dropDuplicates(["_key", "_class"])
+    return kept.select(*docs.columns).unionByName(classed.where(F.col("_class").isNull()).select(*docs.columns))
