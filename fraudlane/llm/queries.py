@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracles
-from .common import shared_folder, table
+from .chat_tree import prefix_tree, read_back
+from .common import materialise, shared_folder, table
 from .decontaminate import contamination
 from .divergence import quality
 from .hash_ring import ring_shards
@@ -87,3 +88,14 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     records = token_records(docs, rank_file(), END_TOKEN, RECORD_TOKENS)
     return in_training_order(records, ORDER_KEY, RECORDS_PER_SHARD)
+
+
+@register("op7_chat_tree")
+def op7_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one full of control strings, read back from the prefix tree's token stream."""
+    told = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", told), (-7, 1, "assistant", told)], "conv_id long, turn long, role string, text string")
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    stream, steps, members = prefix_tree(conversations, rank_file())
+    found = read_back(materialise(stream, "chat-stream"), steps, members, rank_file())
+    return found.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
