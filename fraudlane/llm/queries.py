@@ -11,6 +11,7 @@ from .common import materialise, shared_folder, table
 from .decontaminate import contamination
 from .divergence import quality
 from .hash_ring import ring_shards
+from .licence_scan import CUE, scan_licences
 from .ngram_join import jaccard_components
 from .pareto_mix import mix
 from .registry import register
@@ -99,3 +100,21 @@ def op7_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream, steps, members = prefix_tree(conversations, rank_file())
     found = read_back(materialise(stream, "chat-stream"), steps, members, rank_file())
     return found.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def _paths(docs: DataFrame) -> DataFrame:
+    """A file tree over the documents: one to three levels by id below their source. A document that opens with a
+    licence cue is its directory's licence file."""
+    level = F.pmod(F.col("doc_id"), F.lit(3))
+    dirs = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.when(level > 0, F.floor(F.col("doc_id") / 4096).cast("string")),
+                       F.when(level > 1, F.floor(F.col("doc_id") / 256).cast("string")))
+    opens = F.coalesce(F.substring_index("text", "\n", 1).rlike(CUE), F.lit(False))
+    name = F.concat(F.when(opens, F.lit("LICENSE.")).otherwise(F.lit("")), F.col("doc_id").cast("string"))
+    return docs.withColumn("path", F.concat_ws("/", dirs, name))
+
+
+@register("op10_licence_scan", oracle=oracles.LICENCES)
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents as files of a tree: own ones, and those of the nearest directory above."""
+    files = _paths(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("source")
+    return scan_licences(files)
