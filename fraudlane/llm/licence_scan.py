@@ -2,7 +2,7 @@
 
 A file's licence statements are its lines or sentences with a licence cue. Each distinct statement is
 scored once: its terms, weighted by count and inverse template frequency, are joined by term
-to the templates' weighted terms, and the products summed and normed are the cosine. The best template
+to the templates' weighted terms, and the products summed and normed are the cosine. The best notice
 at or above ``least`` is the statement's licence, and a file's own licence is that of its best statement.
 
 A directory's licence is that of its licence files (by name: LICENSE, LICENCE or COPYING). A file
@@ -25,23 +25,27 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 #: Short notices by SPDX identifier.
-TEMPLATES = {
-    "AGPL-3.0": "licensed under the gnu affero general public license version 3",
-    "Apache-2.0": "licensed under the apache license version 2.0",
-    "BSD-2-Clause": "licensed under the bsd 2 clause simplified license",
-    "BSD-3-Clause": "licensed under the bsd 3 clause new license",
-    "CC-BY-4.0": "this work is licensed under the creative commons attribution license cc by 4.0",
-    "CC-BY-NC-4.0": "licensed under cc by nc 4.0 creative commons noncommercial",
-    "CC-BY-SA-4.0": "this work is licensed under the creative commons attribution sharealike license cc by sa 4.0",
-    "CC0-1.0": "dedicated to the public domain under cc0 1.0 universal",
-    "GPL-2.0": "this work is licensed under the gnu general public license version 2",
-    "GPL-3.0": "this work is licensed under the gnu general public license version 3",
-    "ISC": "released under the isc license",
-    "LGPL-3.0": "licensed under the gnu lesser general public license version 3",
-    "MIT": "released under the mit license",
-    "MPL-2.0": "this source code is subject to the terms of the mozilla public license v 2.0",
-    "Unlicense": "released into the public domain under the unlicense",
-}
+TEMPLATES = (
+    ("AGPL-3.0", "licensed under the gnu affero general public license version 3"),
+    ("Apache-2.0", "licensed under the apache license version 2.0"),
+    ("BSD-2-Clause", "licensed under the bsd 2 clause simplified license"),
+    ("BSD-3-Clause", "licensed under the bsd 3 clause new license"),
+    ("CC-BY-4.0", "licensed under cc by 4.0"),
+    ("CC-BY-4.0", "this work is licensed under the creative commons attribution 4.0 international license"),
+    ("CC-BY-NC-4.0", "licensed under cc by nc 4.0"),
+    ("CC-BY-NC-4.0", "this work is licensed under the creative commons attribution noncommercial 4.0 international license"),
+    ("CC-BY-SA-4.0", "licensed under cc by sa 4.0"),
+    ("CC-BY-SA-4.0", "this work is licensed under the creative commons attribution sharealike 4.0 international license"),
+    ("CC0-1.0", "dedicated to the public domain under cc0 1.0 universal"),
+    ("GPL-2.0", "this work is licensed under the gnu general public license version 2"),
+    ("GPL-3.0", "this work is licensed under the gnu general public license version 3"),
+    ("ISC", "released under the isc license"),
+    ("LGPL-3.0", "licensed under the gnu lesser general public license version 3"),
+    ("MIT", "released under the mit license"),
+    ("MIT", "licensed under the mit license"),
+    ("MPL-2.0", "this source code is subject to the terms of the mozilla public license v 2.0"),
+    ("Unlicense", "released into the public domain under the unlicense"),
+)
 CUE = r"(?i)licen[cs]|copyright|public domain|spdx|all rights reserved"
 APART = r"\n|[.;!?]\x20+"
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
@@ -61,22 +65,23 @@ def _terms(text: Column) -> Column:
     return F.explode(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))).alias("term")
 
 
-def statement_scores(statements: DataFrame, templates: dict[str, str], least: float) -> DataFrame:
+def statement_scores(statements: DataFrame, templates, least: float) -> DataFrame:
     """(statement, name, score) of the distinct statements that match a template."""
     spark = statements.sparkSession
-    given = spark.createDataFrame(sorted(templates.items()), "name string, body string").select("name", _terms(F.col("body")))
+    notices = spark.createDataFrame([(k, name, body) for k, (name, body) in enumerate(templates)], "notice int, name string, body string")
+    given = notices.select("notice", _terms(F.col("body")))
     n = len(templates)
     idf = given.distinct().groupBy("term").agg((F.log((1.0 + n) / (1 + F.count(F.lit(1)))) + 1).alias("idf"))
     unseen = F.log(F.lit(1.0 + n)) + 1
-    models = _weighted(given, "name", idf, unseen).select("name", "term", F.col("weight").alias("model"))
+    models = _weighted(given, "notice", idf, unseen).select("notice", "term", F.col("weight").alias("model"))
     used = statements.select("statement", _terms(F.col("statement")))
     products = _weighted(used, "statement", idf, unseen).join(models, "term")
-    scores = products.groupBy("statement", "name").agg(F.round(F.sum(F.col("weight") * F.col("model")), 6).alias("score"))
-    best = scores.groupBy("statement").agg(F.max(F.struct("score", "name")).alias("b"))
+    scores = products.groupBy("statement", "notice").agg(F.round(F.sum(F.col("weight") * F.col("model")), 6).alias("score"))
+    best = scores.join(notices.select("notice", "name"), "notice").groupBy("statement").agg(F.max(F.struct("score", "name")).alias("b"))
     return best.where(F.col("b.score") >= least).select("statement", "b.name", "b.score")
 
 
-def scan_licences(files: DataFrame, templates: dict[str, str] = TEMPLATES, least: float = 0.8, path_col: str = "path", text_col: str = "text") -> DataFrame:
+def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.8, path_col: str = "path", text_col: str = "text") -> DataFrame:
     """``files`` without its text, with own_licence, own_score, licence and inherited_from (a directory, or null
     for the file's own licence)."""
     keep = [c for c in files.columns if c not in (*ADDED, text_col)]

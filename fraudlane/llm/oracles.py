@@ -84,14 +84,14 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
 LICENCES = r"""
-WITH t(name, body) AS (VALUES """ + ", ".join(f"('{name}', '{body}')" for name, body in sorted(TEMPLATES.items())) + r"""),
-tt AS (SELECT name, unnest(regexp_extract_all(body, '[a-z0-9]+(?:\.[0-9]+)*')) AS term FROM t),
-idf AS (SELECT term, ln((1.0::DOUBLE + (SELECT count(*) FROM t)) / (1 + count(DISTINCT name))) + 1 AS idf FROM tt GROUP BY term),
-tw AS (SELECT name, term, count(*) * any_value(idf) AS w FROM tt JOIN idf USING (term) GROUP BY name, term),
-tm AS (SELECT name, term, w / sqrt(sum(w * w) OVER (PARTITION BY name)) AS model FROM tw),
+WITH t(k, name, body) AS (VALUES """ + ", ".join(f"({k}, '{name}', '{body}')" for k, (name, body) in enumerate(TEMPLATES)) + r"""),
+tt AS (SELECT k, unnest(regexp_extract_all(body, '[a-z0-9]+(?:\.[0-9]+)*')) AS term FROM t),
+idf AS (SELECT term, ln((1.0::DOUBLE + (SELECT count(*) FROM t)) / (1 + count(DISTINCT k))) + 1 AS idf FROM tt GROUP BY term),
+tw AS (SELECT k, term, count(*) * any_value(idf) AS w FROM tt JOIN idf USING (term) GROUP BY k, term),
+tm AS (SELECT k, term, w / sqrt(sum(w * w) OVER (PARTITION BY k)) AS model FROM tw),
 d AS (SELECT doc_id, concat_ws('/', coalesce(source, '-'), CASE WHEN doc_id % 3 > 0 THEN (doc_id // 4096)::VARCHAR END,
                                CASE WHEN doc_id % 3 > 1 THEN (doc_id // 256)::VARCHAR END) AS dir,
-             concat(CASE WHEN regexp_matches(split_part(text, chr(10), 1), '(?i)licen[cs]|copyright|public domain|spdx|all rights reserved')
+             concat(CASE WHEN regexp_matches(coalesce(text, ''), '(?i)licen[cs]|copyright|public domain|spdx|all rights reserved')
                          THEN 'LICENSE.' ELSE '' END, doc_id::VARCHAR) AS name, text FROM documents),
 p AS (SELECT doc_id, dir, dir || '/' || name AS path, name LIKE 'LICENSE.%' AS is_licence, text FROM d),
 seg AS (SELECT doc_id, unnest(string_split_regex(text, '\n|[.;!?]\x20+')) AS s FROM p),
@@ -102,8 +102,8 @@ sw0 AS (SELECT statement, unnest(regexp_extract_all(lower(statement), '[a-z0-9]+
 sw AS (SELECT statement, term, count(*) * coalesce(any_value(idf), ln(1.0::DOUBLE + (SELECT count(*) FROM t)) + 1) AS w
        FROM sw0 LEFT JOIN idf USING (term) GROUP BY statement, term),
 sm AS (SELECT statement, term, w / sqrt(sum(w * w) OVER (PARTITION BY statement)) AS weight FROM sw),
-sc AS (SELECT statement, name, round(sum(weight * model), 6) AS score FROM sm JOIN tm USING (term) GROUP BY statement, name),
-bs AS (SELECT statement, max((score, name)) AS b FROM sc GROUP BY statement HAVING max(score) >= 0.8),
+sc AS (SELECT statement, k, round(sum(weight * model), 6) AS score FROM sm JOIN tm USING (term) GROUP BY statement, k),
+bs AS (SELECT statement, max((score, name)) AS b FROM sc JOIN t USING (k) GROUP BY statement HAVING max(score) >= 0.8),
 own AS (SELECT doc_id, max(b) AS own FROM st JOIN bs USING (statement) GROUP BY doc_id),
 od AS (SELECT dir, max(own)[2] AS name FROM p JOIN own USING (doc_id) WHERE is_licence GROUP BY dir),
 near AS (SELECT doc_id, arg_max(od.dir, len(od.dir)) AS from_dir, arg_max(od.name, len(od.dir)) AS name

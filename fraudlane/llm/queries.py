@@ -103,13 +103,13 @@ def op7_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _paths(docs: DataFrame) -> DataFrame:
-    """A file tree over the documents: one to three levels by id below their source. A document that opens with a
-    licence cue is its directory's licence file."""
+    """A file tree over the documents: one to three levels by id below their source. A document with a licence
+    cue is a licence file of its directory."""
     level = F.pmod(F.col("doc_id"), F.lit(3))
     dirs = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.when(level > 0, F.floor(F.col("doc_id") / 4096).cast("string")),
                        F.when(level > 1, F.floor(F.col("doc_id") / 256).cast("string")))
-    opens = F.coalesce(F.substring_index("text", "\n", 1).rlike(CUE), F.lit(False))
-    name = F.concat(F.when(opens, F.lit("LICENSE.")).otherwise(F.lit("")), F.col("doc_id").cast("string"))
+    states = F.coalesce(F.col("text").rlike(CUE), F.lit(False))
+    name = F.concat(F.when(states, F.lit("LICENSE.")).otherwise(F.lit("")), F.col("doc_id").cast("string"))
     return docs.withColumn("path", F.concat_ws("/", dirs, name))
 
 
