@@ -85,10 +85,11 @@ def exact_lags(df: DataFrame, partition_cols, order_cols, specs: dict, time_col:
                                             F.lit(LAST_SLICE))))
     part = Window.partitionBy("_pkey", "_slice")
     w = part.orderBy(*order_cols)
-    x = x.select("*", F.row_number().over(w).alias("_rn"), F.count(F.lit(1)).over(part).alias("_cnt"),
+    # a slice's last kmax rows are those with no row kmax further on: no count, which would buffer the slice
+    x = x.select("*", F.row_number().over(w).alias("_rn"), F.lead(F.lit(1), kmax).over(w).isNull().alias("_last"),
                  *[F.lag(c, k).over(w).alias(out) for out, (c, k) in specs.items()])
     # last kmax rows of every slice (bounded), then the kmax slices before each slice
-    tails = (x.where(F.col("_rn") > F.col("_cnt") - kmax)
+    tails = (x.where("_last")
               .groupBy("_pkey", "_slice")
               .agg(F.sort_array(F.collect_list(F.struct("_rn", *values))).alias("_tail")))
     before = Window.partitionBy("_pkey").orderBy("_slice").rowsBetween(-kmax, -1)
@@ -99,6 +100,6 @@ def exact_lags(df: DataFrame, partition_cols, order_cols, specs: dict, time_col:
     for out, (c, k) in specs.items():
         from_carry = F.try_element_at(F.col("_carry"), (F.col("_rn") - k - 1).cast("int"))[c]
         fixed.append(F.when(F.col("_rn") <= k, from_carry).otherwise(F.col(out)).alias(out))
-    helpers = {"_pkey", "_slice", "_rn", "_cnt", "_carry"}
+    helpers = {"_pkey", "_slice", "_rn", "_last", "_carry"}
     keep = [c for c in x.columns if c not in specs and c not in helpers]
     return x.select(*keep, *fixed)

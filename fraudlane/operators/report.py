@@ -45,23 +45,21 @@ def not_yet_reported(rows: DataFrame, existing: DataFrame | None) -> DataFrame:
     return spread.join(keys, on + [SPREAD], "left_anti").select(*REPORT.names)
 
 
-def empty_report(spark) -> DataFrame:
-    return spark.createDataFrame([], REPORT)
-
-
 def fraud_mart(tables, report_dt=None, existing: DataFrame | None = None, versions: str = "all",
-               city_window=CITY_HOP, probe_window=PROBE, slice_width=None, since=None) -> DataFrame:
+               city_window=CITY_HOP, probe_window=PROBE, slice_width=None, since=None,
+               require_client: bool = False) -> DataFrame:
     """The whole report step: enrich once, two lag windows on one shuffle, classify, and
     keep the rows not reported yet. ``tables`` carries the facts and history tables.
 
     ``versions='all'`` (the source system's report) joins every dimension version;
-    ``'current'`` joins open versions only, which also lets the rule flags stay inside the
-    client partitioning (see :func:`.rules.classify`).
-
-    ``since`` (a timestamp) reports only transactions from then on. The rules look back at
-    most one horizon, so facts from ``since - horizon`` on are enough and the result for
-    the reported rows is unchanged; the filter reaches the fact scan. Without it every run
-    re-reads all history, as the source system does (Q4)."""
+    ``'current'`` joins open versions only and ``'as_of'`` those in effect.
+
+    ``since`` (a timestamp) reports only transactions from then on, judged by the facts from
+    ``since - horizon`` on, which is as far as the rules look back; the filter reaches the fact
+    scan. It is narrower than the whole report in one point: where an id repeats, a match of an older copy,
+    before ``since - horizon``, is not read and flags nothing. Without ``since`` every run re-reads all history,
+    as the source system does (Q4). ``require_client`` leaves out transactions of unknown cards, which share the
+    null client's windows (Q3)."""
     fact = tables.fact_transactions
     if since is not None:
         horizon = max(seconds_of(city_window), seconds_of(probe_window))
@@ -71,8 +69,9 @@ def fraud_mart(tables, report_dt=None, existing: DataFrame | None = None, versio
         fact, tables.dim_cards_hist, tables.dim_accounts_hist,
         tables.dim_clients_hist, tables.dim_terminals_hist, tables.fact_passport_blacklist,
         versions=versions)
-    copies = "global" if versions == "all" else "local"
-    classified = classify(enriched, city_window, probe_window, slice_width, copies)
+    if require_client:
+        enriched = enriched.where(F.col("client_id").isNotNull())
+    classified = classify(enriched, city_window, probe_window, slice_width)
     if since is not None:
         classified = classified.where(F.col("trans_date") >= start)
         if existing is not None:

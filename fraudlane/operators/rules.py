@@ -63,7 +63,7 @@ def amount_probe_rule(window=PROBE) -> Column:
 
 
 def with_rule_lags(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE,
-                   slice_width=None, keep_slices: bool = False) -> DataFrame:
+                   slice_width=None) -> DataFrame:
     """Add the lag columns rules 3 and 4 read.
 
     Values are exact wherever a rule can fire: a predecessor older than the rule's horizon
@@ -82,7 +82,7 @@ def with_rule_lags(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE
                  f"lag(amt, {k}) {by_card} AS amt_{k}",
                  f"lag(oper_result, {k}) {by_card} AS result_{k}"]
     x = x.selectExpr("*", *lags)
-    return x if keep_slices else home_rows(x)
+    return home_rows(x)
 
 
 def _spread_nulls() -> Column:
@@ -92,34 +92,22 @@ def _spread_nulls() -> Column:
                   F.xxhash64("trans_date", "card_num", "terminal", "amt", "oper_type"))
 
 
-def classify(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE,
-             slice_width=None, copies: str = "global") -> DataFrame:
+def classify(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE, slice_width=None) -> DataFrame:
     """Every enriched row with ``event_type`` '1'..'4' (first matching rule) or null.
 
-    Rules 3 and 4 flag a ``trans_id`` when any of its rows matches. ``copies`` says where
-    the other rows of a ``trans_id`` can be:
-
-    * ``'global'`` (any history): copies may belong to different clients, so the flags are
-      spread by a window over ``trans_id`` (one exchange of the classified rows; the
-      enrichment and the lag windows run once);
-    * ``'local'`` (one version per key, e.g. ``versions='current'``): copies can only be
-      repeated fact rows, which share client and time slice, so the window runs over
-      ``(client_id, _slice, trans_id)`` inside the existing partitioning, with no exchange.
+    Rules 3 and 4 flag a ``trans_id`` when any of its rows matches. Nothing makes ids unique (repeated fact
+    rows may be days apart, or a key's versions belong to different clients), so the flags are spread over
+    all rows of an id, whatever versions were joined: one exchange by id. The rules are
+    evaluated before it, so that it carries their flags and not the lag columns.
     """
-    x = with_rule_lags(enriched, city_window, probe_window, slice_width, keep_slices=True)
-    hop, probe = city_hop_rule(city_window), amount_probe_rule(probe_window)
-    if copies == "local":
-        same = Window.partitionBy("client_id", "_slice", "trans_id", _spread_nulls())
-    elif copies == "global":
-        x = home_rows(x)
-        same = Window.partitionBy("trans_id", _spread_nulls())
-    else:
-        raise ValueError(f"copies must be 'global' or 'local', not {copies!r}")
+    x = with_rule_lags(enriched, city_window, probe_window, slice_width)
+    lag_columns = {"last_trans_date", "last_city"} | {f"{c}_{k}" for c in ("trans_date", "amt", "result") for k in (1, 2, 3)}
+    x = x.select(*[c for c in x.columns if c not in lag_columns], city_hop_rule(city_window).alias("_hop"),
+                 amount_probe_rule(probe_window).alias("_probe"))
+    same = Window.partitionBy("trans_id", _spread_nulls())
     known = F.col("trans_id").isNotNull()
-    x = x.select("*", F.when(known, F.max(hop).over(same)).alias("any_hop"),
-                 F.when(known, F.max(probe).over(same)).alias("any_probe"))
-    if copies == "local":
-        x = home_rows(x)
+    x = x.select("*", F.when(known, F.max("_hop").over(same)).alias("any_hop"),
+                 F.when(known, F.max("_probe").over(same)).alias("any_probe"))
     event_type = (F.when(passport_rule(), "1").when(contract_rule(), "2")
                   .when(F.col("any_hop"), "3").when(F.col("any_probe"), "4"))
-    return x.withColumn("event_type", event_type)
+    return x.withColumn("event_type", event_type).drop("_hop", "_probe")

@@ -16,9 +16,11 @@ partitioned on the key, once each, and co-grouped with two left joins and a full
 join that all reuse that partitioning. Every output row of a key is built from the key's
 co-grouped inputs as an array of versions and inlined, so no step re-reads its own output.
 
-Preconditions (true of keyed source tables and of histories this operator writes): the
-stage has at most one row per key, and a key has at most one open version. Under them a key
-with no open version has no version at all, which is what D1 tests.
+A key staged several times counts once, with its latest row (by ``update_dt``, else
+``create_dt``, then by content); rows without a key count as one key. Open versions that an earlier
+load repeated are folded: equal ones into one, and of different ones the latest stays open while
+the others end one day before it. A version with a null end is closed, as any other end
+than the open one. A key with no open version is taken to have no version at all, which is what D1 tests.
 
 The single-statement operators (:func:`scd2_new` ... :func:`scd2_close_deleted`) state
 one warehouse statement each over a given history, for inspection and tests.
@@ -48,7 +50,8 @@ def _ts(value) -> Column:
 
 
 def is_open() -> Column:
-    return F.col("effective_to") == open_end()
+    """Never null: a version without an end is a closed one."""
+    return F.col("effective_to").eqNullSafe(open_end())
 
 
 def _differs(spec: DimSpec, a: str, b: str) -> Column:
@@ -69,7 +72,7 @@ def _stage_struct(spec: DimSpec, stage: DataFrame) -> DataFrame:
                                  _stamp(stage, "create_dt"), _stamp(stage, "update_dt")).alias("s"))
 
 
-def _changed_from(new_from: str = "update_dt") -> Column:
+def _changed_from() -> Column:
     # Q10 fix: a changed row without update_dt starts at create_dt instead of null
     return F.coalesce(F.col("s.update_dt"), F.col("s.create_dt"))
 
@@ -89,11 +92,14 @@ def scd2_step(open_versions: DataFrame, stage: DataFrame, keys: DataFrame | None
     not needed, so a daily load reads and writes only about one row per key."""
     cols = list(spec.columns)
     load_text = str(deleted_from if deleted_from is not None else load_ts)
+    # one row per key on either side, inside the exchanges that the joins need anyway
     opened = open_versions.select(
         F.col(spec.key).alias("_key"),
-        F.struct(*[F.col(c) for c in spec.attributes + ("effective_from", "effective_to",
-                                                          "deleted_flg")]).alias("h"))
+        F.struct(*[F.col(c) for c in ("effective_from",) + spec.attributes + ("effective_to", "deleted_flg")]).alias("h"))
+    opened = opened.groupBy("_key").agg(F.max("h").alias("h"), F.collect_set("h").alias("_same_key"))
     staged = _stage_struct(spec, stage)
+    latest = F.struct(F.coalesce("s.update_dt", "s.create_dt").alias("at"), "s")
+    staged = staged.groupBy("_key").agg(F.max(latest).alias("l")).select("_key", F.col("l.s").alias("s"))
     if keys is not None:
         present = (keys.select(F.col(spec.key).alias("_key")).where(F.col("_key").isNotNull())
                    .distinct().withColumn("_present", F.lit(True)))
@@ -138,7 +144,10 @@ def scd2_step(open_versions: DataFrame, stage: DataFrame, keys: DataFrame | None
                   [version("h", "h.effective_from", before_load, "h.deleted_flg"),
                    version("h", load_sql, end, deleted)],
                   [version("h", "h.effective_from", "h.effective_to", "h.deleted_flg")])
-    versions = f"CASE WHEN h IS NULL THEN {new_key} WHEN {changed} THEN {new_version} ELSE {kept} END"
+    # further open versions of the key, left by a load that repeated it
+    folded = version("o", "o.effective_from", "h.effective_from - INTERVAL 1 DAY", "o.deleted_flg")
+    others = f"transform(filter(coalesce(_same_key, array()), o -> NOT (o <=> h)), o -> {folded})"
+    versions = f"concat(CASE WHEN h IS NULL THEN {new_key} WHEN {changed} THEN {new_version} ELSE {kept} END, {others})"
     return j.selectExpr(f"inline({versions})").select(*cols)
 
 
@@ -146,7 +155,7 @@ def scd2_step(open_versions: DataFrame, stage: DataFrame, keys: DataFrame | None
 # One warehouse statement each (D1-D5), over a given history.
 # ---------------------------------------------------------------------------
 
-def _select_version(spec: DimSpec, alias: str, start: Column, end: Column, flag) -> DataFrame:
+def _select_version(spec: DimSpec, alias: str, start: Column, end: Column, flag) -> list[Column]:
     flag_col = flag if isinstance(flag, Column) else F.lit(flag)
     return [F.col(f"{alias}.{spec.key}").alias(spec.key)] + \
            [_typed(spec, alias, c).alias(c) for c in spec.attributes] + \

@@ -6,7 +6,8 @@ partitioned by ``load_id`` and each run writes only its own ``load_id=N`` folder
 (overwrite), so a failed run is simply run again. Readers see only published loads: a
 small ``published`` table lists ``(load_id, phase)`` and is appended to in two steps, after
 the load (history, facts, marks) and after the report (K7). A run reads the state of the
-loads before it, never its own output, so a re-run computes the same rows.
+loads before it, never its own output. Stages and key snapshots are written first, and all steps
+of the load read these copies, so a source that moves on meanwhile can't outrun its mark.
 
 Dimensions are stored as ``dim_<name>/load_id=N/state=open|closed``: each load writes the
 versions it closed and the open versions after it. A load therefore reads and rewrites
@@ -17,6 +18,7 @@ the union of the published ``closed`` parts and the latest ``open`` part.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,14 +28,23 @@ from ..operators.facts import new_blacklist, new_transactions
 from ..operators.report import fraud_mart
 from ..operators.scd2 import empty_history, is_open, scd2_step
 from ..operators.watermark import advance_mark, advance_terminals_mark, read_mark, seed_marks
-from ..schemas import DIMENSIONS, FACT_BLACKLIST, FACT_TRANSACTIONS, META, REPORT
+from ..schemas import DIMENSIONS, FACT_BLACKLIST, FACT_TRANSACTIONS, META, REPORT, TRANSACTIONS_FILE
 from ..sources.bank_fixture import BankTables
 from ..sources.extracts import incremental_extract, key_snapshot
-from ..sources.files import stage_blacklist, stage_terminals
+from ..operators.lags import seconds_of
+from ..operators.rules import CITY_HOP, PROBE
+from ..sources.files import archive_files, stage_blacklist, stage_terminals
 
 LOAD, REPORTED = "load", "report"
 
 
+def ddl(schema, *partitions: str) -> str:
+    """The DDL of a table's columns followed by those of its folders."""
+    known = {p.split()[0] for p in partitions if p}
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in schema.fields if f.name not in known]
+    return ", ".join(columns + [p for p in partitions if p])
+
+
 class Warehouse:
     """Published, load-partitioned Parquet tables under ``root``."""
 
@@ -44,11 +55,22 @@ class Warehouse:
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _read(self, table: str) -> DataFrame | None:
+    def _read(self, table: str, schema: str | None = None) -> DataFrame | None:
+        """The table, or None if its folder doesn't exist; any other error is raised. With a
+        schema a table whose loads are all empty (no Parquet file yet) reads as empty."""
         try:
-            return self.spark.read.parquet(self._path(table))
-        except AnalysisException:
-            return None
+            reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+            return reader.parquet(self._path(table))
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _published_table(self, table: str, schema: str) -> DataFrame:
+        df = self._read(table, schema)
+        if df is None:
+            raise FileNotFoundError(f"{self._path(table)} is missing although loads are published")
+        return df
 
     def published(self, phase: str, before: int | None = None) -> list[int]:
         """Load ids published for ``phase`` (a handful of metadata rows)."""
@@ -58,22 +80,27 @@ class Warehouse:
                                                        pub.select("load_id", "phase").distinct().collect()]
         return sorted({i for i, p in self._published if p == phase and (before is None or i < before)})
 
-    def _loads(self, table: str, schema, ids: list[int]) -> DataFrame:
-        df = self._read(table) if ids else None
-        if df is None:
+    def _loads(self, table: str, schema, ids: list[int], partitions: str = "") -> DataFrame:
+        if not ids:
             return self.spark.createDataFrame([], schema)
-        return df.where(F.col("load_id").isin(ids)).select(*schema.names)
+        df = self._published_table(table, ddl(schema, "load_id int", partitions))
+        return df.where(F.col("load_id").isin(ids))
 
-    def fact(self, name: str, before: int | None = None) -> DataFrame:
+    def fact(self, name: str, before: int | None = None, since_day=None) -> DataFrame:
+        """A fact; transactions lie in folders by day, and ``since_day`` reads only those from that day on."""
         schema = {"fact_transactions": FACT_TRANSACTIONS, "fact_passport_blacklist": FACT_BLACKLIST}[name]
-        return self._loads(name, schema, self.published(LOAD, before))
+        ids = self.published(LOAD, before)
+        df = self._loads(name, schema, ids, "trans_day date" if name == "fact_transactions" else "")
+        if since_day is not None and ids:
+            df = df.where(F.col("trans_day") >= F.lit(str(since_day)).cast("date"))
+        return df.select(*schema.names)
 
     def open_versions(self, dim: str, before: int | None = None) -> DataFrame:
         spec = DIMENSIONS[dim]
         ids = self.published(LOAD, before)
         if not ids:
             return empty_history(self.spark, spec)
-        df = self._read(f"dim_{dim}")
+        df = self._published_table(f"dim_{dim}", ddl(spec.history_schema(), "load_id int", "state string"))
         return df.where((F.col("load_id") == ids[-1]) & (F.col("state") == "open")).select(*spec.columns)
 
     def history(self, dim: str, before: int | None = None) -> DataFrame:
@@ -81,17 +108,17 @@ class Warehouse:
         ids = self.published(LOAD, before)
         if not ids:
             return empty_history(self.spark, spec)
-        df = self._read(f"dim_{dim}")
+        df = self._published_table(f"dim_{dim}", ddl(spec.history_schema(), "load_id int", "state string"))
         closed = df.where(F.col("load_id").isin(ids) & (F.col("state") == "closed"))
         latest = df.where((F.col("load_id") == ids[-1]) & (F.col("state") == "open"))
         return closed.select(*spec.columns).unionByName(latest.select(*spec.columns))
 
     def meta(self, before: int | None = None) -> DataFrame:
         ids = self.published(LOAD, before)
-        return self._loads("meta", META, ids[-1:])
+        return self._loads("meta", META, ids[-1:]).select(*META.names)
 
     def report(self, before: int | None = None) -> DataFrame:
-        return self._loads("rep_fraud", REPORT, self.published(REPORTED, before))
+        return self._loads("rep_fraud", REPORT, self.published(REPORTED, before)).select(*REPORT.names)
 
     def write(self, df: DataFrame, table: str, load_id: int, partition_by=None) -> None:
         w = df.write.mode("overwrite")
@@ -99,6 +126,12 @@ class Warehouse:
             w = w.partitionBy(partition_by)
         w.parquet(f"{self._path(table)}/load_id={load_id}")
 
+    def stage(self, df: DataFrame, table: str, load_id: int) -> DataFrame:
+        """K1/K2: ``df`` written as this load's staging table and read back, so that whatever is loaded and
+        whatever the marks see are the same rows, and the source is read once."""
+        self.write(df, table, load_id)
+        return self.spark.read.schema(df.schema).parquet(f"{self._path(table)}/load_id={load_id}")
+
     def publish(self, load_id: int, phase: str) -> None:
         row = self.spark.createDataFrame([(load_id, phase)], "load_id int, phase string")
         row.coalesce(1).write.mode("append").parquet(self._path("published"))
@@ -118,23 +151,22 @@ class DayDrop:
     cards: DataFrame  # source tables: current state with create/update stamps
     accounts: DataFrame
     clients: DataFrame
+    files: tuple[str, ...] = ()  # the drop files behind the three, moved to archive_dir once the report is published
+    archive_dir: str | None = None
 
 
-def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_window=None,
-            report_since=None, versions: str = "all") -> None:
-    """Steps 0-9 of the daily run for ``load_id`` (must exceed every earlier load id).
-
-    ``report_since`` limits the report to transactions from then on (facts are read from one
-    rule horizon earlier); by default the whole history is re-reported each day (Q4).
-    ``versions`` is passed to the report ('all', 'current' or 'as_of')."""
-    # staging and marks (state as of the loads before this one)
+def _load_phase(wh: Warehouse, load_id: int, drop: DayDrop) -> None:
+    """Stage, load history and facts, advance the marks, publish (the first commit)."""
+    # staging and marks (state as of the loads before this one); everything below reads the staged copies
     meta = seed_marks(wh.meta(before=load_id))
-    stages = {"terminals": stage_terminals(drop.terminals, drop.business_date)}
+    stages = {"terminals": wh.stage(stage_terminals(drop.terminals, drop.business_date), "stg_terminals", load_id)}
     keys = {"terminals": stages["terminals"].select("terminal_id")}
     for dim in ("cards", "accounts", "clients"):
         source = getattr(drop, dim)
-        stages[dim] = incremental_extract(source, dim, read_mark(meta, f"stg_{dim}"))
-        keys[dim] = key_snapshot(source, dim)
+        stages[dim] = wh.stage(incremental_extract(source, dim, read_mark(meta, f"stg_{dim}")), f"stg_{dim}", load_id)
+        keys[dim] = wh.stage(key_snapshot(source, dim), f"stg_keys_{dim}", load_id)
+    transactions = wh.stage(drop.transactions.select(*TRANSACTIONS_FILE.names), "stg_transactions", load_id)
+    blacklist = wh.stage(stage_blacklist(drop.blacklist), "stg_blacklist", load_id)
 
     # history: one pass per dimension over its open versions
     for dim, spec in DIMENSIONS.items():
@@ -144,24 +176,49 @@ def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_
         state = F.when(is_open(), F.lit("open")).otherwise(F.lit("closed"))
         wh.write(step.withColumn("state", state), f"dim_{dim}", load_id, partition_by="state")
 
-    # insert-only facts
-    wh.write(new_transactions(drop.transactions, wh.fact("fact_transactions", before=load_id)),
-             "fact_transactions", load_id)
-    wh.write(new_blacklist(stage_blacklist(drop.blacklist), wh.fact("fact_passport_blacklist", before=load_id)),
+    # insert-only facts, the transactions by day
+    fresh = new_transactions(transactions, wh.fact("fact_transactions", before=load_id))
+    wh.write(fresh.withColumn("trans_day", F.to_date("trans_date")), "fact_transactions", load_id, partition_by="trans_day")
+    wh.write(new_blacklist(blacklist, wh.fact("fact_passport_blacklist", before=load_id)),
              "fact_passport_blacklist", load_id)
 
-    # marks, then publish the load (first commit)
     for dim in ("cards", "accounts", "clients"):
         meta = advance_mark(meta, f"stg_{dim}", stages[dim])
     meta = advance_terminals_mark(meta, stages["terminals"], drop.business_date)
     wh.write(meta, "meta", load_id)
     wh.publish(load_id, LOAD)
 
+
+def _first_day(report_since, probe_window, city_window):
+    """The first day whose facts a report since that time reads: one rule horizon earlier."""
+    if report_since is None:
+        return None
+    horizon = max(seconds_of(probe_window or PROBE), seconds_of(city_window or CITY_HOP))
+    return (datetime.fromisoformat(str(report_since)) - timedelta(seconds=horizon)).date()
+
+
+def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_window=None,
+            report_since=None, versions: str = "all") -> None:
+    """Steps 0-9 of the daily run for ``load_id``. A published load is never loaded again: a re-run goes
+    on with what is missing (the report, or nothing), and an id below a published one is refused.
+
+    ``report_since`` limits the report to transactions from then on (facts are read from one
+    rule horizon earlier); by default the whole history is re-reported each day (Q4).
+    ``versions`` is passed to the report ('all', 'current' or 'as_of')."""
+    latest = max(wh.published(LOAD), default=None)
+    if latest is not None and load_id < latest:
+        raise ValueError(f"load {load_id} is older than the published load {latest}")
+    if load_id in wh.published(REPORTED):
+        archive_files(wh.spark, drop.files, drop.archive_dir)  # what a run that stopped in between left
+        return
+    if load_id != latest:
+        _load_phase(wh, load_id, drop)
+
     # report over everything published so far, appended without repeats (second commit)
     # open versions are all a 'current' report needs; 'all' and 'as_of' read the history
     dim = wh.open_versions if versions == "current" else wh.history
     tables = BankTables(
-        fact_transactions=wh.fact("fact_transactions"),
+        fact_transactions=wh.fact("fact_transactions", since_day=_first_day(report_since, probe_window, city_window)),
         fact_passport_blacklist=wh.fact("fact_passport_blacklist"),
         dim_terminals_hist=dim("terminals"), dim_cards_hist=dim("cards"),
         dim_accounts_hist=dim("accounts"), dim_clients_hist=dim("clients"))
@@ -174,3 +231,4 @@ def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_
                       since=report_since, **kwargs)
     wh.write(rows, "rep_fraud", load_id, partition_by="report_dt")
     wh.publish(load_id, REPORTED)
+    archive_files(wh.spark, drop.files, drop.archive_dir)

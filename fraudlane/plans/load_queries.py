@@ -60,7 +60,7 @@ def _register_dim(dim: str) -> None:
     @register(f"scd2_apply_{dim}")
     def _apply(spark, sf_dir):
         """History after the day-1 and day-2 loads."""
-        return replay(spark, sf_dir, dim, (1, 2))[0].select(*_cols(dim))
+        return replay(spark, sf_dir, dim, (1, 2)).select(*_cols(dim))
 
 
 for _d in DIMS:
@@ -70,13 +70,13 @@ for _d in DIMS:
 @register("scd2_three_day_replay")
 def q_three_day_replay(spark, sf_dir):
     """Three daily loads with new, changed, deleted and revived keys."""
-    return replay(spark, sf_dir, "generic", (1, 2, 3))[0].select(*_cols("generic"))
+    return replay(spark, sf_dir, "generic", (1, 2, 3)).select(*_cols("generic"))
 
 
 @register("scd2_current")
 def q_scd2_current(spark, sf_dir):
     """P5: open versions (live and deleted) after three loads."""
-    return scd2.current_versions(replay(spark, sf_dir, "generic", (1, 2, 3))[0]).select(*_cols("generic"))
+    return scd2.current_versions(replay(spark, sf_dir, "generic", (1, 2, 3))).select(*_cols("generic"))
 
 
 @register("scd2_revived")

@@ -20,7 +20,7 @@ class DayInputs:
     keys: DataFrame
     load_ts: str
     deleted_from: str | None
-    next_mark: object
+    advances: bool  # whether the stage moves the mark (sheets don't)
 
 
 def day_inputs(spark: SparkSession, sf_dir: str, dim: str, day: int, mark) -> DayInputs:
@@ -33,25 +33,35 @@ def day_inputs(spark: SparkSession, sf_dir: str, dim: str, day: int, mark) -> Da
     src = replay_source(spark, sf_dir, dim, day)
     if dim == "terminals":
         stage = stage_terminals(src, business_date)
-        return DayInputs(stage, key_snapshot(src, dim), load_ts, business_date, mark)
+        return DayInputs(stage, key_snapshot(src, dim), load_ts, business_date, False)
     stage = incremental_extract(src, dim, mark)
-    return DayInputs(stage, key_snapshot(src, dim), load_ts, None, next_mark(stage, mark))
+    return DayInputs(stage, key_snapshot(src, dim), load_ts, None, True)
 
 
 def replay(spark: SparkSession, sf_dir: str, dim: str, days=(1, 2, 3)):
-    """History of ``dim`` after the given days, plus the inputs of the last day."""
+    """History of ``dim`` after the given days. A day's mark is read (a job of its own) only if another day follows."""
     spec = REPLAY_SPECS[dim]
     hist = empty_history(spark, spec)
     mark = FIRST_MARK
-    inputs = None
     for day in days:
         inputs = day_inputs(spark, sf_dir, dim, day, mark)
         hist = scd2_apply(hist, inputs.stage, inputs.keys, spec, inputs.load_ts, inputs.deleted_from)
-        mark = inputs.next_mark
-    return hist, inputs, mark
+        if inputs.advances and day != days[-1]:
+            mark = next_mark(inputs.stage, mark)
+    return hist
+
+
+def mark_after(spark: SparkSession, sf_dir: str, dim: str, days) -> object:
+    """The mark after the given days' loads."""
+    mark = FIRST_MARK
+    for day in days:
+        inputs = day_inputs(spark, sf_dir, dim, day, mark)
+        if inputs.advances:
+            mark = next_mark(inputs.stage, mark)
+    return mark
 
 
 def history_and_next(spark: SparkSession, sf_dir: str, dim: str, day: int):
     """History after ``day - 1`` loads and the inputs of ``day`` (for single-step operators)."""
-    hist, _, mark = replay(spark, sf_dir, dim, tuple(range(1, day)))
-    return hist, day_inputs(spark, sf_dir, dim, day, mark)
+    before = tuple(range(1, day))
+    return replay(spark, sf_dir, dim, before), day_inputs(spark, sf_dir, dim, day, mark_after(spark, sf_dir, dim, before))

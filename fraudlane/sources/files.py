@@ -18,7 +18,8 @@ from ..schemas import BLACKLIST_FILE, TERMINALS_FILE, TRANSACTIONS_FILE
 def _reader(spark: SparkSession, schema, fmt: str, sep: str):
     r = spark.read.schema(schema)
     if fmt == "csv":
-        r = r.option("sep", sep).option("header", "true").option("enforceSchema", "true")
+        # a line with too few or too many fields stops the load: cut or padded rows would pass unseen
+        r = r.option("sep", sep).option("header", "true").option("enforceSchema", "true").option("mode", "FAILFAST")
     return r.format(fmt)
 
 
@@ -63,3 +64,19 @@ def stage_terminals(raw: DataFrame, file_date=None) -> DataFrame:
 def stage_blacklist(raw: DataFrame) -> DataFrame:
     """Blacklist rows as staged (text)."""
     return raw.select(*BLACKLIST_FILE.names)
+
+
+def archive_files(spark: SparkSession, paths, archive_dir: str | None) -> list[str]:
+    """K6: move consumed drop files into ``archive_dir`` under their names with ``.backup`` added; files that are
+    gone already (an earlier run moved them) are passed over. Returns the new paths."""
+    moved = []
+    for path in paths if archive_dir else ():
+        source = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{archive_dir}/{source.getName()}.backup")
+        fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(source):
+            fs.mkdirs(target.getParent())
+            if not fs.rename(source, target):
+                raise OSError(f"{path} could not be moved to {target}")
+            moved.append(target.toString())
+    return moved

@@ -22,7 +22,7 @@ def drop_stream(spark: SparkSession, drop_dir: str, archive_dir: str | None = No
     """Streaming rows of the ``;``-separated transactions files under ``drop_dir``, with
     the business date from each file's path and the file itself."""
     r = (spark.readStream.schema(TRANSACTIONS_FILE)
-         .option("sep", ";").option("header", "true").option("enforceSchema", "true"))
+         .option("sep", ";").option("header", "true").option("enforceSchema", "true").option("mode", "FAILFAST"))
     if archive_dir:
         r = r.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_trigger:

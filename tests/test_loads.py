@@ -4,6 +4,7 @@ import os
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
@@ -16,6 +17,7 @@ from fraudlane.plans.stream_queries import write_drops
 from fraudlane.schemas import FACT_TRANSACTIONS
 from fraudlane.sources.bank_fixture import (REPLAY_DAYS, blacklist_sheet, replay_source,
                                             transactions, transactions_text)
+from fraudlane.sources.extracts import jdbc_options, read_source_table
 from fraudlane.sources.files import read_terminal_keys, read_terminals, read_transactions, stage_terminals
 from fraudlane.streaming.drop_ingest import ingest_drops
 
@@ -108,7 +110,7 @@ def test_daily_pipeline_two_days_and_rerun(spark, scratch):
     run_day(wh, 2, drop(2, "2099-01-01"), probe_window=timedelta(days=7))
     assert wh.published("load") == [1, 2] and wh.published("report") == [1, 2]
     for dim in ("terminals", "cards", "accounts", "clients"):
-        want = replay(spark, SF0001, dim, (1, 2))[0]
+        want = replay(spark, SF0001, dim, (1, 2))
         got = wh.history(dim)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, dim
     assert wh.fact("fact_transactions").count() == transactions(spark, SF0001).count()
@@ -148,3 +150,49 @@ def test_blacklist_sheet_reader_and_source_contracts(spark, scratch):
     for dim, contract in (("cards", SRC_CARDS), ("accounts", SRC_ACCOUNTS), ("clients", SRC_CLIENTS)):
         got = replay_source(spark, SF0001, dim, 2).schema
         assert [(f.name, f.dataType) for f in got] == [(f.name, f.dataType) for f in contract]
+
+
+def _drop(spark, day, **changes):
+    bd, load_ts = REPLAY_DAYS[day]
+    sources = {d: replay_source(spark, SF0001, d, day) for d in ("terminals", "cards", "accounts", "clients")}
+    return DayDrop(bd, load_ts, bd, transactions_text(spark, SF0001), blacklist=blacklist_sheet(spark, SF0001), **(sources | changes))
+
+
+def test_hardened_warehouse(spark, scratch):
+    """An empty dimension, a re-run that archives, an older load id, a missing published table."""
+    wh = Warehouse(spark, f"{scratch}/wh")
+    sheet = f"{scratch}/terminals_01012024.csv"
+    open(sheet, "w").close()
+    empty = _drop(spark, 1, clients=replay_source(spark, SF0001, "clients", 1).where("false"), files=(sheet,), archive_dir=f"{scratch}/archive")
+    run_day(wh, 5, empty)
+    assert wh.history("clients").count() == 0 and wh.report().count() == wh.report().where("passport IS NULL").count()
+    assert os.path.exists(f"{scratch}/archive/terminals_01012024.csv.backup") and not os.path.exists(sheet)
+    stamp = os.path.getmtime(f"{scratch}/wh/dim_cards/load_id=5")
+    run_day(wh, 5, empty)
+    assert os.path.getmtime(f"{scratch}/wh/dim_cards/load_id=5") == stamp
+    with pytest.raises(ValueError):
+        run_day(wh, 4, empty)
+    os.rename(f"{scratch}/wh/fact_transactions", f"{scratch}/moved")
+    with pytest.raises(FileNotFoundError):
+        wh.fact("fact_transactions")
+
+
+def test_malformed_lines_stop_the_load(spark, scratch):
+    path = os.path.join(scratch, "transactions_01032021.txt")
+    with open(path, "w") as f:
+        f.write("a;b;c;d;e;f;g\n1;2;3;4;5;6;7\n1;2;3\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        read_transactions(spark, path).collect()
+
+
+def test_jdbc_options():
+    got = jdbc_options("jdbc:x", "cards", {"user": "u"}, "card_id", (0, 100), 8)
+    assert got["numPartitions"] == "8" and got["lowerBound"] == "0" and got["partitionColumn"] == "card_id"
+    assert got["preferTimestampNTZ"] == "true" and "partitionColumn" not in jdbc_options("jdbc:x", "cards")
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "cards", partition_column="card_id")
+
+
+def test_catalog_source(spark):
+    spark.range(3).createOrReplaceTempView("some_source")
+    assert read_source_table(spark, "some_source").count() == 3
