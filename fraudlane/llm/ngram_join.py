@@ -262,6 +262,7 @@ def keep_one_of_each(docs: DataFrame, width: int = 5, percent: int = 80, id_col:
     key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("_key")  # noqa: E731  so that null ids join
     chosen = members.groupBy("root").agg(F.min(order).alias("o")).select(F.col("o._class").alias("_class"), F.col("o._first").alias("_first"))
     chosen = materialise(chosen.select("_class", key("_first")), "chosen")
-    classed = with_class(docs, width, text_col, docs.columns).select("*", key(id_col))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key(id_col), F.col(text_col).alias("_text_of"))
+    classed = with_class(whole, width, "_text_of", ["_row", "_key"])
     kept = classed.join(chosen, ["_key", "_class"]).dropDuplicates(["_key", "_class"])
-    return kept.select(*docs.columns).unionByName(classed.where(F.col("_class").isNull()).select(*docs.columns))
+    return kept.select("_row.*").unionByName(classed.where(F.col("_class").isNull()).select("_row.*"))
