@@ -11,7 +11,8 @@ fragments' counts are summed per class: a class whose shared n-grams can't reach
 with nothing, and only the rest, the near copies of something, goes on. For these,
 
 * candidates share an n-gram of their prefixes (what a set may miss of another, plus one, in the
-  global order), and their sizes and shared counts leave the threshold in reach;
+  global order; the smaller set of a pair may miss less), and their sizes and shared counts leave the
+  threshold in reach;
 * a pair's overlap is counted separately in each fragment of the order and summed per pair.
 
 A group of near copies doesn't become all its pairs: first each prefix n-gram's documents are joined
@@ -169,23 +170,26 @@ def _sum_classes(percent: int):
         order = np.lexsort((tokens, frequency, owner))
         ends = np.cumsum(m[stays])
         values = pa.array(tokens[order].view(np.int64))
+        need_of_larger = -(-2 * percent * n // (100 + percent))
         return pa.Table.from_arrays(
             [pa.array(classes[stays]), pa.array(n[stays]), pa.array(m[stays]), pa.array((m - need + 1)[stays].astype(np.int32)),
+             pa.array(np.maximum(m - need_of_larger + 1, 0)[stays].astype(np.int32)),
              pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), values)],
-            names=["class", "n", "m", "prefix", "tokens"])
+            names=["class", "n", "m", "prefix", "short_prefix", "tokens"])
     return run
 
 
 def near_classes(docs: DataFrame, width: int, percent: int, n_grams: int, text_col: str) -> DataFrame:
-    """(class, n, m, prefix, tokens) of the classes that may link: size, shared n-grams in the
-    global order, and how many of these the prefix filter has to look at."""
+    """(class, n, m, prefix, short_prefix, tokens) of the classes that may link: size, shared n-grams in the
+    global order, and how many of these the prefix filter has to look at, for any partner and for
+    partners that aren't smaller (these have to share more, so fewer n-grams can be missed)."""
     fragments = max(1, -(-n_grams // FRAGMENT))
     buckets = min(fragments, 256)
     segments = docs.select(F.col(text_col).alias("_text")).mapInArrow(
         _segments(fragments, width), "fragment int, classes binary, sizes binary, tokens binary")
     counted = segments.groupBy("fragment").applyInArrow(
         _count_fragment(buckets), "bucket int, classes binary, sizes binary, kept binary, tokens binary, frequency binary")
-    return counted.groupBy("bucket").applyInArrow(_sum_classes(percent), "class long, n long, m long, prefix int, tokens array<bigint>")
+    return counted.groupBy("bucket").applyInArrow(_sum_classes(percent), "class long, n long, m long, prefix int, short_prefix int, tokens array<bigint>")
 
 
 def _in_reach(percent: int):
@@ -223,9 +227,11 @@ def class_components(near: DataFrame, percent: int) -> DataFrame:
     hub = hub.select("token", "h.class", "h.n", "h.m")
     first = materialise(linked(_pairs(prefix, hub, F.col("a.class") != F.col("b.class"), percent), near, percent), "hub-links")
     so_far = connected(first)
-    known = prefix.join(so_far.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    across = (F.col("a.class") < F.col("b.class")) & (F.col("a.root") != F.col("b.root"))
-    second = linked(_pairs(known, known, across, percent), near, percent)
+    rooted = near.join(so_far.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    entries = lambda length: rooted.select("class", "n", "m", "root", F.explode(F.slice("tokens", 1, F.col(length))).alias("token"))
+    smaller = F.struct("a.n", "a.m", "a.class") < F.struct("b.n", "b.m", "b.class")
+    across = _pairs(entries("short_prefix"), entries("prefix"), smaller & (F.col("a.root") != F.col("b.root")), percent)
+    second = linked(across, near, percent)
     second = materialise(second, "cross-links")
     if second.isEmpty():
         return so_far
