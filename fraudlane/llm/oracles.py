@@ -1,8 +1,9 @@
 """DuckDB SQL of the queries that SQL can state, each in its plainest form."""
 
 from .licence_scan import TEMPLATES
+from .pareto_mix import FILLS
 
-#: Pareto order sampling with one window per source over all documents.
+#: Pareto order sampling with one window per source and pass over all documents.
 PARETO_MIX = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
@@ -21,15 +22,18 @@ e AS (SELECT d.*, source_size, target, least(3.0::DOUBLE, rate) AS expected, flo
              (('0x' || substr(drawn, 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0::DOUBLE AS u
       FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source),
 q AS (SELECT *, CASE WHEN expected - sure > 0 THEN (u / (1 - u)) / ((expected - sure) / (1 - (expected - sure))) END AS q FROM e),
-n AS (SELECT *, target - sum(sure * size) OVER (PARTITION BY source) AS need,
-             sum(CASE WHEN q IS NOT NULL THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY q NULLS LAST, drawn) AS upto FROM q),
-x AS (SELECT *, q IS NOT NULL AND upto <= need AS taken0 FROM n),
-rest AS (SELECT *, need - sum(CASE WHEN taken0 THEN size ELSE 0 END) OVER (PARTITION BY source) AS rest FROM x),
+x0 AS (SELECT *, target - sum(sure * size) OVER (PARTITION BY source) AS rest, false AS taken FROM q),
+""" + "".join(f"""
+e{k} AS (SELECT *, q IS NOT NULL AND NOT taken AND {'true' if k == 1 else 'size <= rest'} AS may FROM x{k - 1}),
+f{k} AS (SELECT *, may AND sum(CASE WHEN may THEN size ELSE 0 END) OVER (PARTITION BY source ORDER BY q NULLS LAST, drawn) <= rest AS fits FROM e{k}),
+x{k} AS (SELECT * EXCLUDE (may, fits, rest, taken), taken OR fits AS taken,
+                rest - sum(CASE WHEN fits THEN size ELSE 0 END) OVER (PARTITION BY source) AS rest FROM f{k}),""" for k in range(1, 2 + FILLS)) + rf"""
+rest AS (SELECT * FROM x{1 + FILLS}),""" + r"""
 g AS (SELECT source, drawn, min(q) AS q, sum(size) AS words, any_value(rest) AS rest FROM rest
-      WHERE NOT taken0 AND q IS NOT NULL GROUP BY source, drawn HAVING sum(size) > 0),
+      WHERE NOT taken AND q IS NOT NULL GROUP BY source, drawn HAVING sum(size) > 0),
 c AS (SELECT source, arg_min(drawn, (abs(words - rest), q, drawn)) AS closing FROM g WHERE abs(words - rest) < rest GROUP BY source)
 SELECT doc_id, size, source_size, target,
-       ((sure + CASE WHEN taken0 OR coalesce(drawn = closing, false) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+       ((sure + CASE WHEN taken OR coalesce(drawn = closing, false) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
 FROM rest LEFT JOIN c ON rest.source IS NOT DISTINCT FROM c.source
 """
 

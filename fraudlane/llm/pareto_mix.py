@@ -6,8 +6,9 @@ with rate ``target / size`` takes ``floor(rate)`` certain whole copies of each d
 rest, each document has the inclusion odds of its fraction (document weights may make the fractions
 unequal), and documents are ranked by random odds over inclusion odds (Pareto order). The sample
 has a fixed size in words: ranked documents are taken while they fit into what the source still
-needs, then one closing document, the one whose words come nearest to the rest, if any is nearer
-than none.
+needs; where a document doesn't fit, ``FILLS`` further passes go on in rank order with the documents left that are no larger
+than the rest; at last one closing document is taken, the one whose words come nearest to the
+rest, if that is nearer than none.
 
 No source is sorted in one task. Ranks fall into ``BINS`` bins by value, words are summed by
 (source, bin), a window over these sums finds the bin in which a source's need ends, and only
@@ -30,6 +31,8 @@ from pyspark.sql import functions as F
 from .common import BLANKS, materialise
 
 BINS = 1 << 16
+FILLS = 4
+DECISIONS = "array<struct<limit: double, q: double, drawn: string>>"
 ADDED = ("size", "source_size", "target", "copies", "taken")
 
 
@@ -80,44 +83,48 @@ def _ranked(d: DataFrame, rates: DataFrame, max_copies: int) -> DataFrame:
     return d.withColumn("_bin", F.floor(F.col("_q") / (1 + F.col("_q")) * BINS).cast("long"))
 
 
+def _pass(units: DataFrame, state: DataFrame, first: bool) -> DataFrame:
+    """One pass in rank order: per source the rest, and its decisions with this pass's: sizes up to
+    ``limit`` and ranks up to (q, drawn) are taken."""
+    met = units.join(state, F.col("_source").eqNullSafe(F.col("_state"))).where(~_taken() & F.col("_q").isNotNull())
+    if not first:
+        met = met.where(F.col("_size") <= F.col("_rest"))
+    bins = met.groupBy("_source", "_bin").agg(F.sum("_words").alias("words"), F.first("_rest").alias("rest"))
+    upto = Window.partitionBy("_source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bins = bins.withColumn("after", F.sum("words").over(upto)).where(F.col("after") > F.col("rest"))
+    edge = bins.groupBy(F.col("_source").alias("_es")).agg(F.min(F.struct(F.col("_bin").alias("bin"), (F.col("after") - F.col("words")).alias("before"))).alias("edge"))
+    met = met.join(edge, F.col("_source").eqNullSafe(F.col("_es")), "left")
+    whole = met.where(F.col("edge").isNull() | (F.col("_bin") < F.col("edge.bin"))).select("_source", "_q", "_drawn", "_words")
+    along = Window.partitionBy("_source").orderBy("_q", "_drawn")  # its default frame counts equal rows together
+    cut = met.where(F.col("_bin") == F.col("edge.bin")).withColumn("fits", F.col("edge.before") + F.sum("_words").over(along) <= F.col("_rest"))
+    took = whole.unionByName(cut.where("fits").select("_source", "_q", "_drawn", "_words")).groupBy(F.col("_source").alias("_ts")).agg(
+        F.max(F.struct("_q", "_drawn")).alias("last"), F.sum("_words").alias("used"))
+    limit = F.lit(float("inf")) if first else F.col("_rest")
+    decision = F.struct(limit.alias("limit"), F.col("last._q").alias("q"), F.col("last._drawn").alias("drawn"))
+    after = state.join(took, F.col("_state").eqNullSafe(F.col("_ts")), "left").select(
+        "_state", (F.col("_rest") - F.coalesce("used", F.lit(0))).alias("_rest"),
+        F.when(F.col("last").isNull(), F.col("_decisions")).otherwise(F.concat("_decisions", F.array(decision))).alias("_decisions"))
+    return materialise(after, "mix-pass")
+
+
 def _cuts(units: DataFrame) -> DataFrame:
-    """One row per source: the bin in which its need ends, the last document taken there, the closing one."""
-    whole = Window.partitionBy("_source")
-    bins = units.groupBy("_source", "_bin").agg(F.sum("_words").alias("words"), F.sum(F.col("_sure") * F.col("_words")).alias("sure"),
-                                                F.first("target").alias("target"))
-    words = F.when(F.col("_bin").isNotNull(), F.col("words")).otherwise(0)
-    upto = whole.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    bins = bins.select("_source", "_bin", (F.col("target") - F.sum("sure").over(whole)).alias("need"), (F.sum(words).over(upto) - words).alias("before"),
-                       words.alias("words"))
-    ends = bins.where(F.col("before") + F.col("words") > F.col("need")).where(F.col("_bin").isNotNull())
-    cuts = (bins.groupBy("_source").agg(F.first("need").alias("need"))
-            .join(ends.groupBy(F.col("_source").alias("_es")).agg(F.min(F.struct("_bin", "before")).alias("e")), F.col("_source").eqNullSafe(F.col("_es")), "left")
-            .select(F.col("_source").alias("_cs"), "need", F.col("e._bin").alias("_cut_bin"), F.col("e.before").alias("before")))
-
-    met = units.join(cuts, F.col("_source").eqNullSafe(F.col("_cs")))
-    along = whole.orderBy("_q", "_drawn")  # its default frame counts equal rows together
-    inside = (met.where(F.col("_bin") == F.col("_cut_bin"))
-              .withColumn("fits", F.col("before") + F.sum("_words").over(along) <= F.col("need"))
-              .where("fits").groupBy(F.col("_source").alias("_ls")).agg(F.max(F.struct("_q", "_drawn")).alias("last")))
-    cuts = (cuts.join(inside, F.col("_cs").eqNullSafe(F.col("_ls")), "left")
-            .select("_cs", "need", "_cut_bin", F.col("last._q").alias("_cut_q"), F.col("last._drawn").alias("_cut_drawn")))
-
-    met = units.join(cuts, F.col("_source").eqNullSafe(F.col("_cs"))).withColumn("taken", _taken())
-    got = met.groupBy("_source").agg((F.first("need") - F.sum(F.when(F.col("taken"), F.col("_words")).otherwise(0))).alias("rest"))
-    got = got.withColumnRenamed("_source", "_gs")
-    left = met.where(~F.col("taken") & (F.col("_q").isNotNull()) & (F.col("_words") > 0)).join(got, F.col("_source").eqNullSafe(F.col("_gs")))
-    near = F.abs(F.col("_words") - F.col("rest"))
-    closing = (left.where(near < F.col("rest")).groupBy(F.col("_source").alias("_ns"))
-               .agg(F.min(F.struct(near.alias("near"), F.col("_q"), F.col("_drawn"))).alias("c")))
-    return (cuts.join(closing, F.col("_cs").eqNullSafe(F.col("_ns")), "left")
-            .select("_cs", "_cut_bin", "_cut_q", "_cut_drawn", F.col("c._drawn").alias("_closing")))
+    """One row per source: its passes' decisions and the closing document."""
+    state = units.groupBy(F.col("_source").alias("_state")).agg((F.first("target") - F.sum(F.col("_sure") * F.col("_words"))).alias("_rest"))
+    state = materialise(state.withColumn("_decisions", F.array().cast(DECISIONS)), "mix-need")
+    for k in range(1 + FILLS):
+        state = _pass(units, state, first=k == 0)
+    left = units.join(state, F.col("_source").eqNullSafe(F.col("_state"))).where(~_taken() & F.col("_q").isNotNull() & (F.col("_words") > 0))
+    near = F.abs(F.col("_words") - F.col("_rest"))
+    closing = (left.where(near < F.col("_rest")).groupBy(F.col("_source").alias("_ns"))
+               .agg(F.min(F.struct(near.alias("near"), "_q", "_drawn")).alias("c")))
+    return (state.join(closing, F.col("_state").eqNullSafe(F.col("_ns")), "left")
+            .select(F.col("_state").alias("_cs"), "_decisions", F.col("c._drawn").alias("_closing")))
 
 
 def _taken() -> Column:
-    """Whether the sample of the fractions takes the row: rank before its source's cut, the cut included."""
-    at_cut = F.struct("_q", "_drawn") <= F.struct(F.col("_cut_q").alias("_q"), F.col("_cut_drawn").alias("_drawn"))
-    before = F.col("_cut_bin").isNull() | (F.col("_bin") < F.col("_cut_bin"))
-    return F.col("_q").isNotNull() & (before | ((F.col("_bin") == F.col("_cut_bin")) & F.col("_cut_q").isNotNull() & at_cut))
+    """Whether a pass has taken the row of the fractions' sample."""
+    rank = F.struct(F.col("_q").alias("q"), F.col("_drawn").alias("drawn"))
+    return F.col("_q").isNotNull() & F.coalesce(F.exists("_decisions", lambda x: (F.col("_size") <= x["limit"]) & (rank <= F.struct(x["q"].alias("q"), x["drawn"].alias("drawn")))), F.lit(False))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), max_copies: int = 3, seed: int = 1,
@@ -129,13 +136,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), max_copie
     """
     keep = [F.col(c) for c in docs.columns if c not in ADDED]
     d = docs.select(*keep, *_draw(id_col, text_col, source_col, weight_col, seed))
-    units = materialise(d.groupBy("_source", "_drawn", "_w").agg(F.sum("_size").alias("_words")), "mix-units")
+    units = materialise(d.groupBy("_source", "_drawn", "_w", "_size").agg(F.sum("_size").alias("_words")), "mix-units")
     mass = units.groupBy("_source").agg(F.sum("_words").alias("source_size"), F.sum(F.col("_words") * F.col("_w")).alias("_mass"))
     targets = source_targets(mass.select(F.col("_source").alias("source"), "source_size"), weights, max_copies)
     mass = mass.select(F.col("_source").alias("_ms"), "_mass")
     rates = materialise(targets.join(mass, F.col("source").eqNullSafe(F.col("_ms"))).select(
         "source", "source_size", "target", F.when(F.col("_mass") > 0, F.col("target") / F.col("_mass")).otherwise(0.0).alias("_rate")), "mix-rates")
-    cuts = materialise(_cuts(_ranked(units, rates, max_copies)), "mix-cuts")
+    cuts = materialise(_cuts(materialise(_ranked(units, rates, max_copies), "mix-ranks")), "mix-cuts")
     d = _ranked(d, rates, max_copies).join(cuts, F.col("_source").eqNullSafe(F.col("_cs")), "left")
     closing = F.coalesce(F.col("_drawn") == F.col("_closing"), F.lit(False)) & ~_taken()
     copies = (F.col("_sure") + (_taken() | closing).cast("long")).alias("copies")
