@@ -48,17 +48,17 @@ def contract_rule() -> Column:
 
 
 def city_hop_rule(window=CITY_HOP) -> Column:
-    return (F.col("last_city").isNotNull()
-            & (F.col("terminal_city") != F.col("last_city"))
-            & ((F.col("trans_date") - F.col("last_trans_date")) < interval(window)))
+    return (F.col("prev_city").isNotNull()
+            & (F.col("terminal_city") != F.col("prev_city"))
+            & ((F.col("trans_date") - F.col("prev_time")) < interval(window)))
 
 
 def amount_probe_rule(window=PROBE) -> Column:
     a, r = F.col("amt"), F.col("oper_result")
-    return ((F.col("amt_3") > F.col("amt_2")) & (F.col("amt_2") > F.col("amt_1")) & (F.col("amt_1") > a)
-            & (F.col("result_3") == OPER_REJECT) & (F.col("result_2") == OPER_REJECT)
-            & (F.col("result_1") == OPER_REJECT) & (r == OPER_SUCCESS)
-            & ((F.col("trans_date") - F.col("trans_date_3")) <= interval(window))
+    return ((F.col("amt_back_3") > F.col("amt_back_2")) & (F.col("amt_back_2") > F.col("amt_back_1")) & (F.col("amt_back_1") > a)
+            & (F.col("result_back_3") == OPER_REJECT) & (F.col("result_back_2") == OPER_REJECT)
+            & (F.col("result_back_1") == OPER_REJECT) & (r == OPER_SUCCESS)
+            & ((F.col("trans_date") - F.col("time_back_3")) <= interval(window))
             & F.col("oper_type").isin(*PROBE_OPER_TYPES))
 
 
@@ -75,12 +75,12 @@ def with_rule_lags(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE
     order = ", ".join(f"{c} ASC NULLS LAST" for c in _order_columns(enriched))
     by_client = f"OVER (PARTITION BY client_id, _slice ORDER BY {order})"
     by_card = f"OVER (PARTITION BY client_id, card_num_dim, oper_type, _slice ORDER BY {order})"
-    lags = [f"lag(trans_date) {by_client} AS last_trans_date",
-            f"lag(terminal_city) {by_client} AS last_city"]
+    lags = [f"lag(trans_date) {by_client} AS prev_time",
+            f"lag(terminal_city) {by_client} AS prev_city"]
     for k in (1, 2, 3):
-        lags += [f"lag(trans_date, {k}) {by_card} AS trans_date_{k}",
-                 f"lag(amt, {k}) {by_card} AS amt_{k}",
-                 f"lag(oper_result, {k}) {by_card} AS result_{k}"]
+        lags += [f"lag(trans_date, {k}) {by_card} AS time_back_{k}",
+                 f"lag(amt, {k}) {by_card} AS amt_back_{k}",
+                 f"lag(oper_result, {k}) {by_card} AS result_back_{k}"]
     x = x.selectExpr("*", *lags)
     return home_rows(x)
 
@@ -101,7 +101,7 @@ def classify(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE, slic
     evaluated before it, so that it carries their flags and not the lag columns.
     """
     x = with_rule_lags(enriched, city_window, probe_window, slice_width)
-    lag_columns = {"last_trans_date", "last_city"} | {f"{c}_{k}" for c in ("trans_date", "amt", "result") for k in (1, 2, 3)}
+    lag_columns = {"prev_time", "prev_city"} | {f"{c}_back_{k}" for c in ("time", "amt", "result") for k in (1, 2, 3)}
     x = x.select(*[c for c in x.columns if c not in lag_columns], city_hop_rule(city_window).alias("_hop"),
                  amount_probe_rule(probe_window).alias("_probe"))
     same = Window.partitionBy("trans_id", _spread_nulls())

@@ -24,16 +24,18 @@ def empty_meta(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], META)
 
 
-def seed_marks(meta: DataFrame, seeds: dict | None = None, schema: str = DEFAULT_SCHEMA) -> DataFrame:
-    """Add a mark for every table that has none yet (existing marks are kept).
-
-    The seed is the table's default: the staging table it would read is always empty at
-    this point of the run (Q24).
+def seed_marks(meta: DataFrame, seeds: dict | None = None, schema: str = DEFAULT_SCHEMA, stages: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Add a mark for every table that has none yet (existing marks are kept):
+    ``coalesce(max(update_dt), default)`` of its staging table in ``stages``. A table that isn't given there
+    counts as empty, as the staging tables always are at this point of a run (Q24).
     """
     spark = meta.sparkSession
     rows = [(schema, t, v) for t, v in (seeds or SEED_MARKS).items()]
     seed = spark.createDataFrame(rows, "schema_name string, table_name string, mark string") \
         .select("schema_name", "table_name", F.col("mark").cast("timestamp_ntz").alias("max_update_dt"))
+    for table, stage in (stages or {}).items():
+        newest = stage.agg(F.max("update_dt").cast("timestamp_ntz").alias("_newest")).withColumn("table_name", F.lit(table))
+        seed = seed.join(newest, "table_name", "left").select("schema_name", "table_name", F.coalesce("_newest", "max_update_dt").alias("max_update_dt"))
     missing = seed.join(meta, ["schema_name", "table_name"], "left_anti")
     return meta.unionByName(missing)
 

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 from ..functions.parsing import business_date_from_name, parse_amount
 from ..operators.facts import new_blacklist, new_transactions, typed_transactions
 from ..schemas import ts_lit
-from ..sources.bank_fixture import (blacklist_sheet, terminals_sheet, transactions,
+from ..sources.bank_fixture import (blacklist_sheet, replay_source, terminals_sheet, transactions,
                                     transactions_text)
-from ..sources.files import stage_blacklist, stage_terminals
+from ..sources.files import read_blacklist, read_terminal_keys, read_terminals, stage_blacklist, stage_terminals
 from .queries import MORNING_CUTOFF, register
+from .stream_queries import scratch_dir
 
-TERMINALS_FILE = "terminals_10012024.xlsx"
+TERMINALS_FILE = "terminals_10012024.csv"
+BLACKLIST_FILE_NAME = "passport_blacklist_10012024.csv"
 BLACKLIST_LISTED_BEFORE = "2024-01-10"
 
 
@@ -46,17 +48,31 @@ def q_fact_blacklist_new(spark, sf_dir):
     return new_blacklist(sheet, fact)
 
 
+def _sheet_file(spark, sheet, name: str) -> str:
+    """``sheet`` exported as a ``;`` file in a new folder of the shared scratch space, padding kept."""
+    path = f"{scratch_dir(spark, 'sheets')}/{name}"
+    (sheet.write.option("sep", ";").option("header", "true").option("ignoreLeadingWhiteSpace", "false")
+     .option("ignoreTrailingWhiteSpace", "false").csv(path))
+    return path
+
+
 @register("src_terminals")
 def q_src_terminals(spark, sf_dir):
-    """Padded sheet rows trimmed and stamped with the date in the file name."""
-    raw = terminals_sheet(spark, sf_dir).withColumn("file_name", F.lit(TERMINALS_FILE))
-    return stage_terminals(raw)
+    """A sheet file read by position, its padded rows trimmed and stamped with the date in its name."""
+    return stage_terminals(read_terminals(spark, _sheet_file(spark, terminals_sheet(spark, sf_dir), TERMINALS_FILE)))
 
 
 @register("src_blacklist")
 def q_src_blacklist(spark, sf_dir):
-    """Blacklist sheet rows as staged."""
-    return stage_blacklist(blacklist_sheet(spark, sf_dir))
+    """Rows of a blacklist sheet file as staged."""
+    return stage_blacklist(read_blacklist(spark, _sheet_file(spark, blacklist_sheet(spark, sf_dir), BLACKLIST_FILE_NAME)))
+
+
+@register("keys_terminals")
+def q_keys_terminals(spark, sf_dir):
+    """The trimmed keys alone of the day-2 sheet file, whose keys are padded."""
+    sheet = replay_source(spark, sf_dir, "terminals", 2).withColumn("terminal_id", F.concat(F.lit(" "), "terminal_id", F.lit("  ")))
+    return read_terminal_keys(spark, _sheet_file(spark, sheet, TERMINALS_FILE))
 
 
 @register("business_date")

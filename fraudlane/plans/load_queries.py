@@ -9,12 +9,16 @@ from ..operators import scd2
 from ..operators.watermark import (advance_mark, advance_terminals_mark, empty_meta,
                                    seed_marks)
 from ..schemas import FIRST_MARK
-from ..sources.bank_fixture import REPLAY_DAYS, REPLAY_SPECS, replay_source
+from ..sources.bank_fixture import REPLAY_DAYS, REPLAY_SPECS, blacklist_sheet, replay_source, transactions_text
 from ..sources.extracts import incremental_extract, key_snapshot
-from .queries import register
+from ..sources.files import stage_terminals
+from .daily import DayDrop, Warehouse, run_day
+from .queries import PROBE_WINDOW, register
 from .replay import day_inputs, history_and_next, replay
+from .stream_queries import scratch_dir
 
 DIMS = ("terminals", "cards", "accounts", "clients")
+FIRST_DROP_UNTIL = "2024-01-08"
 DAY2_MARK = "2024-01-01 00:00:00"
 
 
@@ -67,6 +71,69 @@ for _d in DIMS:
     _register_dim(_d)
 
 
+def _terminal_loads(spark, sf_dir, change):
+    """History of the terminals after the day-1 and day-2 sheets, each changed by ``change``."""
+    spec = REPLAY_SPECS["terminals"]
+    hist = scd2.empty_history(spark, spec)
+    for day in (1, 2):
+        business_date, load_ts = REPLAY_DAYS[day]
+        sheet = change(replay_source(spark, sf_dir, "terminals", day))
+        hist = scd2.scd2_apply(hist, stage_terminals(sheet, business_date), key_snapshot(sheet, "terminals"), spec, load_ts, business_date)
+    return hist.select(*_cols("terminals"))
+
+
+@register("scd2_apply_duplicate_stage")
+def q_apply_duplicate_stage(spark, sf_dir):
+    """Every terminal twice in each day's sheet, once padded; the history is that of the plain sheets."""
+    def twice(sheet):
+        return sheet.unionByName(sheet.withColumn("terminal_id", F.concat(F.lit(" "), "terminal_id")))
+    return _terminal_loads(spark, sf_dir, twice)
+
+
+@register("scd2_apply_padded_snapshot")
+def q_apply_padded_snapshot(spark, sf_dir):
+    """All keys of the sheet and of its snapshot padded; no live terminal is taken for deleted."""
+    return _terminal_loads(spark, sf_dir, lambda sheet: sheet.withColumn("terminal_id", F.concat(F.lit("  "), "terminal_id", F.lit(" "))))
+
+
+_RUN: dict = {}
+
+
+def _two_days(spark, sf_dir) -> Warehouse:
+    """A warehouse in the shared scratch space after the daily runs of day 1 and day 2; run once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _RUN:
+        return _RUN[key]
+    wh = Warehouse(spark, scratch_dir(spark, "warehouse"))
+    text = transactions_text(spark, sf_dir)
+    for day in (1, 2):
+        business_date, load_ts = REPLAY_DAYS[day]
+        drop = DayDrop(business_date, load_ts, business_date, text.where(F.col("trans_date") < FIRST_DROP_UNTIL) if day == 1 else text,
+                       blacklist=blacklist_sheet(spark, sf_dir),
+                       **{d: replay_source(spark, sf_dir, d, day) for d in ("terminals", "cards", "accounts", "clients")})
+        run_day(wh, day, drop, probe_window=PROBE_WINDOW)
+    _RUN[key] = wh
+    return wh
+
+
+@register("daily_run_cards")
+def q_daily_run_cards(spark, sf_dir):
+    """The cards' history that two daily runs publish."""
+    return _two_days(spark, sf_dir).history("cards").select(*_cols("cards"))
+
+
+@register("daily_run_facts")
+def q_daily_run_facts(spark, sf_dir):
+    """The transactions that two daily runs publish, the second drop sending the first one's again."""
+    return _two_days(spark, sf_dir).fact("fact_transactions")
+
+
+@register("daily_run_marks")
+def q_daily_run_marks(spark, sf_dir):
+    """The marks after two daily runs, each read from the last before the next extract."""
+    return _two_days(spark, sf_dir).meta()
+
+
 @register("scd2_three_day_replay")
 def q_three_day_replay(spark, sf_dir):
     """Three daily loads with new, changed, deleted and revived keys."""
@@ -104,7 +171,7 @@ def _register_keys(dim: str) -> None:
         return key_snapshot(replay_source(spark, sf_dir, dim, 2), dim)
 
 
-for _d in DIMS:
+for _d in ("cards", "accounts", "clients"):  # the terminals' keys come from a sheet file, see file_queries
     _register_keys(_d)
 
 

@@ -7,6 +7,7 @@ rule 4 window seven days (FIXTURES §3), morning cut-off 2024-01-08 for the incr
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,6 +81,18 @@ def q_fraud_mart_since(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fraud_mart(t, REPORT_DT, None, probe_window=PROBE_WINDOW, since=SINCE)
 
 
+@register("fraud_mart_repeated_ids")
+def q_fraud_mart_repeated_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 on a fact whose ids aren't unique (FIXTURES §3.2): every fortieth id again, eleven days later at another
+    terminal. A rule that flags one copy flags the other."""
+    t = with_extra_versions(bank_tables(spark, sf_dir))
+    fact = t.fact_transactions
+    number = F.substring("trans_id", 3, 20).cast("long")
+    again = fact.where(number % 40 == 0).withColumn("trans_date", F.col("trans_date") + F.expr("INTERVAL 11 DAY"))
+    again = again.withColumn("terminal", F.concat(F.lit("T"), ((number * 7 + 1) % 10).cast("string")))
+    return fraud_mart(replace(t, fact_transactions=fact.unionByName(again)), REPORT_DT, None, versions="current", probe_window=PROBE_WINDOW)
+
+
 @register("report_incremental")
 def q_report_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rerun on the same report date after a morning run that saw the transactions
@@ -140,7 +153,7 @@ def q_rule2(spark, sf_dir):
 def q_rule3(spark, sf_dir):
     """R3 alone: a different city less than an hour after the client's previous transaction."""
     return _rule_rows(spark, sf_dir).where(city_hop_rule()).select(
-        "trans_id", "trans_date", "terminal_city", "last_city", "last_trans_date")
+        "trans_id", "trans_date", "terminal_city", "prev_city", "prev_time")
 
 
 @register("rule4_amount_probe")
@@ -182,9 +195,9 @@ def q_lag_client(spark, sf_dir):
     """Previous date and city per client (unbounded lag, time-sliced)."""
     e = _enriched(bank_tables(spark, sf_dir))
     out = exact_lags(e, ["client_id"], window_order(e),
-                     {"last_trans_date": ("trans_date", 1), "last_city": ("terminal_city", 1)},
+                     {"prev_time": ("trans_date", 1), "prev_city": ("terminal_city", 1)},
                      "trans_date")
-    return out.select("trans_id", "last_trans_date", "last_city")
+    return out.select("trans_id", "prev_time", "prev_city")
 
 
 @register("lag_card_type")
@@ -193,9 +206,9 @@ def q_lag_card_type(spark, sf_dir):
     e = _enriched(bank_tables(spark, sf_dir))
     specs = {}
     for k in (1, 2, 3):
-        specs[f"trans_date_{k}"] = ("trans_date", k)
-        specs[f"oper_type_{k}"] = ("oper_type", k)
-        specs[f"amt_{k}"] = ("amt", k)
-        specs[f"result_{k}"] = ("oper_result", k)
+        specs[f"time_back_{k}"] = ("trans_date", k)
+        specs[f"type_back_{k}"] = ("oper_type", k)
+        specs[f"amt_back_{k}"] = ("amt", k)
+        specs[f"result_back_{k}"] = ("oper_result", k)
     out = exact_lags(e, ["client_id", "card_num_dim", "oper_type"], window_order(e), specs, "trans_date")
     return out.select("trans_id", *specs)

@@ -24,21 +24,21 @@ def _reader(spark: SparkSession, schema, fmt: str, sep: str):
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """Transactions text files; adds ``file_name`` for the business date."""
+    """Transactions text files; adds ``file_name`` (the path) for the business date."""
     return (_reader(spark, TRANSACTIONS_FILE, "csv", ";").load(path)
-            .withColumn("file_name", F.col("_metadata.file_name")))
+            .withColumn("file_name", F.col("_metadata.file_path")))
 
 
 def read_terminals(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";") -> DataFrame:
     """S3 (raw): terminals sheet rows plus their file name."""
     return (_reader(spark, TERMINALS_FILE, fmt, sep).load(path)
-            .withColumn("file_name", F.col("_metadata.file_name")))
+            .withColumn("file_name", F.col("_metadata.file_path")))
 
 
 def read_blacklist(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";") -> DataFrame:
     """S4 (raw): passport blacklist sheet rows."""
     return (_reader(spark, BLACKLIST_FILE, fmt, sep).load(path)
-            .withColumn("file_name", F.col("_metadata.file_name")))
+            .withColumn("file_name", F.col("_metadata.file_path")))
 
 
 def read_terminal_keys(spark: SparkSession, path: str, fmt: str = "csv", sep: str = ";") -> DataFrame:
@@ -66,13 +66,15 @@ def stage_blacklist(raw: DataFrame) -> DataFrame:
     return raw.select(*BLACKLIST_FILE.names)
 
 
-def archive_files(spark: SparkSession, paths, archive_dir: str | None) -> list[str]:
-    """K6: move consumed drop files into ``archive_dir`` under their names with ``.backup`` added; files that are
-    gone already (an earlier run moved them) are passed over. Returns the new paths."""
+def archive_files(spark: SparkSession, paths, archive_dir: str | None, base: str | None = None) -> list[str]:
+    """K6: move consumed drop files into ``archive_dir``, under their names (or paths below ``base``) with ``.backup``
+    added; files that are gone already (an earlier run moved them) are passed over. Returns the new paths."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
     moved = []
     for path in paths if archive_dir else ():
-        source = spark._jvm.org.apache.hadoop.fs.Path(path)
-        target = spark._jvm.org.apache.hadoop.fs.Path(f"{archive_dir}/{source.getName()}.backup")
+        source = hadoop(path)
+        name = source.toUri().getPath().split(hadoop(base).toUri().getPath() + "/", 1)[-1] if base else source.getName()
+        target = hadoop(f"{archive_dir}/{name}.backup")
         fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
         if fs.exists(source):
             fs.mkdirs(target.getParent())

@@ -12,7 +12,8 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry  # noqa: E402
 from check_oracles import TABLES, norm  # noqa: E402
 
-KEYS = sorted(entry.queries())
+#: The keys of the training-data operators have their own tests (tests/llm).
+KEYS = sorted(k for k in entry.queries() if k != "pipeline" and not k.startswith("op"))
 
 
 def test_entry_runs(spark):
@@ -36,12 +37,9 @@ def duck():
 
 @pytest.mark.parametrize("key", KEYS)
 def test_oracle_parity(spark, duck, key):
-    sql = entry.oracle_sql().get(key)
+    sql = entry.oracle_sql()[key]
     df = entry.queries()[key](spark, SF0001)
     rows = [tuple(norm(x) for x in r) for r in df.collect()]
-    if sql is None:
-        assert len(rows) >= 0
-        return
     res = duck.execute(sql)
     ocols = [d[0] for d in res.description]
     assert sorted(ocols) == sorted(df.columns)

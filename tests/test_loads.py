@@ -68,6 +68,8 @@ def test_marks_seed_and_advance(spark):
     assert read_mark(meta, "stg_cards") == datetime(1899, 12, 31)
     assert read_mark(meta, "stg_terminals") == datetime(9999, 12, 31)
     assert seed_marks(meta).count() == 4
+    staged = spark.createDataFrame([(None, datetime(2024, 1, 3)), (None, None)], "create_dt timestamp_ntz, update_dt timestamp_ntz")
+    assert read_mark(seed_marks(empty_meta(spark), stages={"stg_cards": staged}), "stg_cards") == datetime(2024, 1, 3)
     empty = spark.createDataFrame([], "create_dt timestamp_ntz, update_dt timestamp_ntz")
     assert read_mark(advance_mark(meta, "stg_cards", empty), "stg_cards") == datetime(1899, 12, 31)
 
@@ -87,8 +89,9 @@ def test_stream_ingests_each_file_once_and_archives(spark, scratch):
     ingest_drops(spark, *args, archive_dir=f"{scratch}/archive", max_files_per_trigger=2)
     staged = spark.read.parquet(f"{scratch}/staging")
     assert staged.count() == transactions(spark, SF0001).count()  # nothing read twice
-    archived = [f for _, _, fs in os.walk(f"{scratch}/archive") for f in fs if f.endswith(".csv")]
-    assert 0 < len(archived) < len(files) + 1  # consumed files moved (the newest one batch later)
+    archived = [f for _, _, fs in os.walk(f"{scratch}/archive") for f in fs if f.startswith("part-")]
+    assert len(archived) == len(files)  # those of the last batch too
+    assert not [f for _, _, fs in os.walk(drops) for f in fs if f.startswith("part-")]
 
 
 def test_daily_pipeline_two_days_and_rerun(spark, scratch):
