@@ -289,7 +289,7 @@ def test_nearest_directory_lends_its_licence(spark):
              ("a/b/Copyright.c", "Copyright 2020 some company, all rights reserved")]
     got = sorted((r.path or "", r.licence, r.inherited_from) for r in scan_licences(spark.createDataFrame(files, "path string, text string")).collect())
     assert got == sorted([("a/LICENSE", "MIT", None), ("a/x.c", "MIT", "a"), ("a/x.c", "MIT", "a"), ("a/b/COPYING", "Apache-2.0", None),
-                          ("a/b/c/y.c", "Apache-2.0", "a/b"), ("a/b/c/z.c", "CC-BY-NC-4.0", None), ("d/q.c", None, None), ("", None, None), ("a/n.c", "MIT", "a"),
+                          ("a/b/c/y.c", "Apache-2.0", "a/b"), ("a/b/c/z.c", "CC-BY-NC-4.0", None), ("d/q.c", None, None), ("", "MIT", None), ("a/n.c", "MIT", "a"),
                           ("a/b/Copyright.c", "Apache-2.0", "a/b")])
 
 
