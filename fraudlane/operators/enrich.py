@@ -137,19 +137,26 @@ def enrich_transactions(fact: DataFrame, cards: DataFrame, accounts: DataFrame,
         F.col("effective_from").alias("terminal_version"))
     f = fact.select("trans_id", "trans_date", "card_num", "oper_type", "amt", "oper_result",
                     "terminal")
-    # a fact row without a card number matches nothing: spread those over all tasks
-    f = f.select("*", null_spread(["card_num"], ["trans_id", "trans_date", "terminal"]))
+    # a fact row without a card number, or without a terminal, matches nothing there: spread those over all tasks
+    f = f.select("*", null_spread(["card_num"], ["trans_id", "trans_date", "terminal"]),
+                 null_spread(["terminal"], ["trans_id", "trans_date", "card_num"]).alias("_no_terminal"))
     prof = prof.select("*", null_spread(["card_key"], ["card_num_dim"]))
     card_match = (F.trim(f.card_num) == prof.card_key) & (f[SPREAD] == prof[SPREAD])
+    helpers = ("card_key", "terminal_key", SPREAD, "_no_terminal", "_no_key")
+
+    def with_spread(t: DataFrame) -> DataFrame:
+        return t.select("*", null_spread(["terminal_key"], ["terminal_city"]).alias("_no_key"))
+
     if versions != "as_of":
-        out = (f.join(prof, card_match, "left")
-                .join(tm, f.terminal == tm.terminal_key, "left"))
-        return out.drop("card_key", "terminal_key", SPREAD)
+        tm = with_spread(tm)
+        at_terminal = (f.terminal == tm.terminal_key) & (F.col("_no_terminal") == F.col("_no_key"))
+        return f.join(prof, card_match, "left").join(tm, at_terminal, "left").drop(*helpers)
     tm = _validity(_versions(terminals, versions).select(
         F.col("terminal_id").alias("terminal_key"), "terminal_city",
         F.col("effective_from").alias("terminal_version"), "effective_from", "effective_to"),
         "terminal_key", "t", placeholder=False)
-    t = f.trans_date
+    tm, t = with_spread(tm), f.trans_date
+    at_terminal = (f.terminal == tm.terminal_key) & (F.col("_no_terminal") == F.col("_no_key"))
     out = (f.join(prof, card_match & _in_interval(t, "valid"), "left")
-            .join(tm, (f.terminal == tm.terminal_key) & _in_interval(t, "t"), "left"))
-    return out.drop("card_key", "terminal_key", "valid_from", "valid_until", "t_from", "t_until", SPREAD)
+            .join(tm, at_terminal & _in_interval(t, "t"), "left"))
+    return out.drop("valid_from", "valid_until", "t_from", "t_until", *helpers)
