@@ -41,7 +41,7 @@ ORDER_KEY, RECORD_TOKENS, RECORDS_PER_SHARD = 20240229, 1024, 4096
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return back(judge_quality(aside(docs)).where("kept"), docs)
+    return back(judge_quality(aside(docs), source_col="source").where("kept"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

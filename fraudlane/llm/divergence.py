@@ -2,13 +2,16 @@
 
 Each document's histogram of character classes and its histogram of common words are compared with
 language references by the Jensen-Shannon distance (square root of the divergence in bits, 0 to 1).
-The references are not given: they are the sums over all documents of a language that are long
-enough, so they follow the corpus. A document is held against its nearest
+The references are not given: they follow the corpus. With a source column, each distinct text that is
+long enough and passes the base rules teaches once, each source of a language weighs the same, and sources far
+from the middle of all teach nothing, so that no source decides alone. Without one, the references are the sums
+over all documents of a language that are long enough. A document is held against its nearest
 reference; its own language label is not trusted. Short documents are guarded: a histogram of few
 counts is far from every reference by chance alone, so a distance only counts from a minimum length.
 
 Defined cases: null and empty texts have no words and fail the base rules; a table without any
-document to learn from has no references, and then the base rules alone decide; languages that are
+document to learn from has no references, and then the base rules alone decide; a text of several sources
+teaches for the first by code point, null sources are one source; languages that are
 not listed (null included) teach no reference but are judged all the same; repeated rows and ties
 are judged alike; an empty table gives an empty result. Texts are read whole, in memory that grows
 with the largest text.
@@ -16,6 +19,7 @@ with the largest text.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from itertools import repeat
 
@@ -24,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialise
 
 #: Function words of the reference languages.
 COMMON_WORDS = {
@@ -150,7 +155,7 @@ def _learn(rules: Rules):
 
 
 def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> list[tuple[np.ndarray, np.ndarray]]:
-    """The references of the listed languages: sums over all their documents that pass. The tasks
+    """The references of the listed languages: sums over all their documents that are long enough. The tasks
     send counts by bin only, so at most languages x bins numbers reach the driver."""
     texts = docs.where(F.col(lang_col).isin(sorted(COMMON_WORDS)) & F.col(text_col).isNotNull())
     counts = (texts.select(F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
@@ -166,6 +171,108 @@ def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text",
     return found
 
 
+def _teach(rules: Rules):
+    """Language, source, digest and counts of the texts that teach."""
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("digest", pa.binary()), ("counts", pa.binary())])
+
+    def run(batches):
+        for b in batches:
+            rows = []
+            for lang, source, text in zip(*(b.column(k).to_pylist() for k in range(3))):
+                raw = text.encode()
+                words = raw.split()
+                if len(words) < max(rules.min_words, rules.word_guard_words):
+                    continue
+                of_classes = class_histogram(raw)
+                if not base_facts(text, raw, words, of_classes, rules)[5]:
+                    counts = np.concatenate([of_classes, word_histogram(words)]).astype("<i4").tobytes()
+                    rows.append((lang, source, hashlib.sha256(raw).digest()[:16], counts))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+    return run
+
+
+#: Histograms are summed as whole numbers of this many parts, so that the order of the sums doesn't matter.
+PARTS = 10 ** 8
+#: Python keeps the sums of so many sources before it sends them on.
+SOURCES_HELD = 4096
+#: A source teaches as far as this many times the median distance of all sources from their medians.
+FAR = 2.0
+
+
+def _parts(h: np.ndarray) -> np.ndarray:
+    return np.round(h * (PARTS / h.sum())).astype(np.int64)
+
+
+def _source_sums(batches):
+    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("bin", pa.int32()), ("n", pa.int64())])
+
+    def sent(sums):
+        rows = [(*key, k, int(n)) for key, h in sums.items() for k, n in enumerate(h) if n]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    sums: dict[tuple, np.ndarray] = {}
+    for b in batches:
+        for lang, source, counts in zip(*(b.column(k).to_pylist() for k in range(3))):
+            h = np.frombuffer(counts, "<i4")
+            both = np.concatenate([_parts(h[:N_CLASSES]), _parts(h[N_CLASSES:])])
+            sums[lang, source] = sums.get((lang, source), 0) + both
+            if len(sums) >= SOURCES_HELD:
+                yield sent(sums)
+                sums = {}
+    if sums:
+        yield sent(sums)
+
+
+def _source_histograms(batches):
+    schema = pa.schema([("lang", pa.string()), ("kind", pa.int32()), ("parts", pa.list_(pa.int64()))])
+    for b in batches:
+        rows = []
+        for lang, bins in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            h = np.zeros(N_CLASSES + len(WORDS) + 1)
+            for r in bins:
+                h[r["bin"]] = r["n"]
+            rows += [(lang, kind, _parts(part).tolist()) for kind, part in enumerate((h[:N_CLASSES], h[N_CLASSES:]))]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def _distances(middles):
+    def run(batches):
+        for b in batches:
+            far = [distance(np.array(h), middles[lang, kind]) for lang, kind, h in zip(*(b.column(k).to_pylist() for k in range(3)))]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(far, pa.float64())], names=[*b.schema.names, "far"])
+    return run
+
+
+def source_references(docs: DataFrame, rules: Rules, text_col: str, lang_col: str, source_col: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The references of the listed languages, with one vote for each source: the mean histogram of the sources
+    near the bin-wise median of all. Languages x bins numbers reach the driver."""
+    texts = docs.where(F.col(lang_col).isin(sorted(COMMON_WORDS)) & F.col(text_col).isNotNull())
+    taught = texts.select(F.col(lang_col).alias("lang"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
+    once = (taught.mapInArrow(_teach(rules), "lang string, source string, digest binary, counts binary")
+            .groupBy("lang", "digest").agg(F.min("source").alias("source"), F.first("counts").alias("counts")))
+    sums = (once.select("lang", "source", "counts").mapInArrow(_source_sums, "lang string, source string, bin int, n long")
+            .groupBy("lang", "source", "bin").agg(F.sum(F.col("n").cast("decimal(38,0)")).cast("double").alias("n")))
+    bins = sums.groupBy("lang", "source").agg(F.collect_list(F.struct("bin", "n")).alias("bins")).select("lang", "bins")
+    each = materialise(bins.mapInArrow(_source_histograms, "lang string, kind int, parts array<bigint>"), "source-histograms")
+
+    def histograms(rows: DataFrame, of_bin) -> dict[tuple, np.ndarray]:
+        found: dict[tuple, np.ndarray] = {}
+        for r in rows.select("lang", "kind", F.posexplode("parts")).groupBy("lang", "kind", "pos").agg(of_bin.alias("n")).collect():
+            found.setdefault((r.lang, r.kind), np.zeros((N_CLASSES, len(WORDS) + 1)[r.kind]))[r.pos] = r.n
+        return found
+
+    middles = histograms(each, F.percentile_approx("col", 0.5, 10000))
+    if not middles:
+        return []
+    measured = each.mapInArrow(_distances(middles), "lang string, kind int, parts array<bigint>, far double")
+    limits = measured.groupBy("lang", "kind").agg((FAR * F.percentile_approx("far", 0.5, 10000)).alias("limit"))
+    near = measured.join(F.broadcast(limits), ["lang", "kind"]).where(F.col("far") <= F.col("limit"))
+    found = histograms(near, F.sum(F.col("col").cast("decimal(38,0)")).cast("double"))
+    return [(found[lang, 0], found[lang, 1]) for lang in sorted({lang for lang, _ in found})]
+
+
 FACTS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
          "base_failed boolean, class_distance double, word_distance double, kept boolean")
 
@@ -187,12 +294,14 @@ def judge(text: str | None, refs, rules: Rules) -> tuple:
     return (*facts, by_class, by_word, kept)
 
 
-def quality(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` with the columns of FACTS for each row; columns of the same names are replaced.
+def quality(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang",
+            source_col: str | None = None) -> DataFrame:
+    """``docs`` with the columns of FACTS for each row; columns of the same names are replaced. With ``source_col``
+    the references are those of source_references.
 
-    The texts pass through one Arrow stage with all columns of ``docs`` beside them; nothing is shuffled.
+    The texts pass through one Arrow stage with all columns of ``docs`` beside them; no text is shuffled.
     """
-    refs = references(docs, rules, text_col, lang_col)
+    refs = source_references(docs, rules, text_col, lang_col, source_col) if source_col else references(docs, rules, text_col, lang_col)
     names = [f.split()[0] for f in FACTS.split(", ")]
     kept = docs.drop(*names)
     at = kept.columns.index(text_col)

@@ -158,6 +158,22 @@ def test_divergence_separates_the_labels(spark, docs):
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.25 * len(bad)
 
 
+def test_hot_junk_source_teaches_nothing(spark):
+    """A source of junk under one label holds a third of all rows, as copies, failing and passing texts."""
+    rng, sf = np.random.default_rng(3), SF0001.replace("sf0.001", "sf0.01")
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    junk = [" ".join("".join(rng.choice(list("QXZ#0123456789"), 6)) for _ in range(400)) for _ in range(150)]
+    same = " ".join(["KAUFEN 4711"] * 400)
+    hot = [(10 ** 6 + k, t, "de", "hot") for k, t in enumerate([*junk, *[junk[0]] * 150, *[same] * 200])]
+    columns = "doc_id long, text string, lang string, source string"
+
+    def kept(rows):
+        return {r.doc_id for r in corpus_pipeline.quality(spark, spark.createDataFrame(rows, columns).repartition(8), SF0001).select("doc_id").collect()}
+
+    clean, mixed = kept(rows), kept(rows + hot)
+    assert clean and mixed == clean
+
+
 def test_chats_read_back(spark):
     talks = collections.defaultdict(list)
     for r in spark.read.parquet(f"{SF0001}/conversations.parquet").collect():
