@@ -7,7 +7,8 @@ at or above ``least`` is the statement's licence, and a file's own licence is th
 
 A directory's licence is that of its licence files (by name: LICENSE, LICENCE or COPYING). A file
 without a licence of its own takes the one of the nearest directory above it that has one. This is resolved
-once per distinct directory, by a join of its ancestor paths, and joined to the files.
+once per distinct directory, by a join of its ancestor paths, and joined to the files. The top of a tree, relative
+or absolute, is the directory ''.
 
 Only DataFrame functions are used. A statement or a directory that a third of all files share is one row
 on the scored side of its join.
@@ -87,7 +88,7 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.8, pat
     keep = [c for c in files.columns if c not in (*ADDED, text_col)]
     segments = F.when(F.col(text_col).rlike(CUE), F.filter(F.split(text_col, APART), lambda s: s.rlike(CUE)))
     rows = materialise(files.select(*keep, F.array_distinct(F.transform(segments, F.trim)).alias("_said"),
-                                    F.regexp_extract(path_col, r"^(.*)/[^/]*$", 1).alias("_dir")), "licence-files")
+                                    F.regexp_extract(path_col, r"^(.*)/[^/]*$", 1).alias("_dir"), F.col(path_col).startswith("/").alias("_rooted")), "licence-files")
     statements = rows.select(F.explode("_said").alias("statement")).distinct()
     scores = materialise(statement_scores(statements, templates, least), "statement-scores")
 
@@ -97,14 +98,18 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.8, pat
     own = materialise(own, "own-licences")
 
     named = own.where(F.col("_path").rlike(LICENCE_FILE))
-    of_dir = named.groupBy(F.regexp_extract("_path", r"^(.*)/[^/]*$", 1).alias("_at")).agg(F.max("_own")["name"].alias("name"))
-    dirs = rows.where(F.col(path_col).isNotNull()).select("_dir").distinct()
+    of_dir = (named.groupBy(F.regexp_extract("_path", r"^(.*)/[^/]*$", 1).alias("_at"), F.col("_path").startswith("/").alias("_rooted"))
+              .agg(F.max("_own")["name"].alias("name")))
+    dirs = rows.where(F.col(path_col).isNotNull()).select("_dir", "_rooted").distinct()
     parts = F.split("_dir", "/")
-    above = dirs.select("_dir", F.explode(F.sequence(F.lit(1), F.size(parts))).alias("depth")).select("_dir", "depth", F.array_join(F.slice(parts, F.lit(1), F.col("depth")), "/").alias("_at"))
-    nearest = above.join(of_dir, "_at").groupBy(F.col("_dir").alias("_nd")).agg(F.max(F.struct("depth", "_at", "name")).alias("_near"))
+    # The top of a relative tree is depth 0; an absolute one's is depth 1, as its first part is empty.
+    depths = F.explode(F.sequence(F.when(F.col("_rooted"), 1).otherwise(0), F.size(parts)))
+    above = dirs.select("_dir", "_rooted", depths.alias("depth")).select("_dir", "_rooted", "depth", F.array_join(F.slice(parts, F.lit(1), F.col("depth")), "/").alias("_at"))
+    nearest = (above.join(of_dir, ["_at", "_rooted"]).groupBy(F.col("_dir").alias("_nd"), F.col("_rooted").alias("_nr"))
+               .agg(F.max(F.struct("depth", "_at", "name")).alias("_near")))
 
     found = (rows.join(own.withColumnRenamed("_said", "_s"), F.col(path_col).eqNullSafe(F.col("_path")) & (F.col("_said") == F.col("_s")), "left")
-             .join(nearest, F.col(path_col).isNotNull() & (F.col("_dir") == F.col("_nd")), "left"))
+             .join(nearest, F.col(path_col).isNotNull() & (F.col("_dir") == F.col("_nd")) & (F.col("_rooted") == F.col("_nr")), "left"))
     inherits = F.col("_own").isNull()
     return found.select(*keep, F.col("_own.name").alias("own_licence"), F.col("_own.score").alias("own_score"),
                         F.coalesce("_own.name", "_near.name").alias("licence"), F.when(inherits, F.col("_near._at")).alias("inherited_from"))

@@ -309,6 +309,18 @@ def test_nearest_directory_lends_its_licence(spark):
                           ("a/b/Copyright.c", "Apache-2.0", "a/b")])
 
 
+def test_licence_at_the_top_of_a_tree(spark):
+    from fraudlane.llm.licence_scan import scan_licences
+    files = [("LICENSE", "Released under the MIT License."), ("src/a.c", "code"), ("src/lib/b.c", "code"), ("c.c", "code"), ("/x/d.c", "code"),
+             ("/abs/e.c", "code"), ("/abs/LICENSE", "Released under the ISC License")]
+    got = {r.path: (r.licence, r.inherited_from) for r in scan_licences(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert got == {"LICENSE": ("MIT", None), "src/a.c": ("MIT", ""), "src/lib/b.c": ("MIT", ""), "c.c": ("MIT", ""), "/x/d.c": (None, None),
+                   "/abs/e.c": ("ISC", "/abs"), "/abs/LICENSE": ("ISC", None)}
+    rooted = [("/LICENSE", "Released under the MIT License."), ("/src/a.c", "code"), ("b.c", "code")]
+    got = {r.path: r.licence for r in scan_licences(spark.createDataFrame(rooted, "path string, text string")).collect()}
+    assert got == {"/LICENSE": "MIT", "/src/a.c": "MIT", "b.c": None}
+
+
 def test_pipeline_stages_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF0001}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)
