@@ -5,6 +5,11 @@ scored once: its terms, weighted by count and inverse template frequency, are jo
 to the templates' weighted terms, and the products summed and normed are the cosine. The best notice
 at or above ``least`` is the statement's licence, and a file's own licence is that of its best statement.
 
+Beside the notices there are fixed forms: SPDX tags, titles, names, standard headers and the opening words of full
+texts. A form counts 1.0 where it stands word for word, whatever stands around it: in a statement, in a file's first
+HEADER characters, or anywhere in a licence file, over line ends too. GNU texts name each other, so a text that opens with the
+title of one is not taken for the others.
+
 A directory's licence is that of its licence files (by name: LICENSE, LICENCE or COPYING). A file
 without a licence of its own takes the one of the nearest directory above it that has one. This is resolved
 once per distinct directory, by a join of its ancestor paths, and joined to the files. The top of a tree, relative
@@ -47,6 +52,45 @@ TEMPLATES = (
     ("MPL-2.0", "this source code is subject to the terms of the mozilla public license v 2.0"),
     ("Unlicense", "released into the public domain under the unlicense"),
 )
+#: Titles of the GNU licences, and what follows with a version.
+GNU = {"GPL": "gnu general public licen[cs]e", "LGPL": "gnu (?:lesser|library) general public licen[cs]e", "AGPL": "gnu affero general public licen[cs]e"}
+BREAK = "endofstatement"
+
+
+def _gnu(kind: str, version: str) -> str:
+    title, short, v = GNU[kind], kind.lower(), version.replace(".", r"\.") + (r"(?:\.0)?" if "." not in version else "")
+    return (f" (?:{title}|{short})(?: {short})?(?: as published by the free software foundation)?(?: either)?(?: version| v)? v?{v} "
+            f"| {short}v{v} | version {v} of the {title} | version {v} of the license .{{0,80}}{title} ")
+
+
+def _spdx(name: str) -> str:
+    words = name.lower().replace("-", " ").replace(".", r"\.")
+    return rf" spdx license identifier (?:(?!{BREAK} )[a-z0-9.]+ ){{0,16}}?{words} "
+
+
+#: Forms by SPDX identifier, as patterns over lower-case words between single blanks.
+FORMS = {
+    "AGPL-3.0": _gnu("AGPL", "3"),
+    "Apache-2.0": r" apache (?:software )?licen[cs]e(?: version| v)? v?2(?:\.0)? | apache (?:version |v )?v?2(?:\.0)? licen[cs]e ",
+    "BSD-2-Clause": r" bsd 2 clause | 2 clause bsd | simplified bsd licen[cs]e | redistribution and use in source and binary forms (?!.* neither the name )",
+    "BSD-3-Clause": r" bsd 3 clause | 3 clause bsd | (?:new|modified|revised) bsd licen[cs]e | redistribution and use in source and binary forms .* neither the name ",
+    "CC-BY-4.0": r" cc by 4\.0 | creative commons attribution 4\.0 ",
+    "CC-BY-NC-4.0": r" cc by nc 4\.0 | creative commons attribution non ?commercial 4\.0 ",
+    "CC-BY-SA-4.0": r" cc by sa 4\.0 | creative commons attribution share ?alike 4\.0 ",
+    "CC0-1.0": r" cc0 1\.0 | cc0 public domain | creative commons zero ",
+    "GPL-2.0": _gnu("GPL", "2"),
+    "GPL-3.0": _gnu("GPL", "3"),
+    "ISC": r" isc licen[cs]e | permission to use copy modify and (?:or )?distribute this software for any purpose with or without fee is hereby granted provided ",
+    "LGPL-2.1": _gnu("LGPL", "2.1"),
+    "LGPL-3.0": _gnu("LGPL", "3"),
+    "MIT": r" mit licen[cs]e | under (?:the )?(?:terms of (?:the )?)?mit | permission is hereby granted free of charge to any person obtaining a copy of this software ",
+    "MPL-2.0": r" mozilla public licen[cs]e(?: version| v)? v?2(?:\.0)? | mpl v?2(?:\.0)? | mplv2(?:\.0)? ",
+    "Unlicense": r" the unlicense | this is free and unencumbered software released into the public domain ",
+}
+FORMS = {name: pattern + "|" + _spdx(name) for name, pattern in FORMS.items()}
+#: Named without any version: a licence of its own name, if no version stands elsewhere.
+UNVERSIONED = "GPL"
+HEADER = 4096
 CUE = r"(?i)licen[cs]|copyright|public domain|spdx|all rights reserved"
 APART = r"\n|[.;!?]\x20+"
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
@@ -82,19 +126,46 @@ def statement_scores(statements: DataFrame, templates, least: float) -> DataFram
     return best.where(F.col("b.score") >= least).select("statement", "b.name", "b.score")
 
 
+def _said_words(text: Column) -> Column:
+    return F.concat(F.lit(" "), F.array_join(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)), " "), F.lit(" "))
+
+
+def _forms(words: Column, title: Column) -> Column:
+    """The licences whose forms stand in the words."""
+    found = F.array_compact(F.array(*[F.when(words.rlike(pattern), F.lit(name)) for name, pattern in FORMS.items()]))
+    bare = words.rlike(f" {GNU[UNVERSIONED]} ") & ~F.exists(found, lambda f: f.rlike("^L?GPL|^AGPL"))
+    found = F.when(bare, F.array_append(found, F.lit(UNVERSIONED))).otherwise(found)
+    return F.filter(found, lambda f: _agrees(f, title))
+
+
+def _agrees(name: Column, title: Column) -> Column:
+    """Whether a text that opens with the GNU title (or none: null) can have the licence."""
+    kind = F.regexp_extract(name, r"^([AL]?GPL)(?:-|$)", 1)
+    return title.isNull() | (kind == "") | (kind == title)
+
+
 def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.8, path_col: str = "path", text_col: str = "text") -> DataFrame:
     """``files`` without its text, with own_licence, own_score, licence and inherited_from (a directory, or null
     for the file's own licence)."""
     keep = [c for c in files.columns if c not in (*ADDED, text_col)]
     segments = F.when(F.col(text_col).rlike(CUE), F.filter(F.split(text_col, APART), lambda s: s.rlike(CUE)))
-    rows = materialise(files.select(*keep, F.array_distinct(F.transform(segments, F.trim)).alias("_said"),
+    text = F.col(text_col)
+    # SPDX tags end with their line, so only statements have them.
+    whole = F.regexp_replace(F.when(F.col(path_col).rlike(LICENCE_FILE), text).otherwise(F.substring(text, 1, HEADER)), "(?i)spdx", "")
+    words = F.when(text.rlike(CUE), _said_words(F.concat_ws(f" {BREAK} ", whole, F.array_join(segments, f" {BREAK} "))))
+    opening = F.concat(*[F.when(F.col("_words").rlike(f"^ (?:the )?{title} (?:{kind.lower()} )?version "), F.lit(kind)).otherwise(F.lit("")) for kind, title in GNU.items()])
+    read = files.withColumn("_words", words).withColumn("_title", F.when(opening != "", opening))
+    rows = materialise(read.select(*keep, F.array_distinct(F.transform(segments, F.trim)).alias("_said"), "_title",
+                                    F.when(F.col("_words").isNotNull(), _forms(F.col("_words"), F.col("_title"))).alias("_found"),
                                     F.regexp_extract(path_col, r"^(.*)/[^/]*$", 1).alias("_dir"), F.col(path_col).startswith("/").alias("_rooted")), "licence-files")
     statements = rows.select(F.explode("_said").alias("statement")).distinct()
     scores = materialise(statement_scores(statements, templates, least), "statement-scores")
 
-    told = rows.where(F.size("_said") > 0).select(F.col(path_col).alias("_path"), "_said").distinct()
-    own = (told.withColumn("statement", F.explode("_said")).join(scores, "statement").groupBy("_path", "_said")
-           .agg(F.max(F.struct("score", "name")).alias("_own")))
+    told = rows.where((F.size("_said") > 0) | (F.size("_found") > 0)).select(F.col(path_col).alias("_path"), "_said", "_found", "_title").distinct()
+    key = ["_path", "_said", "_found"]
+    scored = told.withColumn("statement", F.explode("_said")).join(scores, "statement").where(_agrees(F.col("name"), F.col("_title")))
+    formed = told.select(*key, F.lit(1.0).alias("score"), F.explode("_found").alias("name"))
+    own = scored.select(*key, "score", "name").unionByName(formed).groupBy(*key).agg(F.max(F.struct("score", "name")).alias("_own"))
     own = materialise(own, "own-licences")
 
     named = own.where(F.col("_path").rlike(LICENCE_FILE))
@@ -108,7 +179,8 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.8, pat
     nearest = (above.join(of_dir, ["_at", "_rooted"]).groupBy(F.col("_dir").alias("_nd"), F.col("_rooted").alias("_nr"))
                .agg(F.max(F.struct("depth", "_at", "name")).alias("_near")))
 
-    found = (rows.join(own.withColumnRenamed("_said", "_s"), F.col(path_col).eqNullSafe(F.col("_path")) & (F.col("_said") == F.col("_s")), "left")
+    found = (rows.join(own.withColumnsRenamed({"_said": "_s", "_found": "_f"}), F.col(path_col).eqNullSafe(F.col("_path")) & (F.col("_said") == F.col("_s"))
+                       & (F.col("_found") == F.col("_f")), "left")
              .join(nearest, F.col(path_col).isNotNull() & (F.col("_dir") == F.col("_nd")) & (F.col("_rooted") == F.col("_nr")), "left"))
     inherits = F.col("_own").isNull()
     return found.select(*keep, F.col("_own.name").alias("own_licence"), F.col("_own.score").alias("own_score"),

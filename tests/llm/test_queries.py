@@ -309,6 +309,31 @@ def test_nearest_directory_lends_its_licence(spark):
                           ("a/b/Copyright.c", "Apache-2.0", "a/b")])
 
 
+HELD_OUT = {
+    "MIT": ["SPDX-License-Identifier: MIT", "This project is released under the MIT license", "Licensed under the MIT license here",
+            "Copyright (c) 2020 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software, to sublicense it"],
+    "Apache-2.0": ["// SPDX-License-Identifier: Apache-2.0", '# Licensed under the Apache License, Version 2.0 (the "License"); you may not\n# use this file',
+                   "                                 Apache License\n                           Version 2.0, January 2004"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "Copyright 2020\nRedistribution and use in source and binary forms, with or without modification\n3. Neither the name of the holder"],
+    "BSD-2-Clause": ["Copyright 2020\nRedistribution and use in source and binary forms, with or without modification, are permitted"],
+    "ISC": ["ISC License"],
+    "GPL-3.0": ["This program is licensed under the GNU General Public License version 3", "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007\n"
+                "under version 3 of the GNU Affero General Public License into a single work", "SPDX-License-Identifier: GPL-3.0-or-later",
+                "you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License"],
+    "LGPL-3.0": ["GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\nterms of version 3 of the GNU General Public License"],
+    "GPL": ["GNU GENERAL PUBLIC LICENSE"],
+    "MPL-2.0": ["Mozilla Public License Version 2.0"],
+    None: ["Copyright 2020 some company, all rights reserved", "The licence fee of the public house", "SPDX-FileCopyrightText: 2020 a summit", "We permit licensed plumbers"],
+}
+
+
+def test_held_out_licence_wordings(spark):
+    from fraudlane.llm.licence_scan import scan_licences
+    files = [(f"d{k}-{j}/{name}", t, want) for k, (want, texts) in enumerate(HELD_OUT.items()) for j, t in enumerate(texts) for name in ("LICENSE", "a.c")]
+    got = scan_licences(spark.createDataFrame(files, "path string, text string, want string")).collect()
+    assert len(got) == len(files) and [(r.path, r.own_licence, r.want) for r in got if r.own_licence != r.want] == []
+
+
 def test_licence_at_the_top_of_a_tree(spark):
     from fraudlane.llm.licence_scan import scan_licences
     files = [("LICENSE", "Released under the MIT License."), ("src/a.c", "code"), ("src/lib/b.c", "code"), ("c.c", "code"), ("/x/d.c", "code"),
