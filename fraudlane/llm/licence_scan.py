@@ -13,7 +13,7 @@ title of one is not taken for the others.
 A directory's licence is that of its licence files (by name: LICENSE, LICENCE or COPYING). A file
 without a licence of its own takes the one of the nearest directory above it that has one. This is resolved
 once per distinct directory, by a join of its ancestor paths, and joined to the files. The top of a tree, relative
-or absolute, is the directory ''.
+or absolute, is the directory ''. Each distinct licence of a file or directory is listed; the single one is the best.
 
 Only DataFrame functions are used. A statement or a directory that a third of all files share is one row
 on the scored side of its join.
@@ -95,7 +95,7 @@ CUE = r"(?i)licen[cs]|copyright|public domain|spdx|all rights reserved"
 APART = r"\n|[.;!?]\x20+"
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
 LICENCE_FILE = r"(?i)(^|/)(license|licence|copying)[^/]*$"
-ADDED = ("own_licence", "own_score", "licence", "inherited_from")
+ADDED = ("own_licence", "own_score", "licence", "inherited_from", "own_licences", "licences")
 
 
 def _weighted(terms: DataFrame, key: str, idf: DataFrame, unseen: Column) -> DataFrame:
@@ -146,7 +146,8 @@ def _agrees(name: Column, title: Column) -> Column:
 
 def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.8, path_col: str = "path", text_col: str = "text") -> DataFrame:
     """``files`` without its text, with own_licence, own_score, licence and inherited_from (a directory, or null
-    for the file's own licence)."""
+    for the file's own licence), and own_licences and licences: all that the file names, and those or else all of the
+    directory it inherits from, by code point. More than one there is a dual licence or a conflict."""
     keep = [c for c in files.columns if c not in (*ADDED, text_col)]
     segments = F.when(F.col(text_col).rlike(CUE), F.filter(F.split(text_col, APART), lambda s: s.rlike(CUE)))
     text = F.col(text_col)
@@ -165,23 +166,26 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.8, pat
     key = ["_path", "_said", "_found"]
     scored = told.withColumn("statement", F.explode("_said")).join(scores, "statement").where(_agrees(F.col("name"), F.col("_title")))
     formed = told.select(*key, F.lit(1.0).alias("score"), F.explode("_found").alias("name"))
-    own = scored.select(*key, "score", "name").unionByName(formed).groupBy(*key).agg(F.max(F.struct("score", "name")).alias("_own"))
+    own = scored.select(*key, "score", "name").unionByName(formed).groupBy(*key).agg(
+        F.max(F.struct("score", "name")).alias("_own"), F.array_sort(F.collect_set("name")).alias("_names"))
     own = materialise(own, "own-licences")
 
     named = own.where(F.col("_path").rlike(LICENCE_FILE))
-    of_dir = (named.groupBy(F.regexp_extract("_path", r"^(.*)/[^/]*$", 1).alias("_at"), F.col("_path").startswith("/").alias("_rooted"))
-              .agg(F.max("_own")["name"].alias("name")))
+    of_dir = (named.withColumn("_each", F.explode("_names")).groupBy(F.regexp_extract("_path", r"^(.*)/[^/]*$", 1).alias("_at"), F.col("_path").startswith("/").alias("_rooted"))
+              .agg(F.max("_own")["name"].alias("name"), F.array_sort(F.collect_set("_each")).alias("names")))
     dirs = rows.where(F.col(path_col).isNotNull()).select("_dir", "_rooted").distinct()
     parts = F.split("_dir", "/")
     # The top of a relative tree is depth 0; an absolute one's is depth 1, as its first part is empty.
     depths = F.explode(F.sequence(F.when(F.col("_rooted"), 1).otherwise(0), F.size(parts)))
     above = dirs.select("_dir", "_rooted", depths.alias("depth")).select("_dir", "_rooted", "depth", F.array_join(F.slice(parts, F.lit(1), F.col("depth")), "/").alias("_at"))
     nearest = (above.join(of_dir, ["_at", "_rooted"]).groupBy(F.col("_dir").alias("_nd"), F.col("_rooted").alias("_nr"))
-               .agg(F.max(F.struct("depth", "_at", "name")).alias("_near")))
+               .agg(F.max(F.struct("depth", "_at", "name", "names")).alias("_near")))
 
     found = (rows.join(own.withColumnsRenamed({"_said": "_s", "_found": "_f"}), F.col(path_col).eqNullSafe(F.col("_path")) & (F.col("_said") == F.col("_s"))
                        & (F.col("_found") == F.col("_f")), "left")
              .join(nearest, F.col(path_col).isNotNull() & (F.col("_dir") == F.col("_nd")) & (F.col("_rooted") == F.col("_nr")), "left"))
     inherits = F.col("_own").isNull()
     return found.select(*keep, F.col("_own.name").alias("own_licence"), F.col("_own.score").alias("own_score"),
-                        F.coalesce("_own.name", "_near.name").alias("licence"), F.when(inherits, F.col("_near._at")).alias("inherited_from"))
+                        F.coalesce("_own.name", "_near.name").alias("licence"), F.when(inherits, F.col("_near._at")).alias("inherited_from"),
+                        F.coalesce("_names", F.array().cast("array<string>")).alias("own_licences"),
+                        F.coalesce("_names", "_near.names", F.array().cast("array<string>")).alias("licences"))

@@ -117,4 +117,4 @@ def _paths(docs: DataFrame) -> DataFrame:
 def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of all documents as files of a tree: own ones, and those of the nearest directory above."""
     files = _paths(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("source")
-    return scan_licences(files)
+    return scan_licences(files).drop("own_licences", "licences")  # the SQL states the single ones

@@ -334,6 +334,16 @@ def test_held_out_licence_wordings(spark):
     assert len(got) == len(files) and [(r.path, r.own_licence, r.want) for r in got if r.own_licence != r.want] == []
 
 
+def test_every_licence_of_a_directory_is_listed(spark):
+    from fraudlane.llm.licence_scan import scan_licences
+    files = [("a/LICENSE-MIT", "Released under the MIT License."), ("a/LICENSE-APACHE", "Licensed under the Apache License, Version 2.0."),
+             ("a/b/x.c", "code"), ("a/y.c", "Released under the MIT License.\nLicensed under CC BY-NC 4.0."), ("c/z.c", "code")]
+    got = {r.path: (r.own_licences, r.licences, r.licence) for r in scan_licences(spark.createDataFrame(files, "path string, text string")).collect()}
+    both = ["Apache-2.0", "MIT"]
+    assert got == {"a/LICENSE-MIT": (["MIT"], ["MIT"], "MIT"), "a/LICENSE-APACHE": (["Apache-2.0"], ["Apache-2.0"], "Apache-2.0"),
+                   "a/b/x.c": ([], both, "MIT"), "a/y.c": (["CC-BY-NC-4.0", "MIT"], ["CC-BY-NC-4.0", "MIT"], "MIT"), "c/z.c": ([], [], None)}
+
+
 def test_licence_at_the_top_of_a_tree(spark):
     from fraudlane.llm.licence_scan import scan_licences
     files = [("LICENSE", "Released under the MIT License."), ("src/a.c", "code"), ("src/lib/b.c", "code"), ("c.c", "code"), ("/x/d.c", "code"),
