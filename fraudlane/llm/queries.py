@@ -18,7 +18,7 @@ from .registry import register
 from .secret_ledger import scan_secrets, span_text
 from .token_cache import token_counts
 from .tokenizer_files import END_TOKEN, rank_file, tokenizer_json
-from .training_order import in_training_order, token_records
+from .training_order import read_training_order, write_training_order
 
 TOKEN_LIMIT = 1024
 
@@ -85,10 +85,11 @@ ORDER_KEY, RECORD_TOKENS, RECORDS_PER_SHARD = 20240229, 1024, 4096
 
 @register("op1_training_order")
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as records of 1,024 tokens, whole shards of 4,096 slots in slot order."""
+    """All documents as records of 1,024 tokens, written as raw shards of 4,096 slots and read back from them in slot order."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    records = token_records(docs, rank_file(), END_TOKEN, RECORD_TOKENS)
-    return in_training_order(records, ORDER_KEY, RECORDS_PER_SHARD)
+    folder = shared_folder(spark, "training-shards")
+    write_training_order(docs, rank_file(), END_TOKEN, RECORD_TOKENS, ORDER_KEY, RECORDS_PER_SHARD, folder)
+    return read_training_order(spark, folder, RECORD_TOKENS)
 
 
 @register("op7_chat_tree")

@@ -134,14 +134,19 @@ def token_records(docs: DataFrame, ranks_file: bytes, end: int, length: int, id_
     """The written table of records, see SEQUENCE; ``end`` is the id of the end token."""
     if end >= 1 << 16:
         raise ValueError("token ids are kept in two bytes")
+    return materialise(_unwritten(docs, ranks_file, end, length, id_col, text_col), "token-records")
+
+
+def _unwritten(docs: DataFrame, ranks_file: bytes, end: int, length: int, id_col: str, text_col: str) -> DataFrame:
     ranks = docs.sparkSession.sparkContext.broadcast(ranks_file)  # a vocabulary file, of fixed size
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    return materialise(texts.mapInArrow(_records(ranks, end, length), SEQUENCE), "token-records")
+    return texts.mapInArrow(_records(ranks, end, length), SEQUENCE)
 
 
-def in_training_order(records: DataFrame, key: int, per_shard: int) -> DataFrame:
-    """(slot, shard, place, n_tokens, docs, record): each shard whole in one partition, in the order of its slots."""
-    counts = records.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+def in_training_order(records: DataFrame, key: int, per_shard: int, facts: DataFrame | None = None) -> DataFrame:
+    """(slot, shard, place, n_tokens, docs, record): each shard whole in one partition, in the order of its slots.
+    ``facts`` has part and ordinal of all records, if they are not to be counted from the records themselves."""
+    counts = (records if facts is None else facts).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialise(counts.select(F.col("part").alias("_p"), "n", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("_offset")), "offsets")
     n = offsets.agg(F.sum("n")).first()[0] or 0
@@ -154,9 +159,10 @@ def in_training_order(records: DataFrame, key: int, per_shard: int) -> DataFrame
 
     numbered = records.join(F.broadcast(offsets.drop("n")), F.col("part") == F.col("_p"))  # a row for each input partition
     slot = slot_of(F.col("_offset") + F.col("ordinal"))
-    placed = numbered.select(slot.alias("slot"), "n_tokens", "docs", "record")
+    carried = [c for c in ("n_tokens", "docs", "record") if c in records.columns]
+    placed = numbered.select(slot.alias("slot"), *carried)
     placed = placed.select("slot", F.floor(F.col("slot") / per_shard).cast("int").alias("shard"),
-                           (F.col("slot") % per_shard).cast("int").alias("place"), "n_tokens", "docs", "record")
+                           (F.col("slot") % per_shard).cast("int").alias("place"), *carried)
     tasks = min(shards, max(1, int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4))
     deal = F.floor(F.col("shard").cast("long") * tasks / shards).cast("int")
     return placed.repartitionById(tasks, deal).sortWithinPartitions("shard", "slot")
@@ -169,6 +175,37 @@ def write_shards(ordered: DataFrame, folder: str) -> None:
     ordered.drop("record").write.parquet(f"{folder}/index")
 
 
+def write_training_order(docs: DataFrame, ranks_file: bytes, end: int, length: int, key: int, per_shard: int, folder: str,
+                         id_col: str = "doc_id", text_col: str = "text") -> None:
+    """The files of write_shards without a written table of the records: a first pass over the texts writes only
+    their index, which numbers them, and a second one deals the tokens. Both read the input in the same partitions."""
+    if end >= 1 << 16:
+        raise ValueError("token ids are kept in two bytes")
+    records = _unwritten(docs, ranks_file, end, length, id_col, text_col)
+    facts = materialise(records.drop("record"), "record-facts")
+    in_training_order(facts, key, per_shard).write.parquet(f"{folder}/index")
+    ordered = in_training_order(records.drop("n_tokens", "docs"), key, per_shard, facts)
+    as_text = ordered.select("shard", F.col("record").cast("string").alias("value"))
+    as_text.write.partitionBy("shard").option("lineSep", "\n").text(f"{folder}/records")
+
+
+def read_training_order(spark: SparkSession, folder: str, length: int) -> DataFrame:
+    """(slot, shard, place, n_tokens, docs, record) of all records, read back from the raw files by their stride, shard
+    by shard in the order of their slots."""
+    names = ["slot", "shard", "place", "n_tokens", "docs"]
+
+    def matched(index: pa.Table, found: pa.Table) -> pa.Table:
+        index, found = index.sort_by("place"), found.sort_by("place")
+        if index["place"].to_pylist() != found["place"].to_pylist():
+            raise ValueError("a shard file doesn't have the records of its index")
+        return index.select(names).append_column("record", found["record"])
+
+    index = spark.read.parquet(f"{folder}/index").select(names)
+    found = read_shards(spark, folder, length)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in index.schema.fields)
+    return index.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(matched, f"{kinds}, record binary")
+
+
 def read_shards(spark: SparkSession, folder: str, length: int) -> DataFrame:
     """(shard, place, record) read back from the raw files by their stride alone."""
     stride = 2 * length + 1

@@ -88,6 +88,16 @@ def test_training_order_round_trip(spark, docs, scratch):
     assert {k: enc.decode(v[:-1]) for k, v in tokens.items()} == {k: r.text for k, r in docs.items()}
 
 
+def test_training_order_query_returns_what_its_files_hold(spark, monkeypatch, scratch):
+    monkeypatch.setattr(queries, "shared_folder", lambda spark, tag: f"{scratch}/{tag}")
+    rows = QUERIES["op1_training_order"](spark, SF0001).collect()
+    raw = {(r.shard, r.place): bytes(r.record) for r in read_shards(spark, f"{scratch}/training-shards", queries.RECORD_TOKENS).collect()}
+    assert rows and raw == {(r.shard, r.place): bytes(r.record) for r in rows}
+    records = token_records(spark.read.parquet(f"{SF0001}/documents.parquet"), rank_file(), END_TOKEN, queries.RECORD_TOKENS)
+    want = in_training_order(records, queries.ORDER_KEY, queries.RECORDS_PER_SHARD).collect()
+    assert {r.slot: tuple(r) for r in rows} == {r.slot: tuple(r) for r in want} and [r.slot for r in rows] == sorted(r.slot for r in rows)
+
+
 def test_ring_shards_are_even_and_gapless(spark, docs):
     rows = QUERIES["op4_ring_shards"](spark, SF0001).collect()
     assert {r.doc_id: (r["size"], r.text_crc32) for r in rows} == {
