@@ -14,10 +14,13 @@ from .hash_ring import ring_shards
 from .licence_scan import CUE, scan_licences
 from .ngram_join import jaccard_components
 from .pareto_mix import mix
+from .periodic_runs import periodic_runs
+from .piece_bpe import encode_texts
 from .registry import register
 from .secret_ledger import scan_secrets, span_text
+from .spelling_trie import variant_groups
 from .token_cache import token_counts
-from .tokenizer_files import END_TOKEN, rank_file, tokenizer_json
+from .tokenizer_files import END_TOKEN, piece_model, rank_file, tokenizer_json
 from .training_order import read_training_order, write_training_order
 
 TOKEN_LIMIT = 1024
@@ -119,3 +122,60 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of all documents as files of a tree: own ones, and those of the nearest directory above."""
     files = _paths(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("source")
     return scan_licences(files).drop("own_licences", "licences")  # the SQL states the single ones
+
+
+LONG_RUN, ENGLISH_UPPER = r"[A-Za-zÀ-ÿ]{7,}", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _misspelt_words(docs: DataFrame) -> DataFrame:
+    """(word, n): maximal letter runs, A-Z in lower case, one code point deleted where 31 divides the CRC of id and run; results of
+    seven code points that come twice or more. Shorter runs can't become such words, so they aren't taken."""
+    runs = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(LONG_RUN), F.lit(0))).alias("run"))
+    runs = runs.select("doc_id", F.translate("run", ENGLISH_UPPER, ENGLISH_UPPER.lower()).alias("run"))
+    runs = runs.select("run", F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run"))).alias("h"))
+    at = F.pmod(F.col("h"), F.char_length("run").cast("long")).cast("int")
+    cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))
+    word = F.when(F.col("h") % 31 == 0, cut).otherwise(F.col("run")).alias("word")
+    return runs.select(word).where(F.char_length("word") >= 7).groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n >= 2")
+
+
+@register("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with the frequent words one edit away that they are variants of."""
+    return variant_groups(_misspelt_words(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@register("op12_piece_encoding")
+def op12_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with begin and end ids, held against the library, and decoded."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = encode_texts(docs, piece_model())
+    return got.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "agrees")
+
+
+WORDS_OF = r"[^\x20\x09-\x0D]+"
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """In a tenth of the documents, by the CRC of the id, the words from a place on repeat with a period; others stay."""
+    words = F.regexp_extract_all("text", F.lit(WORDS_OF), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    dealt = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    n = F.size("words")
+    dealt = dealt.select("doc_id", "text", "g", "words", F.when(n > 0, F.col("g") % n).cast("int").alias("a"))
+    period = (1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    tail = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, period), F.ceil((n - F.col("a")) / period).cast("int")))
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(tail, F.lit(1), n - F.col("a"))), " ")
+    return dealt.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+@register("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of at least six words and four periods in every document, and the digest of its text without their repeats."""
+    found = periodic_runs(_with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    best = F.expr("array_min(transform(runs, r -> struct(-r.length AS length, r.start AS start, r.period AS period)))")
+    lines = F.expr("array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "collapsed").select(
+        "doc_id", "n_runs", F.col("best.start").alias("start"), (-F.col("best.length")).alias("length"), F.col("best.period").alias("period"),
+        F.floor(-F.col("best.length") * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))

@@ -21,5 +21,13 @@ def rank_file(name: str = "byte_bpe_50k.tiktoken") -> bytes:
         return f.read()
 
 
+@lru_cache(maxsize=4)
+def piece_model(name: str = "piece_bpe_32k.model") -> bytes:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
 #: The id that the rank file leaves free, used as the end token.
 END_TOKEN = 50256
