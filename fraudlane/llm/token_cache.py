@@ -69,6 +69,8 @@ def token_counts(docs: DataFrame, cache: str, tokenizer_json: str, text_col: str
     digest = F.unhex(F.sha2(text, 256)).alias("_digest")
     fill_cache(docs.select(digest, text.alias("_text")), cache, tokenizer_json)
     counts = read_cache(docs.sparkSession, cache, tokenizer_version(tokenizer_json))
-    rest = [F.col(c) for c in docs.columns if c not in ("n_bytes", "n_tokens")]
-    return (docs.select(*rest, F.octet_length(text).cast("long").alias("n_bytes"), digest)
-            .join(counts.withColumnRenamed("digest", "_digest"), "_digest").drop("_digest"))
+    # the rows cross the join as one struct, so that no name of theirs meets the join's
+    rest = [c for c in docs.columns if c not in ("n_bytes", "n_tokens")]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.octet_length(text).cast("long").alias("n_bytes"), digest.alias("digest"))
+    joined = rows.join(counts, "digest")
+    return joined.select(*[F.col("row").getField(c).alias(c) for c in rest], "n_bytes", "n_tokens")

@@ -1,54 +1,127 @@
 """Byte-level BPE in pieces: a text is cut where no token can cross, and each piece is encoded once.
 
-A byte-level pre-tokenizer lets a blank stand only at the start of a pre-token or in a run of white
-space. So a single blank between two characters that aren't white space always starts a new
-pre-token, and encoding the text equals encoding the pieces cut before such blanks, one by one.
-Pieces repeat (they are mostly " word"), so a bounded memo spares the library most of the work; the
-library itself encodes every new piece, special strings included, with its defaults.
+A byte-level pre-tokenizer starts a new pre-token at every blank that a character other than white space follows, whatever
+stands before it. So encoding the text equals encoding the pieces cut before such blanks, one by one. Pieces repeat
+(they are mostly " word"), so a bounded memo spares most of the work; tiktoken merges each new piece.
 """
 
 from __future__ import annotations
 
+import base64
+import json
 import re
+from array import array
 
-import numpy as np
+#: Pieces a worker remembers (the memo starts afresh beyond it), and the longest piece that is remembered.
+MEMO, LONGEST = 1 << 19, 48
 
-CUT = re.compile(r"(?<=\S)(?= \S)")
-#: Pieces a worker remembers; the memo starts afresh beyond it, so its memory is bounded.
-MEMO = 1 << 19
 
+class Pieces:
+    """Token ids of texts by a rank table, special strings being ordinary text."""
 
-class PieceEncoder:
-    """Encodes texts with a ``tokenizers`` byte-level BPE given as its JSON."""
-
-    def __init__(self, tokenizer_json: str):
-        from tokenizers import Tokenizer
+    def __init__(self, ranks: dict[bytes, int]):
+        import public_tokenizers
+        import tiktoken
 
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
+        if max(ranks.values()) >= 1 << 16:
             raise ValueError("token ids are kept in two bytes: at most 65,536 of them")
+        self.ordinary = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.memo: dict[str, bytes] = {}
 
-    def _learn(self, pieces) -> None:
-        new = list(dict.fromkeys(p for p in pieces if p not in self.memo))
-        if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-            new = list(dict.fromkeys(pieces))
-        for k in range(0, len(new), 4096):
-            part = new[k:k + 4096]
-            for piece, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.memo[piece] = np.asarray(e.ids, dtype="<u2").tobytes()
+    def _packed(self, text: str) -> bytes:
+        return array("H", self.ordinary(text)).tobytes()
 
     def encode(self, text: str) -> bytes:
-        """The token ids of the whole text, two bytes each, little endian."""
+        """The token ids of the whole text, two bytes each, in the machine's order (little endian)."""
         if not text:
             return b""
-        pieces = CUT.split(text)
-        try:
-            return b"".join([self.memo[p] for p in pieces])
-        except KeyError:
-            self._learn(pieces)
-            return b"".join([self.memo[p] for p in pieces])
+        fields, memo = text.split(" "), self.memo
+        out = [memo.get(f) for f in fields]
+        out[0] = None  # no blank before it
+        at = 0
+        while at < len(fields):
+            if out[at] is not None:
+                at += 1
+                continue
+            # up to the next cut: empty fields and those that start with white space stay with what is before them
+            end, piece = at + 1, fields[at] if at == 0 else " " + fields[at]
+            while end < len(fields) and (not fields[end] or fields[end][0].isspace()):
+                piece += " " + fields[end]
+                out[end] = b""
+                end += 1
+            out[at] = packed = self._packed(piece)
+            if at and end == at + 1 and len(fields[at]) <= LONGEST:
+                if len(memo) >= MEMO:
+                    memo.clear()
+                memo[fields[at]] = packed
+            at = end
+        return b"".join(out)
+
+
+_BY_RANKS: dict[int, Pieces] = {}
+
+
+def pieces(ranks_file: bytes) -> Pieces:
+    """The encoder of a rank file; one for each Python worker, its memo outlives a task."""
+    if (key := hash(ranks_file)) not in _BY_RANKS:
+        _BY_RANKS[key] = Pieces({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks_file.splitlines())})
+    return _BY_RANKS[key]
+
+
+def _byte_letters() -> dict[str, int]:
+    """How a byte-level vocabulary writes bytes: printable ones as themselves, the others from U+0100 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+
+
+class PieceEncoder:
+    """Encodes texts as the ``tokenizers`` library does with a byte-level BPE given as its JSON, special strings included.
+    A JSON of another kind is left to the library, which then encodes whole texts."""
+
+    def __init__(self, tokenizer_json: str):
+        spec = json.loads(tokenizer_json)
+        self.library = self.special = None
+        known = self._ranks(spec)
+        if known is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_str(tokenizer_json)
+            if self.library.get_vocab_size() > 1 << 16:
+                raise ValueError("token ids are kept in two bytes: at most 65,536 of them")
+            return
+        self.pieces = Pieces(known)
+        self.added = {t["content"]: array("H", [t["id"]]).tobytes() for t in spec["added_tokens"]}
+        if self.added:
+            self.special = re.compile("|".join(re.escape(s) for s in sorted(self.added, key=len, reverse=True)))
+
+    @staticmethod
+    def _ranks(spec: dict) -> dict[bytes, int] | None:
+        """The rank table of a byte-level vocabulary whose merges are listed in the order of their ids; else None."""
+        model, before, added = spec["model"], spec.get("pre_tokenizer") or {}, spec.get("added_tokens") or []
+        plain = (model.get("type") == "BPE" and not spec.get("normalizer") and before.get("type") == "ByteLevel" and before.get("use_regex", True)
+                 and not before.get("add_prefix_space") and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+                 and not any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized")))
+        if not plain:
+            return None
+        names, letters = {t["content"] for t in added}, _byte_letters()
+        tokens = {t: k for t, k in model["vocab"].items() if t not in names}
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        if len(tokens) != 256 + len(merges) or any(tokens.get(a + b) != 256 + k for k, (a, b) in enumerate(merges)):
+            return None
+        return {bytes(letters[c] for c in t): k for t, k in tokens.items()}
+
+    def encode(self, text: str) -> bytes:
+        """The token ids of the whole text, two bytes each, little endian."""
+        if self.library is not None:
+            return array("H", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        if self.special is None or not self.special.search(text):
+            return self.pieces.encode(text)
+        out, at = [], 0
+        for found in self.special.finditer(text):
+            out += [self.pieces.encode(text[at:found.start()]), self.added[found[0]]]
+            at = found.end()
+        return b"".join([*out, self.pieces.encode(text[at:])])
 
     def count(self, text: str) -> int:
         return len(self.encode(text)) // 2

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
+from .token_pieces import pieces
 
 SEQUENCE = "part int, ordinal long, n_tokens int, docs array<struct<doc_id: long, first: int, n: int>>, record binary"
 MASK = (1 << 64) - 1
@@ -94,10 +95,10 @@ def bpe(ranks_file: bytes):
 
 def _records(ranks, end: int, length: int):
     def run(batches):
-        enc = bpe(ranks.value)
+        enc = pieces(ranks.value)
         part, ordinal = TaskContext.get().partitionId(), 0
         fill, docs, rows = np.full(length, end, dtype="<u2"), [], []
-        at = 0
+        at, last = 0, np.array([end], dtype="<u2").tobytes()
 
         def batch():
             cols = zip(*rows)
@@ -110,7 +111,7 @@ def _records(ranks, end: int, length: int):
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not text:
                     continue
-                ids = np.array([*enc.encode_ordinary(text), end], dtype="<u2")
+                ids = np.frombuffer(enc.encode(text) + last, dtype="<u2")
                 while len(ids):
                     n = min(len(ids), length - at)
                     fill[at:at + n] = ids[:n]
