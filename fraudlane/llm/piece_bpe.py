@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 BLANK = "▁"
 #: Cuts a worker remembers (the memo starts afresh beyond it), and the longest cut that is remembered.
-MEMO, LONGEST = 1 << 19, 48
+MEMO, LONGEST = 1 << 20, 48
 #: Symbols up to which the agenda is a plain list, and the order of a pair that is no piece.
 SHORT, OFF = 32, float("inf")
 #: Rows of a returned batch, and the characters that end one earlier.
@@ -245,15 +245,16 @@ def _batches(model, begin: bool, end: bool):
         first = struct.pack("<I", own.begin) if begin else b""
         last = struct.pack("<I", own.end) if end else b""
 
-        def rows(ids, texts):
-            packed = [first + own.encode(t) + last for t in texts]
-            as_arrays = [np.frombuffer(p, dtype="<u4") for p in packed]
-            judged = library.encode(texts, add_bos=begin, add_eos=end, num_threads=1)
-            agrees = [len(a) == len(j) and a.tolist() == j for a, j in zip(as_arrays, judged)]
-            decoded = [library.decode(a.tolist()) for a in as_arrays]
+        def rows(doc_ids, texts):
+            distinct = {t: k for k, t in enumerate(dict.fromkeys(texts))}  # copies in a batch are encoded once
+            packed = [first + own.encode(t) + last for t in distinct]
+            ids = [np.frombuffer(p, dtype="<u4").tolist() for p in packed]
+            agrees = list(map(list.__eq__, ids, library.encode(list(distinct), add_bos=begin, add_eos=end, num_threads=1)))
+            decoded = library.decode(ids, num_threads=1)
+            at = pa.array([distinct[t] for t in texts], pa.int32())
             return pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(a) for a in as_arrays], pa.int64()), pa.array(packed, pa.binary()),
-                 pa.array(agrees, pa.bool_()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids", "agrees", "decoded"])
+                [pa.array(doc_ids, pa.int64()), pa.array(map(len, ids), pa.int64()).take(at), pa.array(packed, pa.binary()).take(at),
+                 pa.array(agrees, pa.bool_()).take(at), pa.array(decoded, pa.string()).take(at)], names=["doc_id", "n_tokens", "ids", "agrees", "decoded"])
 
         for b in batches:
             ids, texts, size = [], [], 0
