@@ -131,7 +131,8 @@ def _misspelt_words(docs: DataFrame) -> DataFrame:
     """(word, n): maximal letter runs, A-Z in lower case, one code point deleted where 31 divides the CRC of id and run; results of
     seven code points that come twice or more. Shorter runs can't become such words, so they aren't taken."""
     runs = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(LONG_RUN), F.lit(0))).alias("run"))
-    runs = runs.select("doc_id", F.translate("run", ENGLISH_UPPER, ENGLISH_UPPER.lower()).alias("run"))
+    lower = F.when(F.lower("run") == F.col("run"), F.col("run")).otherwise(F.translate("run", ENGLISH_UPPER, ENGLISH_UPPER.lower()))
+    runs = runs.select("doc_id", lower.alias("run"))
     runs = runs.select("run", F.crc32(F.concat(F.col("doc_id").cast("string"), F.lit(":"), F.col("run"))).alias("h"))
     at = F.pmod(F.col("h"), F.char_length("run").cast("long")).cast("int")
     cut = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.char_length("run")))

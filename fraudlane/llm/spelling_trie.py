@@ -6,7 +6,7 @@ a node being the hash of its way and prefix; an edge below which a single word l
 walk: one for each prefix from the half of the word on. There the word may be edited: a symbol of the trie in place of
 its own (of a pair of words, the one with the lesser symbol does it), or one more. The states with one edit are the frontier. Level by level it
 is joined with the edges by node and next symbol, until an edge carries a word: if the rest of both is equal, the words
-are neighbours. An edit in a word's first half is one in the second half of the reversed word, and a word with a symbol less
+are neighbours. An edge also names the symbols that follow it, so that states that lead no further are not written. An edit in a word's first half is one in the second half of the reversed word, and a word with a symbol less
 is met by the walk of the other; so each pair is found, while no state is made at the wide nodes near the root.
 Every found pair is held against ``levenshtein``, so that two prefixes with one hash could not make a false one.
 
@@ -47,8 +47,8 @@ def _node(depth) -> Column:
 
 
 def trie_edges(walks: DataFrame) -> DataFrame:
-    """(node, symbol, child, only): the edges of both tries below the shortest half of a word; ``only`` is the single
-    word below an edge (spelt, n, depth of the child), or null."""
+    """(node, symbol, child, only, after): the edges of both tries below the shortest half of a word; ``only`` is the single
+    word below an edge (spelt, n, depth of the node), or null; ``after`` are the symbols that follow its child, if there are more words."""
     size = F.char_length("spelt")
     # a word enters the trie by each of its prefixes; those before its half are needed where a shorter word walks
     shortest = walks.agg(F.coalesce(F.min(F.floor(size / 2)), F.lit(0)).cast("int")).first()[0]
@@ -59,7 +59,19 @@ def trie_edges(walks: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("words"), F.min(F.struct("spelt", "n", "depth", "way")).alias("least"))
     child = F.xxhash64(F.col("least.way"), F.substring("least.spelt", F.lit(1), F.col("least.depth") + 1))
     only = F.when(F.col("words") == 1, F.struct(F.col("least.spelt").alias("spelt"), F.col("least.n").alias("n"), F.col("least.depth").alias("depth")))
-    return below.select("node", "symbol", child.alias("child"), only.alias("only"))
+    below = materialise(below.select("node", "symbol", child.alias("child"), only.alias("only")), "trie-steps")
+    after = below.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_list("symbol"), "").alias("after"))
+    return below.join(after, "child", "left")
+
+
+def _alive() -> Column:
+    """Whether a state leads on: the rest of its word equals that of the single word of its edge, or its next symbol follows the edge."""
+    same = _rest(F.col("spelt"), F.col("position")) == _rest(F.col("only.spelt"), F.col("only.depth") + 1)
+    return F.when(F.col("only").isNotNull(), same).otherwise(F.contains("after", _next()))
+
+
+def _next() -> Column:
+    return F.coalesce(F.nullif(F.substring("spelt", F.col("position") + 1, F.lit(1)), F.lit("")), F.lit(END))
 
 
 def _rest(spelt: Column, position: Column) -> Column:
@@ -79,21 +91,17 @@ def near_words(words: DataFrame) -> DataFrame:
     own = F.substring("spelt", F.col("position") + 1, F.lit(1))  # empty at the end
     edited = exact.join(edges.where(F.col("symbol") != END), "node").where(F.col("symbol") != own)
     replaced = F.when((own != "") & (F.col("symbol") > own), F.array(F.col("position"), F.col("position") + 1)).otherwise(F.array("position"))
-    edited = edited.select("way", "spelt", "n", "only", F.col("child").alias("node"), F.explode(replaced).alias("position"))
+    edited = edited.select("way", "spelt", "n", "only", "after", F.col("child").alias("node"), F.explode(replaced).alias("position"))
     found, states = None, edited
     while True:
-        states = materialise(states, "trie-frontier")
-        done = states.where("only IS NOT NULL")
-        # the edge that led here ends at depth only.depth + 1
-        same = _rest(F.col("spelt"), F.col("position")) == _rest(F.col("only.spelt"), F.col("only.depth") + 1)
-        hits = done.where(same).select("way", "spelt", "n", F.col("only.spelt").alias("b"), F.col("only.n").alias("b_n"))
+        states = materialise(states.where(_alive()).drop("after"), "trie-frontier")
+        hits = states.where("only IS NOT NULL").select("way", "spelt", "n", F.col("only.spelt").alias("b"), F.col("only.n").alias("b_n"))
         found = hits if found is None else found.unionByName(hits)
         onward = states.where("only IS NULL").drop("only")
         if onward.isEmpty():
             break
-        nxt = F.coalesce(F.nullif(F.substring("spelt", F.col("position") + 1, F.lit(1)), F.lit("")), F.lit(END))
-        onward = onward.withColumn("symbol", nxt).join(edges, ["node", "symbol"])
-        states = onward.select("way", "spelt", "n", "only", F.col("child").alias("node"), (F.col("position") + 1).alias("position"))
+        onward = onward.withColumn("symbol", _next()).join(edges, ["node", "symbol"])
+        states = onward.select("way", "spelt", "n", "only", "after", F.col("child").alias("node"), (F.col("position") + 1).alias("position"))
     forward = lambda c: F.when(F.col("way") == 0, F.col(c)).otherwise(F.reverse(F.col(c)))
     pairs = found.select(forward("spelt").alias("a"), F.col("n").alias("a_n"), forward("b").alias("b"), "b_n")
     pairs = pairs.where(F.levenshtein("a", "b", 1) == 1)
