@@ -1,72 +1,16 @@
-"""Byte-level BPE in pieces: a text is cut where no token can cross, and each piece is encoded once.
+"""Byte-level BPE given as a tokenizers JSON, encoded by its rank table.
 
-A byte-level pre-tokenizer starts a new pre-token at every blank that a character other than white space follows, whatever
-stands before it. So encoding the text equals encoding the pieces cut before such blanks, one by one. Pieces repeat
-(they are mostly " word"), so a bounded memo spares most of the work; tiktoken merges each new piece.
+A byte-level vocabulary whose merges are listed in the order of their ids is a rank table, and tiktoken's
+encoder of a rank table is some times faster than the library of the JSON. Special strings, which that library
+takes as their ids by default, are cut out of a text before.
 """
 
 from __future__ import annotations
 
-import base64
 import json
 import re
 from array import array
 
-#: Pieces a worker remembers (the memo starts afresh beyond it), and the longest piece that is remembered.
-MEMO, LONGEST = 1 << 19, 48
-
-
-class Pieces:
-    """Token ids of texts by a rank table, special strings being ordinary text."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        import public_tokenizers
-        import tiktoken
-
-        if max(ranks.values()) >= 1 << 16:
-            raise ValueError("token ids are kept in two bytes: at most 65,536 of them")
-        self.ordinary = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.memo: dict[str, bytes] = {}
-
-    def _packed(self, text: str) -> bytes:
-        return array("H", self.ordinary(text)).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """The token ids of the whole text, two bytes each, in the machine's order (little endian)."""
-        if not text:
-            return b""
-        fields, memo = text.split(" "), self.memo
-        out = [memo.get(f) for f in fields]
-        out[0] = None  # no blank before it
-        at = 0
-        while at < len(fields):
-            if out[at] is not None:
-                at += 1
-                continue
-            # up to the next cut: empty fields and those that start with white space stay with what is before them
-            end, piece = at + 1, fields[at] if at == 0 else " " + fields[at]
-            while end < len(fields) and (not fields[end] or fields[end][0].isspace()):
-                piece += " " + fields[end]
-                out[end] = b""
-                end += 1
-            out[at] = packed = self._packed(piece)
-            if at and end == at + 1 and len(fields[at]) <= LONGEST:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                memo[fields[at]] = packed
-            at = end
-        return b"".join(out)
-
-
-_BY_RANKS: dict[int, Pieces] = {}
-
-
-def pieces(ranks_file: bytes) -> Pieces:
-    """The encoder of a rank file; one for each Python worker, its memo outlives a task."""
-    if (key := hash(ranks_file)) not in _BY_RANKS:
-        _BY_RANKS[key] = Pieces({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks_file.splitlines())})
-    return _BY_RANKS[key]
-
 
 def _byte_letters() -> dict[str, int]:
     """How a byte-level vocabulary writes bytes: printable ones as themselves, the others from U+0100 on."""
@@ -90,8 +34,13 @@ class PieceEncoder:
             if self.library.get_vocab_size() > 1 << 16:
                 raise ValueError("token ids are kept in two bytes: at most 65,536 of them")
             return
-        self.pieces = Pieces(known)
-        self.added = {t["content"]: array("H", [t["id"]]).tobytes() for t in spec["added_tokens"]}
+        import public_tokenizers
+        import tiktoken
+
+        if max(known.values()) >= 1 << 16:
+            raise ValueError("token ids are kept in two bytes: at most 65,536 of them")
+        self.ordinary = tiktoken.Encoding("json", pat_str=public_tokenizers.PATTERN, mergeable_ranks=known, special_tokens={}).encode_ordinary
+        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if self.added:
             self.special = re.compile("|".join(re.escape(s) for s in sorted(self.added, key=len, reverse=True)))
 
@@ -115,13 +64,13 @@ class PieceEncoder:
         """The token ids of the whole text, two bytes each, little endian."""
         if self.library is not None:
             return array("H", self.library.encode(text, add_special_tokens=False).ids).tobytes()
-        if self.special is None or not self.special.search(text):
-            return self.pieces.encode(text)
-        out, at = [], 0
-        for found in self.special.finditer(text):
-            out += [self.pieces.encode(text[at:found.start()]), self.added[found[0]]]
+        out, at = array("H"), 0
+        for found in self.special.finditer(text) if self.special else ():
+            out.extend(self.ordinary(text[at:found.start()]))
+            out.append(self.added[found[0]])
             at = found.end()
-        return b"".join([*out, self.pieces.encode(text[at:])])
+        out.extend(self.ordinary(text[at:]))
+        return out.tobytes()
 
     def count(self, text: str) -> int:
         return len(self.encode(text)) // 2
@@ -131,7 +80,7 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 
 
 def encoder(tokenizer_json: str, version: str) -> PieceEncoder:
-    """One encoder for each tokenizer version and Python worker; its memo outlives a task."""
+    """One encoder for each tokenizer version and Python worker."""
     if version not in _ENCODERS:
         _ENCODERS[version] = PieceEncoder(tokenizer_json)
     return _ENCODERS[version]
