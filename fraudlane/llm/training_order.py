@@ -30,7 +30,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .token_pieces import pieces
 
 SEQUENCE = "part int, ordinal long, n_tokens int, docs array<struct<doc_id: long, first: int, n: int>>, record binary"
 MASK = (1 << 64) - 1
@@ -95,10 +94,10 @@ def bpe(ranks_file: bytes):
 
 def _records(ranks, end: int, length: int):
     def run(batches):
-        enc = pieces(ranks.value)
+        enc = bpe(ranks.value)
         part, ordinal = TaskContext.get().partitionId(), 0
         fill, docs, rows = np.full(length, end, dtype="<u2"), [], []
-        at, last = 0, np.array([end], dtype="<u2").tobytes()
+        at = 0
 
         def batch():
             cols = zip(*rows)
@@ -111,7 +110,7 @@ def _records(ranks, end: int, length: int):
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not text:
                     continue
-                ids = np.frombuffer(enc.encode(text) + last, dtype="<u2")
+                ids = np.array([*enc.encode_ordinary(text), end], dtype="<u2")
                 while len(ids):
                     n = min(len(ids), length - at)
                     fill[at:at + n] = ids[:n]
@@ -144,10 +143,18 @@ def _unwritten(docs: DataFrame, ranks_file: bytes, end: int, length: int, id_col
     return texts.mapInArrow(_records(ranks, end, length), SEQUENCE)
 
 
-def in_training_order(records: DataFrame, key: int, per_shard: int, facts: DataFrame | None = None) -> DataFrame:
+def _pack(record: bytes) -> bytes:
+    return pa.Codec("zstd", 3).compress(record, asbytes=True)
+
+
+def _unpack(packed: bytes, size: int) -> bytes:
+    return pa.Codec("zstd", 3).decompress(packed, size, asbytes=True)
+
+
+def in_training_order(records: DataFrame, key: int, per_shard: int, packed_size: int = 0) -> DataFrame:
     """(slot, shard, place, n_tokens, docs, record): each shard whole in one partition, in the order of its slots.
-    ``facts`` has part and ordinal of all records, if they are not to be counted from the records themselves."""
-    counts = (records if facts is None else facts).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    With the size of a record, the records cross the shuffle packed one by one."""
+    counts = records.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
     so_far = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialise(counts.select(F.col("part").alias("_p"), "n", F.coalesce(F.sum("n").over(so_far), F.lit(0)).alias("_offset")), "offsets")
     n = offsets.agg(F.sum("n")).first()[0] or 0
@@ -158,15 +165,26 @@ def in_training_order(records: DataFrame, key: int, per_shard: int, facts: DataF
     def slot_of(index: pd.Series) -> pd.Series:
         return pd.Series(order.slot(index.to_numpy()))
 
+    @F.pandas_udf("binary")
+    def packed(record: pd.Series) -> pd.Series:
+        return record.map(_pack)
+
+    @F.pandas_udf("binary")
+    def unpacked(record: pd.Series) -> pd.Series:
+        return record.map(lambda r: _unpack(r, packed_size))
+
     numbered = records.join(F.broadcast(offsets.drop("n")), F.col("part") == F.col("_p"))  # a row for each input partition
     slot = slot_of(F.col("_offset") + F.col("ordinal"))
     carried = [c for c in ("n_tokens", "docs", "record") if c in records.columns]
-    placed = numbered.select(slot.alias("slot"), *carried)
+    placed = numbered.select(slot.alias("slot"), *[packed("record").alias("record") if packed_size and c == "record" else c for c in carried])
     placed = placed.select("slot", F.floor(F.col("slot") / per_shard).cast("int").alias("shard"),
                            (F.col("slot") % per_shard).cast("int").alias("place"), *carried)
     tasks = min(shards, max(1, int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4))
     deal = F.floor(F.col("shard").cast("long") * tasks / shards).cast("int")
-    return placed.repartitionById(tasks, deal).sortWithinPartitions("shard", "slot")
+    dealt = placed.repartitionById(tasks, deal)
+    if packed_size:
+        dealt = dealt.select("slot", "shard", "place", *[unpacked("record").alias("record") if c == "record" else c for c in carried])
+    return dealt.sortWithinPartitions("shard", "slot")
 
 
 def write_shards(ordered: DataFrame, folder: str) -> None:
@@ -178,14 +196,11 @@ def write_shards(ordered: DataFrame, folder: str) -> None:
 
 def write_training_order(docs: DataFrame, ranks_file: bytes, end: int, length: int, key: int, per_shard: int, folder: str,
                          id_col: str = "doc_id", text_col: str = "text") -> None:
-    """The files of write_shards without a written table of the records: a first pass over the texts writes only
-    their index, which numbers them, and a second one deals the tokens. Both read the input in the same partitions."""
-    if end >= 1 << 16:
-        raise ValueError("token ids are kept in two bytes")
-    records = _unwritten(docs, ranks_file, end, length, id_col, text_col)
-    facts = materialise(records.drop("record"), "record-facts")
-    in_training_order(facts, key, per_shard).write.parquet(f"{folder}/index")
-    ordered = in_training_order(records.drop("n_tokens", "docs"), key, per_shard, facts)
+    """The files of write_shards for the records of ``docs``. Every text is encoded once: the written table of the records
+    numbers them, and they are dealt from it."""
+    records = token_records(docs, ranks_file, end, length, id_col, text_col)
+    in_training_order(records.drop("record"), key, per_shard).write.parquet(f"{folder}/index")
+    ordered = in_training_order(records.drop("n_tokens", "docs"), key, per_shard, packed_size=2 * length)
     as_text = ordered.select("shard", F.col("record").cast("string").alias("value"))
     as_text.write.partitionBy("shard").option("lineSep", "\n").text(f"{folder}/records")
 
@@ -199,10 +214,15 @@ def read_training_order(spark: SparkSession, folder: str, length: int) -> DataFr
         index, found = index.sort_by("place"), found.sort_by("place")
         if index["place"].to_pylist() != found["place"].to_pylist():
             raise ValueError("a shard file doesn't have the records of its index")
-        return index.select(names).append_column("record", found["record"])
+        records = [_unpack(r, 2 * length) for r in found["record"].to_pylist()]
+        return index.select(names).append_column("record", pa.array(records, pa.binary()))
+
+    @F.pandas_udf("binary")
+    def packed(record: pd.Series) -> pd.Series:
+        return record.map(_pack)
 
     index = spark.read.parquet(f"{folder}/index").select(names)
-    found = read_shards(spark, folder, length)
+    found = read_shards(spark, folder, length).select("shard", "place", packed("record").alias("record"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in index.schema.fields)
     return index.groupBy("shard").cogroup(found.groupBy("shard")).applyInArrow(matched, f"{kinds}, record binary")
 
