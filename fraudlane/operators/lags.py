@@ -1,31 +1,39 @@
 """``lag`` over per-client windows without letting one client become one task.
 
 A plain ``Window.partitionBy('client_id')`` sends every row of a client to a single task.
-One client (or the null client of unmatched cards) may own a third of all rows, so both
-operators here add a time bucket to the window partition: rows of a client are cut into
-consecutive slices of ``trans_date`` that hash to different tasks. Ordering inside the
-window always starts with the time column, so every slice is a contiguous run of the
-client's sequence, and only the first rows of a slice miss their predecessors.
-
-* :func:`split_with_horizon` is for consumers that only look back a bounded time (the fraud
-  rules: one hour, twenty minutes). Each row is also copied into the following slices
-  whose start lies within that horizon, so a row's predecessors inside the horizon always
-  share its slice. The copies are dropped after the window (``home_rows``). One shuffle,
-  no join, duplication bounded by ``horizon / width``.
-* :func:`exact_lags` gives the unbounded SQL ``lag``: the first ``k`` rows of a slice take
+One client (or the null client of unmatched cards) may own a third of all rows. So rows of a hot
+client are cut into consecutive slices of its sequence that hash to different tasks. Ordering
+inside the window always starts with the time column, so every slice is a contiguous run, and only the
+first rows of a slice miss their predecessors.
+
+* :func:`measured_slices` finds the slices: rows are counted per client and hour, clients with more rows than one
+  task should have are cut where their running count passes multiples of that number, and hours with more
+  rows than that are counted again by the second. Only those clients have slices; without any there is
+  nothing to cut, and the lag is a plain window.
+* :func:`exact_lags` gives the unbounded SQL ``lag`` over slices: the first ``k`` rows of a slice take
   their values from the last ``k`` rows of the preceding slices, gathered per slice (at
   most ``k`` rows each) and joined back on the slice key, which keeps the big side's
   partitioning.
+* :func:`split_with_horizon` is for consumers that only look back a bounded time and know a width that suits
+  their data. Each row is also copied into the following slices of that width
+  whose start lies within the horizon, so a row's predecessors inside the horizon always
+  share its slice. The copies are dropped after the window (``home_rows``). One shuffle,
+  no join, duplication bounded by ``horizon / width``.
 """
 
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DAY = 86400
+from ..session import written
+
+DAY, HOUR = 86400, 3600
+#: A client with no more rows than this is never cut.
+LEAST_SLICE = 1_000_000
 LAST_SLICE = 2 ** 62
 
 
@@ -67,22 +75,79 @@ def home_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col("_home")).drop("_home", "_slice")
 
 
+def _same(left: DataFrame, right: DataFrame, columns) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
+
+
+def measured_slices(df: DataFrame, client_cols, time_col: str, slice_rows: int | None = None, rows: int | None = None) -> DataFrame | None:
+    """(client columns, _hour, _starts): for each hour of a hot client the slices in it, as structs of first second
+    and slice number by time; None if no client has more rows than ``slice_rows``. By default that is a quarter of a
+    task's even share of the rows, ``LEAST_SLICE`` at least.
+
+    A slice has at most twice ``slice_rows`` rows, but for the rows of one client in one second, which stay together.
+    The counts are per client and hour, and per second only in the hot hours; the running count of a client is over these.
+    Where the number of all ``rows`` is known and no more than a slice's, nothing is counted."""
+    client_cols = list(client_cols)
+    if rows is not None and rows <= (LEAST_SLICE if slice_rows is None else slice_rows):
+        return None
+    per_client = df.groupBy(*client_cols).agg(F.count(F.lit(1)).alias("_n"))
+    total, most = per_client.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
+    if slice_rows is None:
+        slice_rows = max(LEAST_SLICE, total // (4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    if most <= slice_rows:
+        return None
+    timed = df.select(*client_cols, epoch_seconds(time_col).alias("_second")).where("_second IS NOT NULL")
+    timed = timed.withColumn("_hour", F.floor(F.col("_second") / HOUR))
+    hours = written(timed.groupBy(*client_cols, "_hour").agg(F.count(F.lit(1)).alias("_n")), "client-hours")
+    hot = hours.groupBy(*client_cols).agg(F.sum("_n").alias("_all")).where(F.col("_all") > slice_rows).drop("_all")
+    hot = written(hot, "hot-clients")
+    hours = hours.join(hot, _same(hours, hot, client_cols), "left_semi")
+    crowded = hours.where(F.col("_n") > slice_rows).drop("_n")
+    seconds = timed.join(crowded, _same(timed, crowded, [*client_cols, "_hour"]), "left_semi").groupBy(*client_cols, "_hour", "_second").agg(F.count(F.lit(1)).alias("_n"))
+    whole = hours.where(F.col("_n") <= slice_rows).withColumn("_second", F.col("_hour") * HOUR)
+    units = whole.unionByName(seconds)
+    before = Window.partitionBy(*client_cols).orderBy("_second").rowsBetween(Window.unboundedPreceding, -1)
+    cut = units.withColumn("_slice", F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / slice_rows))
+    first = cut.groupBy(*client_cols, "_hour", "_slice").agg(F.min("_second").alias("_second"))
+    starts = F.sort_array(F.collect_list(F.struct("_second", "_slice"))).alias("_starts")
+    return written(first.groupBy(*client_cols, "_hour").agg(starts), "slices")
+
+
+def with_slices(df: DataFrame, client_cols, time_col: str, slices: DataFrame) -> DataFrame:
+    """Add ``_slice``: the measured slice of a hot client's row, 0 for other clients, and a last slice for rows without a
+    time, which sort after every dated one."""
+    x = df.withColumns({"_second": epoch_seconds(time_col), "_hour": F.floor(epoch_seconds(time_col) / HOUR)})
+    found = slices.select(*[F.col(c).alias(f"_of_{k}") for k, c in enumerate(client_cols)], F.col("_hour").alias("_of_hour"), "_starts")
+    on = reduce(lambda a, b: a & b, [x[c].eqNullSafe(found[f"_of_{k}"]) for k, c in enumerate(client_cols)] + [x["_hour"] == found["_of_hour"]])
+    begun = F.filter("_starts", lambda s: s["_second"] <= F.col("_second"))
+    number = F.coalesce(F.try_element_at(begun, F.lit(-1))["_slice"], F.lit(0).cast("long"))
+    return (x.join(found, on, "left").withColumn("_slice", F.when(F.col("_second").isNull(), F.lit(LAST_SLICE)).otherwise(number))
+            .drop("_second", "_hour", "_starts", *found.columns))
+
+
 def exact_lags(df: DataFrame, partition_cols, order_cols, specs: dict, time_col: str,
-               width=DAY) -> DataFrame:
+               width=None, slices: DataFrame | None = None, client_cols=("client_id",), slice_rows: int | None = None) -> DataFrame:
     """Add ``lag(col, k)`` columns (``specs = {out: (col, k)}``) over
     ``partition_cols`` ordered by ``order_cols`` (which must start with ``time_col``).
 
     Equal to ``F.lag(col, k).over(Window.partitionBy(*partition_cols).orderBy(*order_cols))``
-    but a hot partition is spread over its time slices.
+    but a hot partition is spread over its slices: those of ``slices`` (a table of :func:`measured_slices` by ``client_cols``,
+    which are among the partition columns), or of a fixed ``width``; by default they are measured here.
     """
+    if width is None and slices is None:
+        slices = measured_slices(df, client_cols, time_col, slice_rows)
+        if slices is None:
+            w = Window.partitionBy(*partition_cols).orderBy(*order_cols)
+            return df.select("*", *[F.lag(c, k).over(w).alias(out) for out, (c, k) in specs.items()])
     kmax = max(k for _, k in specs.values())
     values = sorted({c for c, _ in specs.values()})
-    w_s = seconds_of(width)
-    # rows without a time sort after every dated row: give them a slice after all real ones
-    # (a null slice could not join its carry back)
-    x = (df.withColumn("_pkey", F.struct(*[F.col(p) for p in partition_cols]))
-           .withColumn("_slice", F.coalesce(F.floor(epoch_seconds(time_col) / F.lit(w_s)),
-                                            F.lit(LAST_SLICE))))
+    x = df.withColumn("_pkey", F.struct(*[F.col(p) for p in partition_cols]))
+    if slices is not None:
+        x = with_slices(x, client_cols, time_col, slices)
+    else:
+        # rows without a time sort after every dated row: give them a slice after all real ones
+        # (a null slice could not join its carry back)
+        x = x.withColumn("_slice", F.coalesce(F.floor(epoch_seconds(time_col) / F.lit(seconds_of(width))), F.lit(LAST_SLICE)))
     part = Window.partitionBy("_pkey", "_slice")
     w = part.orderBy(*order_cols)
     # a slice's last kmax rows are those with no row kmax further on: no count, which would buffer the slice

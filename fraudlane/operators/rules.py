@@ -8,21 +8,29 @@
 
 Rules 3 and 4 are evaluated on rows, but like the source system's ``trans_id IN (...)``
 they flag every copy of a transaction once any copy matches (copies appear when a
-dimension key has several versions). Both lag windows share one shuffle, keyed by client
-and time slice (see :mod:`.lags`).
+dimension key has several versions). The lags read the few columns the two rules need; what
+they leave is a small table of flagged ids, which the whole rows then meet without being shuffled by id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..functions.bloom import bits_for, filter_value, may_hold
 from ..schemas import CITY_HOP_WINDOW, OPER_REJECT, OPER_SUCCESS, PROBE_OPER_TYPES, PROBE_WINDOW
 from .enrich import VERSION_ORDER
-from .lags import home_rows, seconds_of, split_with_horizon
+from ..session import written
+from .lags import exact_lags, home_rows, measured_slices, seconds_of, split_with_horizon
 
 CITY_HOP = CITY_HOP_WINDOW
 PROBE = PROBE_WINDOW
+#: Flagged ids that are sent to all tasks (some 30 MB); beyond that a filter of them is.
+BROADCAST_IDS = 500_000
+#: Tasks over which the rows of one flagged id are spread beyond that number.
+ID_SALTS = 16
+CLIENT_LAGS = {"prev_time": ("trans_date", 1), "prev_city": ("terminal_city", 1)}
+CARD_LAGS = {f"{name}_back_{k}": (c, k) for k in (1, 2, 3) for name, c in (("time", "trans_date"), ("amt", "amt"), ("result", "oper_result"))}
 
 
 def interval(td) -> Column:
@@ -63,51 +71,79 @@ def amount_probe_rule(window=PROBE) -> Column:
 
 
 def with_rule_lags(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE,
-                   slice_width=None) -> DataFrame:
+                   slice_width=None, slice_rows=None, rows: int | None = None) -> DataFrame:
     """Add the lag columns rules 3 and 4 read.
 
-    Values are exact wherever a rule can fire: a predecessor older than the rule's horizon
-    may read as null, which fails the rule just as the real (too old) value would.
+    By default hot clients are cut into measured slices and the lags are exact; without a hot client both windows are plain
+    and share one shuffle by client. With ``slice_width`` all clients are cut into slices of that width, and values are exact wherever
+    a rule can fire: a predecessor older than the rule's horizon may read as null, which fails the rule just as the
+    real (too old) value would.
     """
+    if slice_width is None:
+        slices = measured_slices(enriched, ["client_id"], "trans_date", slice_rows, rows)
+        if slices is not None:
+            order = window_order(enriched)
+            x = exact_lags(enriched, ["client_id"], order, CLIENT_LAGS, "trans_date", slices=slices)
+            return exact_lags(x, ["client_id", "card_num_dim", "oper_type"], order, CARD_LAGS, "trans_date", slices=slices)
+        return _lags_in(enriched, enriched, "")
     horizon = max(seconds_of(city_window), seconds_of(probe_window))
     x = split_with_horizon(enriched, "trans_date", horizon, slice_width)
+    return home_rows(_lags_in(x, enriched, ", _slice"))
+
+
+def _lags_in(x: DataFrame, enriched: DataFrame, slice_col: str) -> DataFrame:
     # the eleven lags as SQL text: one call to build, same plan as Column objects
     order = ", ".join(f"{c} ASC NULLS LAST" for c in _order_columns(enriched))
-    by_client = f"OVER (PARTITION BY client_id, _slice ORDER BY {order})"
-    by_card = f"OVER (PARTITION BY client_id, card_num_dim, oper_type, _slice ORDER BY {order})"
-    lags = [f"lag(trans_date) {by_client} AS prev_time",
-            f"lag(terminal_city) {by_client} AS prev_city"]
-    for k in (1, 2, 3):
-        lags += [f"lag(trans_date, {k}) {by_card} AS time_back_{k}",
-                 f"lag(amt, {k}) {by_card} AS amt_back_{k}",
-                 f"lag(oper_result, {k}) {by_card} AS result_back_{k}"]
-    x = x.selectExpr("*", *lags)
-    return home_rows(x)
-
-
-def _spread_nulls() -> Column:
-    """Extra partition key that scatters rows without ``trans_id`` by content: their flags are
-    not spread (``NULL IN (...)`` is never true), so they must not pile into one task."""
-    return F.when(F.col("trans_id").isNull(),
-                  F.xxhash64("trans_date", "card_num", "terminal", "amt", "oper_type"))
-
-
-def classify(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE, slice_width=None) -> DataFrame:
+    by_client = f"OVER (PARTITION BY client_id{slice_col} ORDER BY {order})"
+    by_card = f"OVER (PARTITION BY client_id, card_num_dim, oper_type{slice_col} ORDER BY {order})"
+    return x.selectExpr("*", *[f"lag({c}, {k}) {by_client} AS {out}" for out, (c, k) in CLIENT_LAGS.items()],
+                        *[f"lag({c}, {k}) {by_card} AS {out}" for out, (c, k) in CARD_LAGS.items()])
+
+
+def flagged_ids(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE, slice_width=None, slice_rows=None) -> DataFrame:
+    """(trans_id, any_hop, any_probe) of the ids that rule 3 or 4 flags on any of their rows. Rows without an id take part as
+    predecessors but are never flagged (``NULL IN (...)`` is never true). Only the columns the rules read are carried; they are
+    written once, as the slices are measured on them before the lags are taken."""
+    needed = dict.fromkeys([*_order_columns(enriched), "client_id", "card_num_dim", "oper_type", "amt", "oper_result", "terminal_city"])
+    counted = Observation()
+    narrow = written(enriched.select(*needed).observe(counted, F.count(F.lit(1)).alias("n")), "rule-columns")
+    x = with_rule_lags(narrow, city_window, probe_window, slice_width, slice_rows, counted.get["n"])
+    no = F.lit(False)
+    x = x.select("trans_id", F.coalesce(city_hop_rule(city_window), no).alias("any_hop"), F.coalesce(amount_probe_rule(probe_window), no).alias("any_probe"))
+    x = x.where(F.col("trans_id").isNotNull() & (F.col("any_hop") | F.col("any_probe")))
+    return x.groupBy("trans_id").agg(F.max("any_hop").alias("any_hop"), F.max("any_probe").alias("any_probe"))
+
+
+def spread_flags(rows: DataFrame, flagged: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+    """``rows`` with ``any_hop`` and ``any_probe`` of their ids, false where ``flagged`` doesn't list the id.
+
+    The ids are written and counted first. Few are sent to all tasks. Of many, a Bloom filter is: rows it rules out have no flag
+    and stay where they are, and only the others are exchanged by id, those of one id over several tasks."""
+    counted = Observation()
+    flagged = written(flagged.observe(counted, F.count(F.lit(1)).alias("n")), "flagged-ids")
+    n = counted.get["n"]
+    unflagged = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("any_hop", "any_probe")}
+    if n <= broadcast_ids:
+        return rows.join(F.broadcast(flagged), "trans_id", "left").withColumns(unflagged)
+    bits = bits_for(n)
+    hit = may_hold(filter_value(flagged, "trans_id", bits), "trans_id", bits)
+    salt = F.pmod(F.xxhash64("trans_date", "terminal", "amt", "oper_type"), F.lit(ID_SALTS)).cast("int")
+    salted = flagged.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ID_SALTS - 1))))
+    met = rows.where(hit).withColumn("_salt", salt).join(salted, ["trans_id", "_salt"], "left").drop("_salt").withColumns(unflagged)
+    rest = rows.where(~hit).withColumns({c: F.lit(False) for c in unflagged})
+    return met.unionByName(rest)
+
+
+def classify(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE, slice_width=None, slice_rows=None,
+             broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
     """Every enriched row with ``event_type`` '1'..'4' (first matching rule) or null.
 
     Rules 3 and 4 flag a ``trans_id`` when any of its rows matches. Nothing makes ids unique (repeated fact
-    rows may be days apart, or a key's versions belong to different clients), so the flags are spread over
-    all rows of an id, whatever versions were joined: one exchange by id. The rules are
-    evaluated before it, so that it carries their flags and not the lag columns.
+    rows may be days apart, or a key's versions belong to different clients), so the flags are those of the id, whatever
+    versions were joined. They are found in a first pass over the rules' columns, and the whole rows meet the few
+    flagged ids in a second one (:func:`spread_flags`): no row is exchanged by its id unless it may be flagged.
     """
-    x = with_rule_lags(enriched, city_window, probe_window, slice_width)
-    lag_columns = {"prev_time", "prev_city"} | {f"{c}_back_{k}" for c in ("time", "amt", "result") for k in (1, 2, 3)}
-    x = x.select(*[c for c in x.columns if c not in lag_columns], city_hop_rule(city_window).alias("_hop"),
-                 amount_probe_rule(probe_window).alias("_probe"))
-    same = Window.partitionBy("trans_id", _spread_nulls())
-    known = F.col("trans_id").isNotNull()
-    x = x.select("*", F.when(known, F.max("_hop").over(same)).alias("any_hop"),
-                 F.when(known, F.max("_probe").over(same)).alias("any_probe"))
+    x = spread_flags(enriched, flagged_ids(enriched, city_window, probe_window, slice_width, slice_rows), broadcast_ids)
     event_type = (F.when(passport_rule(), "1").when(contract_rule(), "2")
                   .when(F.col("any_hop"), "3").when(F.col("any_probe"), "4"))
-    return x.withColumn("event_type", event_type).drop("_hop", "_probe")
+    return x.withColumn("event_type", event_type)

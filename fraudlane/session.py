@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at any scale: AQE re-plans joins from measured shuffle sizes
 # (broadcast only below the threshold), splits skewed join partitions and coalesces
@@ -58,3 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
+
+
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read back: what follows reads its rows instead of
+    computing them again, and a lost executor costs nothing that came before."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/mart/{tag}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
