@@ -22,6 +22,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.facts import new_blacklist, new_transactions
@@ -35,7 +36,9 @@ from ..operators.lags import seconds_of
 from ..operators.rules import CITY_HOP, PROBE
 from ..sources.files import archive_files, stage_blacklist, stage_terminals
 
-LOAD, REPORTED = "load", "report"
+#: CAUGHT_UP marks a load without a report of its own whose facts a later load's report has covered.
+LOAD, REPORTED, CAUGHT_UP = "load", "report", "caught_up"
+DROP_FILES = StructType([StructField("file", StringType()), StructField("archive_dir", StringType())])
 
 
 def ddl(schema, *partitions: str) -> str:
@@ -120,6 +123,21 @@ class Warehouse:
     def report(self, before: int | None = None) -> DataFrame:
         return self._loads("rep_fraud", REPORT, self.published(REPORTED, before)).select(*REPORT.names)
 
+    def unreported(self, before: int) -> list[int]:
+        """Loads before ``before`` that are published but that no report covers yet."""
+        covered = {*self.published(REPORTED), *self.published(CAUGHT_UP)}
+        return [i for i in self.published(LOAD, before) if i not in covered]
+
+    def first_transaction(self, ids: list[int]):
+        """The earliest transaction time of some loads, or None; only their folders are read."""
+        return self._loads("fact_transactions", FACT_TRANSACTIONS, ids, "trans_day date").agg(F.min("trans_date")).first()[0]
+
+    def drop_files(self, ids: list[int]) -> list[tuple[str, str]]:
+        """(file, archive folder) of the drops of some loads: a few names each."""
+        if not ids or self._read("drop_files", ddl(DROP_FILES, "load_id int")) is None:
+            return []
+        return [(r.file, r.archive_dir) for r in self._loads("drop_files", DROP_FILES, ids).select("file", "archive_dir").collect()]
+
     def write(self, df: DataFrame, table: str, load_id: int, partition_by=None) -> None:
         w = df.write.mode("overwrite")
         if partition_by:
@@ -176,9 +194,11 @@ def _load_phase(wh: Warehouse, load_id: int, drop: DayDrop) -> None:
         state = F.when(is_open(), F.lit("open")).otherwise(F.lit("closed"))
         wh.write(step.withColumn("state", state), f"dim_{dim}", load_id, partition_by="state")
 
-    # insert-only facts, the transactions by day
+    # insert-only facts, the transactions by day: gathered by day first, so that the files of a day follow its bytes
+    # and not the tasks (AQE splits a crowded day again)
     fresh = new_transactions(transactions, wh.fact("fact_transactions", before=load_id))
-    wh.write(fresh.withColumn("trans_day", F.to_date("trans_date")), "fact_transactions", load_id, partition_by="trans_day")
+    by_day = fresh.withColumn("trans_day", F.to_date("trans_date")).hint("rebalance", F.col("trans_day"))
+    wh.write(by_day, "fact_transactions", load_id, partition_by="trans_day")
     wh.write(new_blacklist(blacklist, wh.fact("fact_passport_blacklist", before=load_id)),
              "fact_passport_blacklist", load_id)
 
@@ -186,6 +206,9 @@ def _load_phase(wh: Warehouse, load_id: int, drop: DayDrop) -> None:
         meta = advance_mark(meta, f"stg_{dim}", stages[dim])
     meta = advance_terminals_mark(meta, stages["terminals"], drop.business_date)
     wh.write(meta, "meta", load_id)
+    if drop.files and drop.archive_dir:
+        named = wh.spark.createDataFrame([(f, drop.archive_dir) for f in drop.files], DROP_FILES)
+        wh.write(named.coalesce(1), "drop_files", load_id)
     wh.publish(load_id, LOAD)
 
 
@@ -203,7 +226,8 @@ def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_
     on with what is missing (the report, or nothing), and an id below a published one is refused.
 
     ``report_since`` limits the report to transactions from then on (facts are read from one
-    rule horizon earlier); by default the whole history is re-reported each day (Q4).
+    rule horizon earlier), but reaches back to the first transaction of any earlier load whose own report failed: this report then
+    covers that load too, and its drop files are archived with this one's. By default the whole history is re-reported each day (Q4).
     ``versions`` is passed to the report ('all', 'current' or 'as_of')."""
     latest = max(wh.published(LOAD), default=None)
     if latest is not None and load_id < latest:
@@ -214,6 +238,10 @@ def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_
     if load_id != latest:
         _load_phase(wh, load_id, drop)
 
+    missed = wh.unreported(load_id)
+    if report_since is not None and missed and (first := wh.first_transaction(missed)) is not None:
+        report_since = str(min(datetime.fromisoformat(str(report_since)), first))
+
     # report over everything published so far, appended without repeats (second commit)
     # open versions are all a 'current' report needs; 'all' and 'as_of' read the history
     dim = wh.open_versions if versions == "current" else wh.history
@@ -231,4 +259,8 @@ def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_
                       since=report_since, **kwargs)
     wh.write(rows, "rep_fraud", load_id, partition_by="report_dt")
     wh.publish(load_id, REPORTED)
+    for skipped in missed:
+        wh.publish(skipped, CAUGHT_UP)
     archive_files(wh.spark, drop.files, drop.archive_dir)
+    for file, archive_dir in wh.drop_files(missed):
+        archive_files(wh.spark, [file], archive_dir)

@@ -130,10 +130,16 @@ def q_daily_run_facts(spark, sf_dir):
 
 @register("daily_run_marks")
 def q_daily_run_marks(spark, sf_dir):
-    """The marks after two daily runs, each read from the last before the next extract."""
+    """The marks after two daily runs, each read from the last before the next extract."""
     return _two_days(spark, sf_dir).meta()
 
 
+@register("daily_run_report")
+def q_daily_run_report(spark, sf_dir):
+    """K5: the published report of two daily runs, the second appending what the first had not reported on its date."""
+    return _two_days(spark, sf_dir).report()
+
+
 @register("scd2_three_day_replay")
 def q_three_day_replay(spark, sf_dir):
     """Three daily loads with new, changed, deleted and revived keys."""

@@ -68,7 +68,8 @@ def stage_blacklist(raw: DataFrame) -> DataFrame:
 
 def archive_files(spark: SparkSession, paths, archive_dir: str | None, base: str | None = None) -> list[str]:
     """K6: move consumed drop files into ``archive_dir``, under their names (or paths below ``base``) with ``.backup``
-    added; files that are gone already (an earlier run moved them) are passed over. Returns the new paths."""
+    added; files that are gone already (an earlier run moved them) are passed over. A file whose name the archive has from
+    another folder gets its own folder's name before it. Returns the new paths."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
     moved = []
     for path in paths if archive_dir else ():
@@ -77,6 +78,8 @@ def archive_files(spark: SparkSession, paths, archive_dir: str | None, base: str
         target = hadoop(f"{archive_dir}/{name}.backup")
         fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
         if fs.exists(source):
+            if fs.exists(target):
+                target = hadoop(f"{archive_dir}/{source.getParent().getName()}-{name}.backup")
             fs.mkdirs(target.getParent())
             if not fs.rename(source, target):
                 raise OSError(f"{path} could not be moved to {target}")

@@ -199,3 +199,49 @@ def test_jdbc_options():
 def test_catalog_source(spark):
     spark.range(3).createOrReplaceTempView("some_source")
     assert read_source_table(spark, "some_source").count() == 3
+
+
+def test_a_report_that_failed_is_caught_up(spark, scratch, monkeypatch):
+    """Load 2 is published but its report fails; load 3 reports only since its own day, and yet load 2's days appear."""
+    from fraudlane.plans import daily
+    wh, text, week = Warehouse(spark, f"{scratch}/wh"), transactions_text(spark, SF0001), timedelta(days=7)
+    days = {1: (None, "2024-01-08"), 2: ("2024-01-08", "2024-01-15"), 3: ("2024-01-15", "2099-01-01")}
+
+    def drop(day, **changes):
+        lower, upper = days[day]
+        part = text.where(F.col("trans_date") < upper)
+        sources = {d: replay_source(spark, SF0001, d, day) for d in ("terminals", "cards", "accounts", "clients")}
+        bd, load_ts = REPLAY_DAYS[day]
+        return DayDrop(bd, load_ts, bd, part if lower is None else part.where(F.col("trans_date") >= lower), blacklist=blacklist_sheet(spark, SF0001), **(sources | changes))
+
+    def since(day):
+        return f"{days[day][0] or '2024-01-01'} 00:00:00"
+
+    run_day(wh, 1, drop(1), probe_window=week, report_since=since(1))
+    sheet = f"{scratch}/terminals_08012024.csv"
+    open(sheet, "w").close()
+    with monkeypatch.context() as m:
+        def fail(*a, **k):
+            raise RuntimeError("no report")
+        m.setattr(daily, "fraud_mart", fail)
+        with pytest.raises(RuntimeError):
+            run_day(wh, 2, drop(2, files=(sheet,), archive_dir=f"{scratch}/archive"), probe_window=week, report_since=since(2))
+    assert wh.published("load") == [1, 2] and wh.published("report") == [1] and wh.unreported(3) == [2]
+    run_day(wh, 3, drop(3), probe_window=week, report_since=since(3))
+    assert wh.published("report") == [1, 3] and wh.unreported(9) == []
+    middle = wh.report().where("event_dt >= '2024-01-08' AND event_dt < '2024-01-15'")
+    assert middle.count() > 0 and {r.report_dt for r in middle.collect()} == {date.fromisoformat(REPLAY_DAYS[3][0])}
+    assert os.path.exists(f"{scratch}/archive/terminals_08012024.csv.backup") and not os.path.exists(sheet)
+    # a crowded or a sparse day: the files of the facts follow the days, not tasks x days
+    folders = [d for d, _, _ in os.walk(f"{scratch}/wh/fact_transactions/load_id=1") if "trans_day=" in d]
+    parts = [f for _, _, fs in os.walk(f"{scratch}/wh/fact_transactions/load_id=1") for f in fs if f.endswith(".parquet")]
+    assert len(parts) == len(folders) > 3
+
+
+def test_files_of_one_name_are_archived_apart(spark, scratch):
+    from fraudlane.sources.files import archive_files
+    for folder in ("a", "b"):
+        os.makedirs(f"{scratch}/{folder}")
+        open(f"{scratch}/{folder}/cards.csv", "w").close()
+    moved = archive_files(spark, [f"{scratch}/a/cards.csv", f"{scratch}/b/cards.csv"], f"{scratch}/archive")
+    assert sorted(os.path.basename(m) for m in moved) == ["b-cards.csv.backup", "cards.csv.backup"]
