@@ -26,6 +26,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.facts import new_blacklist, new_transactions
+from ..operators.id_filters import FILTER_DDL, build_filter, possible_loads
 from ..operators.report import fraud_mart
 from ..operators.scd2 import empty_history, is_open, scd2_step
 from ..operators.watermark import advance_mark, advance_terminals_mark, read_mark, seed_marks
@@ -38,6 +39,7 @@ from ..sources.files import archive_files, stage_blacklist, stage_terminals
 
 #: CAUGHT_UP marks a load without a report of its own whose facts a later load's report has covered.
 LOAD, REPORTED, CAUGHT_UP = "load", "report", "caught_up"
+ID_FILTERS = "ids_transactions"
 DROP_FILES = StructType([StructField("file", StringType()), StructField("archive_dir", StringType())])
 
 
@@ -98,6 +100,29 @@ class Warehouse:
             df = df.where(F.col("trans_day") >= F.lit(str(since_day)).cast("date"))
         return df.select(*schema.names)
 
+    def write_id_filter(self, load_id: int) -> None:
+        """The filter of the transaction ids that a load has written, beside its facts."""
+        written = self.spark.read.schema(FACT_TRANSACTIONS).parquet(f"{self._path('fact_transactions')}/load_id={load_id}")
+        self.write(build_filter(written, "trans_id"), ID_FILTERS, load_id)
+
+    def loads_that_may_hold(self, ids: DataFrame, key: str, load_id: int) -> list[int]:
+        """The loads before ``load_id`` whose transactions may hold one of the ids: those whose filter lets
+        one pass, and those without a filter. Load ids and segment numbers reach the driver."""
+        before = self.published(LOAD, load_id)
+        if not before or self._read(ID_FILTERS, f"{FILTER_DDL}, load_id int") is None:
+            return before
+        filters = self._published_table(ID_FILTERS, f"{FILTER_DDL}, load_id int").where(F.col("load_id").isin(before))
+        known = filters.select("load_id", "segments").distinct().collect()
+        if not known:
+            return before
+        pairs = possible_loads(ids, key, filters, sorted({r.segments for r in known}))
+        passed = {r.load_id for r in pairs.select("load_id").distinct().collect()}
+        return sorted(passed | (set(before) - {r.load_id for r in known}))
+
+    def transactions_of(self, load_ids: list[int]) -> DataFrame:
+        """The transactions of some published loads; no other load's folder is listed in the plan's scan."""
+        return self._loads("fact_transactions", FACT_TRANSACTIONS, load_ids, "trans_day date").select(*FACT_TRANSACTIONS.names)
+
     def open_versions(self, dim: str, before: int | None = None) -> DataFrame:
         spec = DIMENSIONS[dim]
         ids = self.published(LOAD, before)
@@ -194,11 +219,13 @@ def _load_phase(wh: Warehouse, load_id: int, drop: DayDrop) -> None:
         state = F.when(is_open(), F.lit("open")).otherwise(F.lit("closed"))
         wh.write(step.withColumn("state", state), f"dim_{dim}", load_id, partition_by="state")
 
-    # insert-only facts, the transactions by day: gathered by day first, so that the files of a day follow its bytes
+    # insert-only facts: only loads that may hold a staged id are read. The transactions by day: gathered by day first, so that the files of a day follow its bytes
     # and not the tasks (AQE splits a crowded day again)
-    fresh = new_transactions(transactions, wh.fact("fact_transactions", before=load_id))
+    earlier = wh.loads_that_may_hold(transactions, "trans_id", load_id)
+    fresh = new_transactions(transactions, wh.transactions_of(earlier))
     by_day = fresh.withColumn("trans_day", F.to_date("trans_date")).hint("rebalance", F.col("trans_day"))
     wh.write(by_day, "fact_transactions", load_id, partition_by="trans_day")
+    wh.write_id_filter(load_id)
     wh.write(new_blacklist(blacklist, wh.fact("fact_passport_blacklist", before=load_id)),
              "fact_passport_blacklist", load_id)
 
