@@ -11,9 +11,9 @@ counts is far from every reference by chance alone, so a distance only counts fr
 
 Defined cases: null and empty texts have no words and fail the base rules; a table without any
 document to learn from has no references, and then the base rules alone decide; a text of several sources
-teaches for the first by code point, null sources are one source; languages that are
-not listed (null included) teach no reference but are judged all the same; repeated rows and ties
-are judged alike; an empty table gives an empty result. Texts are read whole, in memory that grows
+teaches for the first by code point, null sources are one source; a language that is not listed teaches no reference,
+and its documents have no distances, as none speaks for them; a document without a language teaches none and is held
+against all; repeated rows and ties are judged alike; an empty table gives an empty result. Texts are read whole, in memory that grows
 with the largest text.
 """
 
@@ -154,20 +154,16 @@ def _learn(rules: Rules):
     return run
 
 
-def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> list[tuple[np.ndarray, np.ndarray]]:
-    """The references of the listed languages: sums over all their documents that are long enough. The tasks
+def references(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The references by listed language: sums over all their documents that are long enough. The tasks
     send counts by bin only, so at most languages x bins numbers reach the driver."""
     texts = docs.where(F.col(lang_col).isin(sorted(COMMON_WORDS)) & F.col(text_col).isNotNull())
     counts = (texts.select(F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
               .mapInArrow(_learn(rules), "lang string, kind int, bin int, n long")
               .groupBy("lang", "kind", "bin").agg(F.sum("n").alias("n")).collect())
-    found = []
-    for lang in sorted({r.lang for r in counts}):
-        both = (np.zeros(N_CLASSES, np.int64), np.zeros(len(WORDS) + 1, np.int64))
-        for r in counts:
-            if r.lang == lang:
-                both[r.kind][r.bin] = r.n
-        found.append(both)
+    found = {lang: (np.zeros(N_CLASSES, np.int64), np.zeros(len(WORDS) + 1, np.int64)) for lang in sorted({r.lang for r in counts})}
+    for r in counts:
+        found[r.lang][r.kind][r.bin] = r.n
     return found
 
 
@@ -245,8 +241,8 @@ def _distances(middles):
     return run
 
 
-def source_references(docs: DataFrame, rules: Rules, text_col: str, lang_col: str, source_col: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    """The references of the listed languages, with one vote for each source: the mean histogram of the sources
+def source_references(docs: DataFrame, rules: Rules, text_col: str, lang_col: str, source_col: str) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The references by listed language, with one vote for each source: the mean histogram of the sources
     near the bin-wise median of all. Languages x bins numbers reach the driver."""
     texts = docs.where(F.col(lang_col).isin(sorted(COMMON_WORDS)) & F.col(text_col).isNotNull())
     taught = texts.select(F.col(lang_col).alias("lang"), F.col(source_col).cast("string").alias("source"), F.col(text_col).alias("text"))
@@ -265,12 +261,12 @@ def source_references(docs: DataFrame, rules: Rules, text_col: str, lang_col: st
 
     middles = histograms(each, F.percentile_approx("col", 0.5, 10000))
     if not middles:
-        return []
+        return {}
     measured = each.mapInArrow(_distances(middles), "lang string, kind int, parts array<bigint>, far double")
     limits = measured.groupBy("lang", "kind").agg((FAR * F.percentile_approx("far", 0.5, 10000)).alias("limit"))
     near = measured.join(F.broadcast(limits), ["lang", "kind"]).where(F.col("far") <= F.col("limit"))
     found = histograms(near, F.sum(F.col("col").cast("decimal(38,0)")).cast("double"))
-    return [(found[lang, 0], found[lang, 1]) for lang in sorted({lang for lang, _ in found})]
+    return {lang: (found[lang, 0], found[lang, 1]) for lang in sorted({lang for lang, _ in found})}
 
 
 FACTS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -299,12 +295,14 @@ def quality(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lan
     """``docs`` with the columns of FACTS for each row; columns of the same names are replaced. With ``source_col``
     the references are those of source_references.
 
-    The texts pass through one Arrow stage with all columns of ``docs`` beside them; no text is shuffled.
+    A text whose language has no reference is judged by the base rules alone, as no reference speaks for it; one without a language is
+    held against all. The texts pass through one Arrow stage with all columns of ``docs`` beside them; no text is shuffled.
     """
     refs = source_references(docs, rules, text_col, lang_col, source_col) if source_col else references(docs, rules, text_col, lang_col)
     names = [f.split()[0] for f in FACTS.split(", ")]
     kept = docs.drop(*names)
-    at = kept.columns.index(text_col)
+    at, of = kept.columns.index(text_col), kept.columns.index(lang_col)
+    held = list(refs.values())
     from pyspark.sql.types import StructType
 
     schema = StructType(kept.schema.fields + StructType.fromDDL(FACTS).fields)
@@ -312,7 +310,8 @@ def quality(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lan
 
     def run(batches):
         for b in batches:
-            rows = list(zip(*[judge(t, refs, rules) for t in b.column(at).to_pylist()])) or [[] for _ in names]
+            texts = zip(b.column(at).to_pylist(), b.column(of).to_pylist())
+            rows = list(zip(*[judge(t, held if lang is None or lang in refs else (), rules) for t, lang in texts])) or [[] for _ in names]
             yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(v, t) for v, t in zip(rows, types)]], names=[*b.schema.names, *names])
 
     return kept.mapInArrow(run, schema)

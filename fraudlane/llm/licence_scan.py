@@ -6,8 +6,8 @@ to the templates' weighted terms, and the products summed and normed are the cos
 at or above ``least`` is the statement's licence, and a file's own licence is that of its best statement.
 
 Beside the notices there are fixed forms: SPDX tags, titles, names, standard headers and the opening words of full
-texts. A form counts 1.0 where it stands word for word, whatever stands around it: in a statement, in a file's first
-HEADER characters, or anywhere in a licence file, over line ends too. GNU texts name each other, so a text that opens with the
+texts. A form counts 1.0 where it stands word for word anywhere in a text, whatever stands around it and with or without a
+cue, over line ends too (a tag within its line). The patterns are tried where one of the words that every form needs stands. GNU texts name each other, so a text that opens with the
 title of one is not taken for the others.
 
 A directory's licence is that of its licence files (by name: LICENSE, LICENCE or COPYING). A file
@@ -90,7 +90,9 @@ FORMS = {
 FORMS = {name: pattern + "|" + _spdx(name) for name, pattern in FORMS.items()}
 #: Named without any version: a licence of its own name, if no version stands elsewhere.
 UNVERSIONED = "GPL"
-HEADER = 4096
+#: What a lower-case text with any of the forms holds at least.
+NEEDED = (r"licen[cs]|spdx|gpl|apache|bsd|mpl|cc0|creative|permission|redistribution|unencumbered|(?<![a-z0-9])cc[^a-z0-9]+by[^a-z0-9]"
+          r"|(?<![a-z0-9])under[^a-z0-9]+(?:the[^a-z0-9]+)?(?:terms[^a-z0-9]+of[^a-z0-9]+(?:the[^a-z0-9]+)?)?mit(?![a-z0-9])")
 CUE = r"(?i)licen[cs]|copyright|public domain|spdx|all rights reserved"
 APART = r"\n|[.;!?]\x20+"
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
@@ -152,12 +154,12 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.8, pat
     segments = F.when(F.col(text_col).rlike(CUE), F.filter(F.split(text_col, APART), lambda s: s.rlike(CUE)))
     text = F.col(text_col)
     # SPDX tags end with their line, so only statements have them.
-    whole = F.regexp_replace(F.when(F.col(path_col).rlike(LICENCE_FILE), text).otherwise(F.substring(text, 1, HEADER)), "(?i)spdx", "")
-    words = F.when(text.rlike(CUE), _said_words(F.concat_ws(f" {BREAK} ", whole, F.array_join(segments, f" {BREAK} "))))
+    whole = F.regexp_replace(text, "(?i)spdx", "")
+    words = F.when(F.lower(text).rlike(NEEDED), _said_words(F.concat_ws(f" {BREAK} ", whole, F.array_join(segments, f" {BREAK} "))))
     opening = F.concat(*[F.when(F.col("_words").rlike(f"^ (?:the )?{title} (?:{kind.lower()} )?version "), F.lit(kind)).otherwise(F.lit("")) for kind, title in GNU.items()])
     read = files.withColumn("_words", words).withColumn("_title", F.when(opening != "", opening))
-    rows = materialise(read.select(*keep, F.array_distinct(F.transform(segments, F.trim)).alias("_said"), "_title",
-                                    F.when(F.col("_words").isNotNull(), _forms(F.col("_words"), F.col("_title"))).alias("_found"),
+    rows = materialise(read.select(*keep, F.coalesce(F.array_distinct(F.transform(segments, F.trim)), F.array().cast("array<string>")).alias("_said"), "_title",
+                                    F.coalesce(F.when(F.col("_words").isNotNull(), _forms(F.col("_words"), F.col("_title"))), F.array().cast("array<string>")).alias("_found"),
                                     F.regexp_extract(path_col, r"^(.*)/[^/]*$", 1).alias("_dir"), F.col(path_col).startswith("/").alias("_rooted")), "licence-files")
     statements = rows.select(F.explode("_said").alias("statement")).distinct()
     scores = materialise(statement_scores(statements, templates, least), "statement-scores")

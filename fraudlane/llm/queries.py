@@ -36,9 +36,9 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op5_quality_divergence")
 def op5_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Base facts and the divergence verdict of every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return quality(docs).drop("lang", "text")
+    """Base facts and the divergence verdict of every document, by references in which each source has one vote."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    return quality(docs, source_col="source").drop("lang", "source", "text")
 
 
 @register("op3_pareto_mix", oracle=oracles.PARETO_MIX)

@@ -136,24 +136,38 @@ def test_quality_facts_and_verdicts(spark, docs):
         counts = [sum(n[f] for f in {w, w.capitalize(), w.upper()}) for w in terms]
         return np.array(counts + [sum(n.values()) - sum(counts)])
 
-    refs = {}
-    for d in docs.values():
-        if len(_words(d.text)) >= rules.word_guard_words:
-            a, b = refs.get(d.lang, (0, 0))
-            refs[d.lang] = (a + classes(d.text), b + common(d.text))
-    for k, d in docs.items():
-        words, r = _words(d.text), got[k]
+    def repeats(words):
         windows = collections.defaultdict(list)
         for i in range(len(words) - 7):
             windows[tuple(words[i:i + 8])].append(i)
-        repeated = {i + j for v in windows.values() if len(v) > 1 for i in v for j in range(8)}
+        return {i + j for v in windows.values() if len(v) > 1 for i in v for j in range(8)}
+
+    # every distinct text that passes teaches once, for its first source; each source near the middle has one vote
+    teaches = {}
+    for d in docs.values():
+        words = _words(d.text)
+        if len(words) >= rules.word_guard_words and 100 * len(repeats(words)) <= 30 * len(words):
+            teaches[d.lang, d.text] = min(d.source, teaches.get((d.lang, d.text), d.source))
+    sources = {}
+    for (lang, text), source in teaches.items():
+        for kind, h in enumerate((classes(text), common(text))):
+            sources.setdefault((lang, kind), {}).setdefault(source, []).append(h / h.sum())
+    refs = {}
+    for (lang, kind), of in sources.items():
+        votes = [np.sum(hs, axis=0) / len(hs) for hs in of.values()]
+        middle = lambda values: np.sort(np.array(values), axis=0)[(len(values) - 1) // 2]
+        far = [distance(v, middle(votes)) for v in votes]
+        refs.setdefault(lang, {})[kind] = np.sum([v for v, f in zip(votes, far) if f <= 2 * middle(far)], axis=0)
+    for k, d in docs.items():
+        words, r = _words(d.text), got[k]
+        repeated = repeats(words)
         lines = [x for x in d.text.split("\n") if _words(x)]
         failed = len(words) < 20 or 100 * len(repeated) > 30 * len(words)
         assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) == (
             len(words), sum(map(len, words)), sum(d.text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(repeated), failed)
         by_class = min(distance(classes(d.text), v[0]) for v in refs.values()) if not failed and len(d.text) >= rules.class_guard_chars else 0
         by_word = min(distance(common(d.text), v[1]) for v in refs.values()) if by_class and len(words) >= rules.word_guard_words else 0
-        assert abs((r.class_distance or 0) - by_class) < 1e-9 and abs((r.word_distance or 0) - by_word) < 1e-9
+        assert abs((r.class_distance or 0) - by_class) < 1e-6 and abs((r.word_distance or 0) - by_word) < 1e-6
         assert r.kept == (not failed and by_class <= rules.max_class_distance and by_word <= rules.max_word_distance)
 
 
@@ -184,6 +198,18 @@ def test_hot_junk_source_teaches_nothing(spark):
     assert clean and mixed == clean
 
 
+def test_a_language_without_reference_keeps_its_documents(spark):
+    from fraudlane.llm.divergence import quality
+    sf = SF0001.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source")
+    rng = np.random.default_rng(5)
+    clean = " ".join("".join(rng.choice(list("aeiou") + list("lmnrst"), 5)) for _ in range(300))  # words of no listed language
+    junk = " ".join("".join(rng.choice(list("QXZ#0123456789"), 6)) for _ in range(300))
+    more = spark.createDataFrame([(-1, clean, "it", "s"), (-2, junk, "de", "s"), (-3, junk, None, "s"), (-4, "too short", "it", "s")], docs.schema)
+    got = {r.doc_id: (r.kept, r.word_distance is None) for r in quality(docs.unionByName(more), source_col="source").where("doc_id < 0").collect()}
+    assert got == {-1: (True, True), -2: (False, False), -3: (False, False), -4: (False, True)}
+
+
 def test_chats_read_back(spark):
     talks = collections.defaultdict(list)
     for r in spark.read.parquet(f"{SF0001}/conversations.parquet").collect():
@@ -344,6 +370,28 @@ def test_held_out_licence_wordings(spark):
     assert len(got) == len(files) and [(r.path, r.own_licence, r.want) for r in got if r.own_licence != r.want] == []
 
 
+def test_licence_forms_anywhere_and_without_a_cue(spark):
+    from fraudlane.llm.licence_scan import scan_licences
+    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated files"
+    long = "some plain words of a long text\n" * 400
+    files = [("a/x.c", long + grant, "MIT"), ("b/x.c", grant + "\n" + long, "MIT"), ("c/x.c", long + "Distributed under the terms of the MIT", "MIT"),
+             ("d/x.c", long + "This is free and unencumbered software released into the public domain.", "Unlicense"), ("e/x.c", long, None),
+             ("f/x.c", long + "Redistribution and use in source\n   and binary forms are permitted", "BSD-2-Clause"), ("g/x.c", "CC-BY 4.0", "CC-BY-4.0"),
+             ("h/x.c", "Permission to enter was granted to the apache, creative as ever; submit it under MITRE", None), ("i/x.c", "", None), ("j/x.c", None, None)]
+    got = scan_licences(spark.createDataFrame(files, "path string, text string, want string")).collect()
+    wrong = [(r.path, r.own_licence, r.want) for r in got if r.own_licence != r.want]
+    assert len(got) == len(files) and wrong == []
+
+
+def test_every_form_holds_what_the_gate_needs():
+    """No wording of a form passes by the gate: each alternative, written out plainly, has one of its words."""
+    from fraudlane.llm.licence_scan import FORMS, NEEDED
+    for name, pattern in FORMS.items():
+        for option in re.split(r" \| ", pattern):
+            plain = re.sub(r"\(\?[:!][^()]*\|?[^()]*\)\??|\\|\?|\[cs\]", lambda m: "c" if m.group() == "[cs]" else "", f" {option} ")
+            assert re.search(NEEDED, plain) or re.search(NEEDED, option.replace("[cs]", "c")), (name, option, plain)
+
+
 def test_every_licence_of_a_directory_is_listed(spark):
     from fraudlane.llm.licence_scan import scan_licences
     files = [("a/LICENSE-MIT", "Released under the MIT License."), ("a/LICENSE-APACHE", "Licensed under the Apache License, Version 2.0."),
