@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 
@@ -26,5 +27,18 @@ def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with all columns under names that no operator uses itself, and these names by the columns' own."""
+    names = {c: f"_given_{k}" for k, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def named_back(result: DataFrame, names: dict[str, str], replaced: tuple[str, ...], added: tuple[str, ...] = ()) -> DataFrame:
+    """The columns that set_apart renamed, under their own names, without the ``replaced`` ones (in any case, as Spark
+    resolves names), then the ``added`` ones. A projection of its own: a name given back is never read beside it."""
+    gone = {c.lower() for c in replaced}
+    return result.select(*[F.col(given).alias(c) for c, given in names.items() if c.lower() not in gone], *added)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

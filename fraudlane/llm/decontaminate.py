@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, named_back, set_apart
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -123,6 +123,8 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = 10, shingle:
                   item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` with n_words, n_hit (words inside occurring windows), n_items, item_ids (sorted as
     strings) and contaminated."""
+    docs, names = set_apart(docs)
+    id_col, text_col = names[id_col], names[text_col]
     found, items = window_hits(docs, bench, window, shingle, id_col, text_col, item_id_col, item_text_col)
     found = materialise(found, "occurrences")
     spans = found.select("doc", "doc_hash", "start", "end").distinct()
@@ -133,20 +135,22 @@ def contamination(docs: DataFrame, bench: DataFrame, window: int = 10, shingle:
                 .agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids")))
     result = covered.join(credited, F.col("doc").eqNullSafe(F.col("d2")) & (F.col("doc_hash") == F.col("h2"))).drop("d2", "h2")
 
-    keep = [c for c in docs.columns if c not in ADDED]
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(*keep, F.size(words(F.col(text_col))).cast("long").alias("n_words"), F.xxhash64(text).alias("_hash"))
+    rows = docs.select("*", F.size(words(F.col(text_col))).cast("long").alias("n_words"), F.xxhash64(text).alias("_hash"))
     joined = rows.join(result, F.col(id_col).eqNullSafe(F.col("doc")) & (F.col("_hash") == F.col("doc_hash")), "left")
-    return joined.select(*keep, "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+    found = joined.select(*names.values(), "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                          F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
                          F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
                          (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
+    return named_back(found, names, ADDED, ADDED)
 
 
 def clean_documents(docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without any occurrence of a benchmark window, columns unchanged."""
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    found, _ = window_hits(docs, bench, **options)
+    docs, names = set_apart(docs)
+    found, _ = window_hits(docs, bench, **options | {"id_col": names[id_col], "text_col": names[text_col]})
     bad = materialise(found.select("doc", "doc_hash").distinct(), "contaminated")
-    text_hash = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["doc"]) & (text_hash == bad["doc_hash"]), "left_anti")
+    text_hash = F.xxhash64(F.coalesce(F.col(names[text_col]), F.lit("")))
+    clean = docs.join(bad, F.col(names[id_col]).eqNullSafe(F.col("doc")) & (text_hash == F.col("doc_hash")), "left_anti")
+    return named_back(clean, names, ())

@@ -9,14 +9,15 @@ rows overflow, and fewer rows move when a shard joins.
 
 Only the overflow plan is made in one place, from the number of rows in each arc: a table of
 shards x vnodes numbers whatever the input's size. It says which run of ranks of an arc goes to
-which shard, and from which slot on. A row's rank in its arc is a window over that arc, and the
-arcs are many and even: the hash covers id and text, so that neither a hot source nor rows without
-an id meet in one arc.
+which shard, and from which slot on. No arc is ranked as a whole: the ring is cut into ``1 << cell_bits``
+cells of equal width as well, a row has its place among the rows of its arc and cell, and the rows of the
+arc's cells before are added to it, summed over one number for each cell. The hash covers id and text, so that neither
+a hot source nor copies with their own ids nor rows without an id meet in one cell; only rows equal in both do.
 
 Defined cases: null text has no bytes (size 1, CRC 0); null ids hash as a value of their own; rows
 equal in id and text share a ring position and are dealt in turn like any others (they may part at
 a shard's limit); an empty table gives an empty result; columns with the names of the added ones
-are replaced. Results don't depend on partitioning.
+are replaced, and any other name may be used. Results don't depend on partitioning.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, named_back, set_apart
 
 ADDED = ("size", "text_crc32", "shard", "slot")
 MASK = (1 << 64) - 1
@@ -89,8 +90,12 @@ def ring_position(id_col: str, text: Column) -> Column:
 
 
 def ring_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64, slack: float = 0.0, seed: int = 1,
-                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without its text, with size, text_crc32, shard and slot (gapless from 0 in each shard)."""
+                id_col: str = "doc_id", text_col: str = "text", cell_bits: int = 16) -> DataFrame:
+    """``docs`` without its text, with size, text_crc32, shard and slot (gapless from 0 in each shard).
+    2 ** ``cell_bits`` cells bound the windows: 16 bits leave some 1.5 million rows to a cell at 10^11 rows."""
+    docs, names = set_apart(docs)
+    id_col, text_col = names[id_col], names[text_col]
+    carried = dict.fromkeys([id_col, *(given for given in names.values() if given != text_col)])
     places = ring(shards, vnodes, seed)
     positions = np.array([p for p, _ in places], dtype=np.int64)
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -99,14 +104,21 @@ def ring_shards(docs: DataFrame, shards: int = 16, vnodes: int = 64, slack: floa
     def arc_of(position: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(positions, position.to_numpy(np.int64), side="left") % len(positions)).astype("int32")
 
-    keep = [c for c in docs.columns if c not in (*ADDED, text_col)]
-    rows = docs.select(*keep, (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+    rows = docs.select(*carried, (F.octet_length(text) + F.lit(1)).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
                        ring_position(id_col, text).alias("_position"))
-    in_arc = Window.partitionBy("_arc").orderBy("_position", F.col(id_col).cast("string"), "size", "text_crc32")
-    rows = rows.withColumn("_arc", arc_of("_position")).withColumn("_rank", F.row_number().over(in_arc).cast("long") - 1)
-    rows = materialise(rows.drop("_position"), "ring-rows")
-    counts = {r._arc: r.n for r in rows.groupBy("_arc").agg(F.count(F.lit(1)).alias("n")).collect()}  # shards x vnodes at most
+    rows = rows.withColumn("_arc", arc_of("_position")).withColumn("_cell", F.shiftright("_position", 64 - cell_bits))
+    # an arc's positions rise with its cells, the one over the ring's end included: it is ranked from the least position on
+    in_cell = Window.partitionBy("_arc", "_cell").orderBy("_position", F.col(id_col).cast("string"), "size", "text_crc32")
+    rows = materialise(rows.withColumn("_place", F.row_number().over(in_cell).cast("long") - 1).drop("_position"), "ring-rows")
+    cells = materialise(rows.groupBy("_arc", "_cell").agg(F.count(F.lit(1)).alias("n")), "ring-cells")
+    counts = {r._arc: r.n for r in cells.groupBy("_arc").agg(F.sum("n").alias("n")).collect()}  # shards x vnodes at most
     runs = overflow_plan(counts, [s for _, s in places], quotas(sum(counts.values()), shards, slack))
     plan = docs.sparkSession.createDataFrame(runs, "_a int, _first long, _end long, shard int, _slot long")
-    dealt = rows.join(F.broadcast(plan), (F.col("_arc") == F.col("_a")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_end")))
-    return dealt.select(*keep, "size", "text_crc32", "shard", (F.col("_slot") + F.col("_rank") - F.col("_first")).alias("slot"))
+    earlier = Window.partitionBy("_ca").orderBy("_cc").rowsBetween(Window.unboundedPreceding, -1)
+    before = cells.select(F.col("_arc").alias("_ca"), F.col("_cell").alias("_cc"), "n").select(
+        "_ca", "_cc", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))  # arcs + cells rows at most
+    ranked = rows.join(F.broadcast(before), (F.col("_arc") == F.col("_ca")) & (F.col("_cell") == F.col("_cc")))
+    ranked = ranked.withColumn("_rank", F.col("_before") + F.col("_place"))
+    dealt = ranked.join(F.broadcast(plan), (F.col("_arc") == F.col("_a")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_end")))
+    dealt = dealt.select(*carried, "size", "text_crc32", "shard", (F.col("_slot") + F.col("_rank") - F.col("_first")).alias("slot"))
+    return named_back(dealt, {c: given for c, given in names.items() if given != text_col}, ADDED, ADDED)

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, named_back, set_apart
 
 #: Short notices by SPDX identifier.
 TEMPLATES = (
@@ -150,7 +150,9 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.8, pat
     """``files`` without its text, with own_licence, own_score, licence and inherited_from (a directory, or null
     for the file's own licence), and own_licences and licences: all that the file names, and those or else all of the
     directory it inherits from, by code point. More than one there is a dual licence or a conflict."""
-    keep = [c for c in files.columns if c not in (*ADDED, text_col)]
+    files, names = set_apart(files)
+    path_col, text_col, names = names[path_col], names[text_col], {c: given for c, given in names.items() if c not in ADDED}
+    carried = dict.fromkeys([path_col, *(given for given in names.values() if given != text_col)])  # the path counts even where its column is replaced
     segments = F.when(F.col(text_col).rlike(CUE), F.filter(F.split(text_col, APART), lambda s: s.rlike(CUE)))
     text = F.col(text_col)
     # SPDX tags end with their line, so only statements have them.
@@ -158,7 +160,7 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.8, pat
     words = F.when(F.lower(text).rlike(NEEDED), _said_words(F.concat_ws(f" {BREAK} ", whole, F.array_join(segments, f" {BREAK} "))))
     opening = F.concat(*[F.when(F.col("_words").rlike(f"^ (?:the )?{title} (?:{kind.lower()} )?version "), F.lit(kind)).otherwise(F.lit("")) for kind, title in GNU.items()])
     read = files.withColumn("_words", words).withColumn("_title", F.when(opening != "", opening))
-    rows = materialise(read.select(*keep, F.coalesce(F.array_distinct(F.transform(segments, F.trim)), F.array().cast("array<string>")).alias("_said"), "_title",
+    rows = materialise(read.select(*carried, F.coalesce(F.array_distinct(F.transform(segments, F.trim)), F.array().cast("array<string>")).alias("_said"), "_title",
                                     F.coalesce(F.when(F.col("_words").isNotNull(), _forms(F.col("_words"), F.col("_title"))), F.array().cast("array<string>")).alias("_found"),
                                     F.regexp_extract(path_col, r"^(.*)/[^/]*$", 1).alias("_dir"), F.col(path_col).startswith("/").alias("_rooted")), "licence-files")
     statements = rows.select(F.explode("_said").alias("statement")).distinct()
@@ -187,7 +189,8 @@ def scan_licences(files: DataFrame, templates=TEMPLATES, least: float = 0.8, pat
                        & (F.col("_found") == F.col("_f")), "left")
              .join(nearest, F.col(path_col).isNotNull() & (F.col("_dir") == F.col("_nd")) & (F.col("_rooted") == F.col("_nr")), "left"))
     inherits = F.col("_own").isNull()
-    return found.select(*keep, F.col("_own.name").alias("own_licence"), F.col("_own.score").alias("own_score"),
+    told = found.select(*carried, F.col("_own.name").alias("own_licence"), F.col("_own.score").alias("own_score"),
                         F.coalesce("_own.name", "_near.name").alias("licence"), F.when(inherits, F.col("_near._at")).alias("inherited_from"),
                         F.coalesce("_names", F.array().cast("array<string>")).alias("own_licences"),
                         F.coalesce("_names", "_near.names", F.array().cast("array<string>")).alias("licences"))
+    return named_back(told, {c: given for c, given in names.items() if given != text_col}, ADDED, ADDED)

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import BLANKS, materialise
+from .common import BLANKS, materialise, named_back, set_apart
 
 BINS = 1 << 16
 FILLS = 4
@@ -134,8 +134,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), max_copie
     The ranking runs on one narrow row per distinct document (written once). What comes back to the
     documents is a few numbers per source, so the texts themselves are never shuffled for it.
     """
-    keep = [F.col(c) for c in docs.columns if c not in ADDED]
-    d = docs.select(*keep, *_draw(id_col, text_col, source_col, weight_col, seed))
+    docs, names = set_apart(docs)
+    d = docs.select("*", *_draw(names[id_col], names[text_col], names[source_col], weight_col and names[weight_col], seed))
     units = materialise(d.groupBy("_source", "_drawn", "_w", "_size").agg(F.sum("_size").alias("_words")), "mix-units")
     mass = units.groupBy("_source").agg(F.sum("_words").alias("source_size"), F.sum(F.col("_words") * F.col("_w")).alias("_mass"))
     targets = source_targets(mass.select(F.col("_source").alias("source"), "source_size"), weights, max_copies)
@@ -146,5 +146,5 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), max_copie
     d = _ranked(d, rates, max_copies).join(cuts, F.col("_source").eqNullSafe(F.col("_cs")), "left")
     closing = F.coalesce(F.col("_drawn") == F.col("_closing"), F.lit(False)) & ~_taken()
     copies = (F.col("_sure") + (_taken() | closing).cast("long")).alias("copies")
-    return (d.select(*[c for c in docs.columns if c not in ADDED], F.col("_size").alias("size"), "source_size", "target", copies)
-            .withColumn("taken", F.col("copies") * F.col("size")))
+    dealt = d.select(*names.values(), F.col("_size").alias("size"), "source_size", "target", copies)
+    return named_back(dealt.withColumn("taken", F.col("copies") * F.col("size")), names, ADDED, ADDED)

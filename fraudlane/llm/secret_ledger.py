@@ -23,7 +23,7 @@ from dataclasses import astuple, dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, named_back, set_apart
 
 BLOBS = "digest binary, rules string"
 FINDINGS = "digest binary, rules string, kind string, start long, end long"
@@ -85,10 +85,12 @@ def scan_secrets(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RUL
     """``versions`` without its text, with the digest of each row's blob and its spans, sorted by
     start and then by the rules' order. The ledger at ``ledger`` is brought up to date."""
     spark, version = versions.sparkSession, rule_version(rules)
-    keep = [c for c in versions.columns if c not in (text_col, "digest", "spans")]
+    left_out = (text_col, "digest", "spans")
+    versions, names = set_apart(versions)
+    text_col, names = names[text_col], {c: given for c, given in names.items() if c not in left_out}
     text = F.coalesce(F.col(text_col), F.lit(""))
     digest = F.unhex(F.sha2(text, 256)).alias("digest")
-    paths = materialise(versions.select(*keep, digest), "blob-paths")
+    paths = materialise(versions.select(*names.values(), digest), "blob-paths")
     seen = _read(spark, f"{ledger}/blobs", BLOBS, version).select("digest")
     fresh = versions.select(digest, text.alias("text")).join(seen, "digest", "left_anti").dropDuplicates(["digest"])
     (find_spans(fresh, rules).select("digest", F.lit(version).alias("rules"), "kind", "start", "end")
@@ -100,7 +102,8 @@ def scan_secrets(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RUL
     spans = (_read(spark, f"{ledger}/findings", FINDINGS, version)
              .groupBy(F.col("digest").alias("_digest")).agg(F.sort_array(F.collect_list(F.struct("start", rank.alias("rank"), "end", "kind"))).alias("spans")))
     joined = paths.join(spans, F.col("digest") == F.col("_digest"), "left")
-    return joined.select(*keep, "digest", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
+    found = joined.select(*names.values(), "digest", F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
+    return named_back(found, names, left_out, ("digest", "spans"))
 
 
 def span_text(spans):

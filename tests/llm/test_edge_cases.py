@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from fraudlane.llm.common import shared_folder
 from fraudlane.llm.chat_tree import prefix_tree, read_back
-from fraudlane.llm.decontaminate import contamination
+from fraudlane.llm.decontaminate import clean_documents, contamination
 from fraudlane.llm.divergence import quality
 from fraudlane.llm.hash_ring import ring_shards
 from fraudlane.llm.licence_scan import scan_licences
@@ -72,6 +72,26 @@ def test_every_row_has_a_result_and_empty_tables_stay_empty(spark, docs, none, n
     assert empty.columns == op(docs).columns
 
 
+#: Names that the operators, or their helpers, use for columns of their own.
+INNER = ("doc doc_hash _hash win k at part run start end fresh d2 h2 w len _source _rate _cs _size _words _w _q _bin _sure _drawn _expected _decisions "
+         "_closing digest spans _digest findings rules kind _position _arc _a _cell _ca _cc _before _place _rank _first _end _slot slot _title _said _found "
+         "_dir _rooted _own _names _nd _nr _near _s _f _path statement n words row n_tokens n_bytes tokenizer _text Size LICENCE _given_1 a.b").split()
+
+
+@pytest.mark.parametrize("name", ["op2", "op2-clean", "op3", "op4", "op5", "op6", "op8-keep", "op9", "op10"])
+def test_columns_named_like_inner_ones_come_back(spark, name):
+    given = spark.createDataFrame([(k, t, f"s{k % 2}", "en") for k, t in enumerate(TEXTS)], "doc_id long, text string, source string, lang string")
+    given = given.select("*", *[F.concat(F.lit(c), "doc_id").alias(c) for c in INNER])
+    op = {**operators(spark), "op2-clean": lambda d: clean_documents(d, bench(spark))}[name]
+    got = op(given)
+    made = {"op2": "n_words n_hit n_items item_ids contaminated", "op3": "size source_size target copies taken", "op4": "size text_crc32 shard slot",
+            "op6": "digest spans", "op9": "n_bytes n_tokens", "op10": "own_licence own_score licence inherited_from own_licences licences"}.get(name, "").split()
+    back = [c for c in INNER if c.lower() not in made and c in got.columns]
+    assert set(INNER) - set(back) <= {c for c in INNER if c.lower() in made}
+    rows_ = got.select("doc_id", *[F.col(f"`{c}`") for c in back]).collect()
+    assert rows_ and all(r[c] == f"{c}{r.doc_id}" for r in rows_ for c in back)
+
+
 def test_sizes_and_counts_of_odd_texts(spark, docs):
     counts = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts(docs.where("doc_id < 6"), shared_folder(spark, "t"), tokenizer_json()).collect()}
     assert counts[0] == counts[1] == (0, 0) and counts[5][0] == len(TEXTS[5].encode())

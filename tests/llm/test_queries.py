@@ -10,6 +10,7 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import ROOT, SF0001
 
@@ -119,6 +120,26 @@ def test_ring_moves_little_when_a_shard_joins(spark):
     assert sum(a[k] != b[k] for k in a) < len(a) / 2
 
 
+@pytest.mark.parametrize("slack, cell_bits", [(0.0, 16), (0.0, 3), (0.3, 16)])
+def test_ring_against_rows_walked_one_by_one(spark, slack, cell_bits):
+    from fraudlane.llm.hash_ring import quotas, ring, ring_position, ring_shards
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").select("doc_id", "text")
+    shards, vnodes = 5, 6
+    places, quota = ring(shards, vnodes, 1), quotas(docs.count(), shards, slack)
+    arcs = [[] for _ in places]
+    for at, doc_id in sorted((r.p, r.doc_id) for r in docs.select("doc_id", ring_position("doc_id", F.coalesce("text", F.lit(""))).alias("p")).collect()):
+        arcs[next((k for k, (p, _) in enumerate(places) if p >= at), 0)].append(doc_id)
+    held = [[] for _ in range(shards)]
+    for step in range(len(places)):
+        for k in range(len(places)):
+            shard = places[(k + step) % len(places)][1]
+            while arcs[k] and len(held[shard]) < quota[shard]:
+                held[shard].append(arcs[k].pop(0))
+    want = {doc_id: (s, slot) for s, ids in enumerate(held) for slot, doc_id in enumerate(ids)}
+    got = {r.doc_id: (r.shard, r.slot) for r in ring_shards(docs, shards, vnodes, slack, cell_bits=cell_bits).collect()}
+    assert got == want
+
+
 def _words(text):
     return re.findall(BLANK, text)
 
