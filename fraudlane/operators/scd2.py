@@ -86,10 +86,13 @@ def scd2_apply(hist: DataFrame, stage: DataFrame, keys: DataFrame | None, spec:
 
 
 def scd2_step(open_versions: DataFrame, stage: DataFrame, keys: DataFrame | None, spec: DimSpec,
-              load_ts, deleted_from=None) -> DataFrame:
+              load_ts, deleted_from=None, repeat: str = "true") -> DataFrame:
     """The part of the history a load touches, from the open versions alone: the versions
     it closes (with their new end) and all open versions afterwards. The closed history is
-    not needed, so a daily load reads and writes only about one row per key."""
+    not needed, so a daily load reads only about one row per key.
+
+    ``repeat`` is a SQL condition on ``_key``: open versions that the load leaves as they are come out only where it
+    holds. With ``"false"`` the result is the load's change alone."""
     cols = list(spec.columns)
     load_text = str(deleted_from if deleted_from is not None else load_ts)
     # one row per key on either side, inside the exchanges that the joins need anyway
@@ -144,6 +147,9 @@ def scd2_step(open_versions: DataFrame, stage: DataFrame, keys: DataFrame | None
                   [version("h", "h.effective_from", before_load, "h.deleted_flg"),
                    version("h", load_sql, end, deleted)],
                   [version("h", "h.effective_from", "h.effective_to", "h.deleted_flg")])
+    if repeat != "true":
+        same = f"size(_same_key) <= 1 AND NOT ({gone} AND h.deleted_flg = {live}) AND NOT ({repeat})"
+        kept = f"filter({kept}, v -> NOT coalesce({same}, false))"
     # further open versions of the key, left by a load that repeated it
     folded = version("o", "o.effective_from", "h.effective_from - INTERVAL 1 DAY", "o.deleted_flg")
     others = f"transform(filter(coalesce(_same_key, array()), o -> NOT (o <=> h)), o -> {folded})"

@@ -9,10 +9,13 @@ the load (history, facts, marks) and after the report (K7). A run reads the stat
 loads before it, never its own output. Stages and key snapshots are written first, and all steps
 of the load read these copies, so a source that moves on meanwhile can't outrun its mark.
 
-Dimensions are stored as ``dim_<name>/load_id=N/state=open|closed``: each load writes the
-versions it closed and the open versions after it. A load therefore reads and rewrites
-about one row per key (the open snapshot), never the closed history; the full history is
-the union of the published ``closed`` parts and the latest ``open`` part.
+Dimensions are stored as ``dim_<name>/load_id=N/state=open|closed/bucket=B``: each load writes the versions it closed
+and the open versions it made, not those it left as they were. The open version of a key is the one of the latest load
+that wrote one: a key once seen always has one, as a deletion opens a version too. So that a reader doesn't go through all loads, each
+key-hash bucket has a base: the load that last wrote all of the bucket's open versions. Once the versions written since are
+more than ``COMPACT_RATIO`` of those in the base, the next load writes the bucket whole and becomes its base. A table of
+the buckets (base, rows in it, rows since) is written by each load; what a reader sees is that of the
+latest published load, so a load that stops before it is published changes nothing.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
@@ -40,6 +43,9 @@ from ..sources.files import archive_files, stage_blacklist, stage_terminals
 #: CAUGHT_UP marks a load without a report of its own whose facts a later load's report has covered.
 LOAD, REPORTED, CAUGHT_UP = "load", "report", "caught_up"
 ID_FILTERS = "ids_transactions"
+#: Key-hash buckets of a dimension, and the rows written since a bucket's base, as a share of the base, that have it written whole again.
+BUCKETS, COMPACT_RATIO = 8, 0.5
+BUCKET_DDL = "bucket int, base int, base_rows long, later_rows long"
 DROP_FILES = StructType([StructField("file", StringType()), StructField("archive_dir", StringType())])
 
 
@@ -123,23 +129,57 @@ class Warehouse:
         """The transactions of some published loads; no other load's folder is listed in the plan's scan."""
         return self._loads("fact_transactions", FACT_TRANSACTIONS, load_ids, "trans_day date").select(*FACT_TRANSACTIONS.names)
 
+    def _versions(self, dim: str, ids: list[int], state: str) -> DataFrame:
+        spec = DIMENSIONS[dim]
+        df = self._published_table(f"dim_{dim}", ddl(spec.history_schema(), "load_id int", "state string", "bucket int"))
+        return df.where(F.col("load_id").isin(ids) & (F.col("state") == state))
+
+    def buckets(self, dim: str, before: int | None = None) -> list:
+        """The dimension's buckets (bucket, base, base_rows, later_rows) after the latest published load: BUCKETS rows."""
+        ids = self.published(LOAD, before)
+        if not ids:
+            return []
+        table = self._published_table(f"dim_{dim}_buckets", f"{BUCKET_DDL}, load_id int")
+        return table.where(F.col("load_id") == ids[-1]).collect()
+
     def open_versions(self, dim: str, before: int | None = None) -> DataFrame:
+        """One version per key: that of the latest load since its bucket's base. Earlier folders aren't listed in the scan."""
         spec = DIMENSIONS[dim]
         ids = self.published(LOAD, before)
         if not ids:
             return empty_history(self.spark, spec)
-        df = self._published_table(f"dim_{dim}", ddl(spec.history_schema(), "load_id int", "state string"))
-        return df.where((F.col("load_id") == ids[-1]) & (F.col("state") == "open")).select(*spec.columns)
+        buckets = self.buckets(dim, before)
+        df = self._versions(dim, [i for i in ids if i >= min(b.base for b in buckets)], "open")
+        since = None
+        for base in sorted({b.base for b in buckets}):
+            held = F.col("bucket").isin([b.bucket for b in buckets if b.base == base]) & (F.col("load_id") >= base)
+            since = held if since is None else since | held
+        latest = F.rank().over(Window.partitionBy(spec.key).orderBy(F.col("load_id").desc()))  # rows of one load stay together
+        return df.where(since).withColumn("_latest", latest).where(F.col("_latest") == 1).select(*spec.columns)
 
     def history(self, dim: str, before: int | None = None) -> DataFrame:
         spec = DIMENSIONS[dim]
         ids = self.published(LOAD, before)
         if not ids:
             return empty_history(self.spark, spec)
-        df = self._published_table(f"dim_{dim}", ddl(spec.history_schema(), "load_id int", "state string"))
-        closed = df.where(F.col("load_id").isin(ids) & (F.col("state") == "closed"))
-        latest = df.where((F.col("load_id") == ids[-1]) & (F.col("state") == "open"))
-        return closed.select(*spec.columns).unionByName(latest.select(*spec.columns))
+        return self._versions(dim, ids, "closed").select(*spec.columns).unionByName(self.open_versions(dim, before))
+
+    def write_versions(self, dim: str, load_id: int, stage: DataFrame, keys: DataFrame, load_ts, deleted_from=None) -> None:
+        """K4: the versions that the load closes and opens, whole buckets where they are due, and the table of the buckets."""
+        spec, earlier = DIMENSIONS[dim], {b.bucket: b for b in self.buckets(dim, before=load_id)}
+        due = [k for k in range(BUCKETS) if k not in earlier or earlier[k].later_rows > COMPACT_RATIO * earlier[k].base_rows]
+        bucket = f"pmod(xxhash64(cast({{}} AS string)), {BUCKETS})"
+        repeat = f"{bucket.format('_key')} IN ({', '.join(map(str, due))})" if due else "false"
+        step = scd2_step(self.open_versions(dim, before=load_id), stage, keys, spec, load_ts, deleted_from, repeat)
+        rows = step.withColumn("state", F.when(is_open(), F.lit("open")).otherwise(F.lit("closed")))
+        rows = rows.withColumn("bucket", F.expr(bucket.format(spec.key)).cast("int"))
+        self.write(rows.hint("rebalance", F.col("state"), F.col("bucket")), f"dim_{dim}", load_id, ["state", "bucket"])
+
+        written = self.spark.read.schema(ddl(spec.history_schema(), "state string", "bucket int")).parquet(f"{self._path(f'dim_{dim}')}/load_id={load_id}")
+        n = {r.bucket: r.n for r in written.where("state = 'open'").groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
+        after = [(k, load_id, n.get(k, 0), 0) if k in due else (k, earlier[k].base, earlier[k].base_rows, earlier[k].later_rows + n.get(k, 0))
+                 for k in range(BUCKETS)]
+        self.write(self.spark.createDataFrame(after, BUCKET_DDL).coalesce(1), f"dim_{dim}_buckets", load_id)
 
     def meta(self, before: int | None = None) -> DataFrame:
         ids = self.published(LOAD, before)
@@ -166,7 +206,7 @@ class Warehouse:
     def write(self, df: DataFrame, table: str, load_id: int, partition_by=None) -> None:
         w = df.write.mode("overwrite")
         if partition_by:
-            w = w.partitionBy(partition_by)
+            w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
         w.parquet(f"{self._path(table)}/load_id={load_id}")
 
     def stage(self, df: DataFrame, table: str, load_id: int) -> DataFrame:
@@ -212,12 +252,8 @@ def _load_phase(wh: Warehouse, load_id: int, drop: DayDrop) -> None:
     blacklist = wh.stage(stage_blacklist(drop.blacklist), "stg_blacklist", load_id)
 
     # history: one pass per dimension over its open versions
-    for dim, spec in DIMENSIONS.items():
-        deleted_from = drop.business_date if dim == "terminals" else None
-        step = scd2_step(wh.open_versions(dim, before=load_id), stages[dim], keys[dim], spec,
-                         drop.load_ts, deleted_from)
-        state = F.when(is_open(), F.lit("open")).otherwise(F.lit("closed"))
-        wh.write(step.withColumn("state", state), f"dim_{dim}", load_id, partition_by="state")
+    for dim in DIMENSIONS:
+        wh.write_versions(dim, load_id, stages[dim], keys[dim], drop.load_ts, drop.business_date if dim == "terminals" else None)
 
     # insert-only facts: only loads that may hold a staged id are read. The transactions by day: gathered by day first, so that the files of a day follow its bytes
     # and not the tasks (AQE splits a crowded day again)
