@@ -2,14 +2,15 @@
 publish the load, build and publish the report.
 
 Storage is plain Parquet under one warehouse root on shared storage. Every table is
-partitioned by ``load_id`` and each run writes only its own ``load_id=N`` folders
-(overwrite), so a failed run is simply run again. Readers see only published loads: a
-small ``published`` table lists ``(load_id, phase)`` and is appended to in two steps, after
-the load (history, facts, marks) and after the report (K7). A run reads the state of the
+partitioned by ``load_id`` and ``run``, and each run of a load writes only its own ``load_id=N/run=K`` folders, so
+a failed run is simply run again. Readers see only the runs that the commit log names (``commits.py``): it is
+written in two steps, after the load (history, facts, marks) and after the report (K7). Of two writers of one
+load, or of two loads that started from the same state, one commits and the other gets an error; what it
+has written lies in folders of its own that nobody reads. A run reads the state of the
 loads before it, never its own output. Stages and key snapshots are written first, and all steps
 of the load read these copies, so a source that moves on meanwhile can't outrun its mark.
 
-Dimensions are stored as ``dim_<name>/load_id=N/state=open|closed/bucket=B``: each load writes the versions it closed
+Dimensions are stored as ``dim_<name>/load_id=N/run=K/state=open|closed/bucket=B``: each load writes the versions it closed
 and the open versions it made, not those it left as they were. The open version of a key is the one of the latest load
 that wrote one: a key once seen always has one, as a deletion opens a version too. So that a reader doesn't go through all loads, each
 key-hash bucket has a base: the load that last wrote all of the bucket's open versions. Once the versions written since are
@@ -22,8 +23,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
@@ -39,6 +41,7 @@ from ..sources.extracts import incremental_extract, key_snapshot
 from ..operators.lags import seconds_of
 from ..operators.rules import CITY_HOP, PROBE
 from ..sources.files import archive_files, stage_blacklist, stage_terminals
+from .commits import CommitLog
 
 #: CAUGHT_UP marks a load without a report of its own whose facts a later load's report has covered.
 LOAD, REPORTED, CAUGHT_UP = "load", "report", "caught_up"
@@ -61,7 +64,9 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        self._published = None  # (load_id, phase) rows, read once and refreshed on publish
+        self.log = CommitLog(spark, f"{self.root}/published")
+        self.run, self._seen = 1, None  # this writer's run of its load, and the last commit it goes by
+        self._commits = None  # (load_id, phase) -> run, read once and refreshed on publish
 
     def _path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -85,17 +90,32 @@ class Warehouse:
 
     def published(self, phase: str, before: int | None = None) -> list[int]:
         """Load ids published for ``phase`` (a handful of metadata rows)."""
-        if self._published is None:
-            pub = self._read("published")
-            self._published = [] if pub is None else [(r["load_id"], r["phase"]) for r in
-                                                       pub.select("load_id", "phase").distinct().collect()]
-        return sorted({i for i, p in self._published if p == phase and (before is None or i < before)})
-
-    def _loads(self, table: str, schema, ids: list[int], partitions: str = "") -> DataFrame:
+        if self._commits is None:
+            self._commits = {(e["load_id"], e["phase"]): e["run"] for e in self.log.entries(self._seen)}
+        return sorted(i for i, p in self._commits if p == phase and (before is None or i < before))
+
+    def begin(self, load_id: int) -> None:
+        """Start a run of a load: from here on this writer goes by the commits made so far, and its folders are the run's."""
+        self._seen, self._commits = self.log.last(), None
+        self.run = self.log.claim(load_id)
+
+    def _folder(self, table: str, load_id: int) -> str:
+        return f"{self._path(table)}/load_id={load_id}/run={self.run}"
+
+    def _committed(self, ids: list[int], phase: str = LOAD) -> Column:
+        """The folders of the loads' committed runs: nearly always the first run of each."""
+        self.published(phase)
+        by_run = {}
+        for i in ids:
+            by_run.setdefault(self._commits[i, phase], []).append(i)
+        held = [(F.col("run") == run) & F.col("load_id").isin(loads) for run, loads in sorted(by_run.items())]
+        return F.col("load_id").isin(ids) & reduce(lambda a, b: a | b, held)
+
+    def _loads(self, table: str, schema, ids: list[int], partitions: str = "", phase: str = LOAD) -> DataFrame:
         if not ids:
             return self.spark.createDataFrame([], schema)
-        df = self._published_table(table, ddl(schema, "load_id int", partitions))
-        return df.where(F.col("load_id").isin(ids))
+        df = self._published_table(table, ddl(schema, "load_id int", "run int", partitions))
+        return df.where(self._committed(ids, phase))
 
     def fact(self, name: str, before: int | None = None, since_day=None) -> DataFrame:
         """A fact; transactions lie in folders by day, and ``since_day`` reads only those from that day on."""
@@ -108,16 +128,16 @@ class Warehouse:
 
     def write_id_filter(self, load_id: int) -> None:
         """The filter of the transaction ids that a load has written, beside its facts."""
-        written = self.spark.read.schema(FACT_TRANSACTIONS).parquet(f"{self._path('fact_transactions')}/load_id={load_id}")
+        written = self.spark.read.schema(FACT_TRANSACTIONS).parquet(self._folder("fact_transactions", load_id))
         self.write(build_filter(written, "trans_id"), ID_FILTERS, load_id)
 
     def loads_that_may_hold(self, ids: DataFrame, key: str, load_id: int) -> list[int]:
         """The loads before ``load_id`` whose transactions may hold one of the ids: those whose filter lets
         one pass, and those without a filter. Load ids and segment numbers reach the driver."""
         before = self.published(LOAD, load_id)
-        if not before or self._read(ID_FILTERS, f"{FILTER_DDL}, load_id int") is None:
+        if not before or self._read(ID_FILTERS, f"{FILTER_DDL}, load_id int, run int") is None:
             return before
-        filters = self._published_table(ID_FILTERS, f"{FILTER_DDL}, load_id int").where(F.col("load_id").isin(before))
+        filters = self._published_table(ID_FILTERS, f"{FILTER_DDL}, load_id int, run int").where(self._committed(before)).drop("run")
         known = filters.select("load_id", "segments").distinct().collect()
         if not known:
             return before
@@ -131,16 +151,16 @@ class Warehouse:
 
     def _versions(self, dim: str, ids: list[int], state: str) -> DataFrame:
         spec = DIMENSIONS[dim]
-        df = self._published_table(f"dim_{dim}", ddl(spec.history_schema(), "load_id int", "state string", "bucket int"))
-        return df.where(F.col("load_id").isin(ids) & (F.col("state") == state))
+        df = self._published_table(f"dim_{dim}", ddl(spec.history_schema(), "load_id int", "run int", "state string", "bucket int"))
+        return df.where(self._committed(ids) & (F.col("state") == state))
 
     def buckets(self, dim: str, before: int | None = None) -> list:
         """The dimension's buckets (bucket, base, base_rows, later_rows) after the latest published load: BUCKETS rows."""
         ids = self.published(LOAD, before)
         if not ids:
             return []
-        table = self._published_table(f"dim_{dim}_buckets", f"{BUCKET_DDL}, load_id int")
-        return table.where(F.col("load_id") == ids[-1]).collect()
+        table = self._published_table(f"dim_{dim}_buckets", f"{BUCKET_DDL}, load_id int, run int")
+        return table.where(self._committed(ids[-1:])).collect()
 
     def open_versions(self, dim: str, before: int | None = None) -> DataFrame:
         """One version per key: that of the latest load since its bucket's base. Earlier folders aren't listed in the scan."""
@@ -175,7 +195,7 @@ class Warehouse:
         rows = rows.withColumn("bucket", F.expr(bucket.format(spec.key)).cast("int"))
         self.write(rows.hint("rebalance", F.col("state"), F.col("bucket")), f"dim_{dim}", load_id, ["state", "bucket"])
 
-        written = self.spark.read.schema(ddl(spec.history_schema(), "state string", "bucket int")).parquet(f"{self._path(f'dim_{dim}')}/load_id={load_id}")
+        written = self.spark.read.schema(ddl(spec.history_schema(), "state string", "bucket int")).parquet(self._folder(f"dim_{dim}", load_id))
         n = {r.bucket: r.n for r in written.where("state = 'open'").groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).collect()}
         after = [(k, load_id, n.get(k, 0), 0) if k in due else (k, earlier[k].base, earlier[k].base_rows, earlier[k].later_rows + n.get(k, 0))
                  for k in range(BUCKETS)]
@@ -186,7 +206,7 @@ class Warehouse:
         return self._loads("meta", META, ids[-1:]).select(*META.names)
 
     def report(self, before: int | None = None) -> DataFrame:
-        return self._loads("rep_fraud", REPORT, self.published(REPORTED, before)).select(*REPORT.names)
+        return self._loads("rep_fraud", REPORT, self.published(REPORTED, before), phase=REPORTED).select(*REPORT.names)
 
     def unreported(self, before: int) -> list[int]:
         """Loads before ``before`` that are published but that no report covers yet."""
@@ -199,7 +219,7 @@ class Warehouse:
 
     def drop_files(self, ids: list[int]) -> list[tuple[str, str]]:
         """(file, archive folder) of the drops of some loads: a few names each."""
-        if not ids or self._read("drop_files", ddl(DROP_FILES, "load_id int")) is None:
+        if not ids or self._read("drop_files", ddl(DROP_FILES, "load_id int", "run int")) is None:
             return []
         return [(r.file, r.archive_dir) for r in self._loads("drop_files", DROP_FILES, ids).select("file", "archive_dir").collect()]
 
@@ -207,18 +227,22 @@ class Warehouse:
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-        w.parquet(f"{self._path(table)}/load_id={load_id}")
+        w.parquet(self._folder(table, load_id))
 
     def stage(self, df: DataFrame, table: str, load_id: int) -> DataFrame:
         """K1/K2: ``df`` written as this load's staging table and read back, so that whatever is loaded and
         whatever the marks see are the same rows, and the source is read once."""
         self.write(df, table, load_id)
-        return self.spark.read.schema(df.schema).parquet(f"{self._path(table)}/load_id={load_id}")
+        return self.spark.read.schema(df.schema).parquet(self._folder(table, load_id))
 
-    def publish(self, load_id: int, phase: str) -> None:
-        row = self.spark.createDataFrame([(load_id, phase)], "load_id int, phase string")
-        row.coalesce(1).write.mode("append").parquet(self._path("published"))
-        self._published = None
+    def publish(self, load_id: int, phase: str, of: int | None = None) -> None:
+        """Commit a phase of a load, as the next after the commits that this writer goes by. Fenced or Conflict if another
+        writer has started the load (or, for a caught-up one, the load ``of`` that covers it) or committed since."""
+        begun = self._seen is not None
+        if begun:
+            self.log.check(load_id if of is None else of, self.run)
+        number = self.log.append({"load_id": load_id, "phase": phase, "run": self.run}, self._seen if begun else self.log.last())
+        self._seen, self._commits = number if begun else None, None
 
 
 @dataclass
@@ -286,12 +310,14 @@ def _first_day(report_since, probe_window, city_window):
 def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_window=None,
             report_since=None, versions: str = "all") -> None:
     """Steps 0-9 of the daily run for ``load_id``. A published load is never loaded again: a re-run goes
-    on with what is missing (the report, or nothing), and an id below a published one is refused.
+    on with what is missing (the report, or nothing), and an id below a published one is refused. If another writer starts the
+    same load or commits any other one meanwhile, this run ends with ``Fenced`` or ``Conflict`` and changes nothing.
 
     ``report_since`` limits the report to transactions from then on (facts are read from one
     rule horizon earlier), but reaches back to the first transaction of any earlier load whose own report failed: this report then
     covers that load too, and its drop files are archived with this one's. By default the whole history is re-reported each day (Q4).
     ``versions`` is passed to the report ('all', 'current' or 'as_of')."""
+    wh.begin(load_id)
     latest = max(wh.published(LOAD), default=None)
     if latest is not None and load_id < latest:
         raise ValueError(f"load {load_id} is older than the published load {latest}")
@@ -323,7 +349,7 @@ def run_day(wh: Warehouse, load_id: int, drop: DayDrop, probe_window=None, city_
     wh.write(rows, "rep_fraud", load_id, partition_by="report_dt")
     wh.publish(load_id, REPORTED)
     for skipped in missed:
-        wh.publish(skipped, CAUGHT_UP)
+        wh.publish(skipped, CAUGHT_UP, of=load_id)
     archive_files(wh.spark, drop.files, drop.archive_dir)
     for file, archive_dir in wh.drop_files(missed):
         archive_files(wh.spark, [file], archive_dir)

@@ -11,6 +11,7 @@ from conftest import SF0001
 from fraudlane.functions.parsing import business_date_from_name, parse_amount, parse_trans_date
 from fraudlane.operators.facts import new_blacklist, new_transactions
 from fraudlane.operators.watermark import advance_mark, empty_meta, read_mark, seed_marks
+from fraudlane.plans.commits import Conflict, Fenced
 from fraudlane.plans.daily import DayDrop, Warehouse, run_day
 from fraudlane.plans.replay import replay
 from fraudlane.plans.stream_queries import write_drops
@@ -238,6 +239,28 @@ def test_a_report_that_failed_is_caught_up(spark, scratch, monkeypatch):
     assert len(parts) == len(folders) > 3
 
 
+@pytest.mark.parametrize("other, error", [(1, Fenced), (2, Conflict)])
+def test_of_two_writers_one_commits(spark, scratch, monkeypatch, other, error):
+    """While a writer loads load 1, another one loads and publishes the same load, or a later one."""
+    from fraudlane.plans import daily
+    real, root, week = daily.new_blacklist, f"{scratch}/wh", timedelta(days=7)
+
+    def meanwhile(*args):
+        monkeypatch.setattr(daily, "new_blacklist", real)
+        run_day(Warehouse(spark, root), other, _drop(spark, 1), probe_window=week, versions="current")
+        return real(*args)
+
+    monkeypatch.setattr(daily, "new_blacklist", meanwhile)
+    with pytest.raises(error):
+        run_day(Warehouse(spark, root), 1, _drop(spark, 1), probe_window=week, versions="current")
+    wh = Warehouse(spark, root)
+    assert wh.published("load") == wh.published("report") == [other]
+    assert wh.fact("fact_transactions").count() == transactions(spark, SF0001).count()  # the loser's folders aren't read
+    want = replay(spark, SF0001, "cards", (1,))
+    assert wh.history("cards").exceptAll(want).count() == 0 and want.exceptAll(wh.history("cards")).count() == 0
+    assert wh.report().count() > 0
+
+
 def test_files_of_one_name_are_archived_apart(spark, scratch):
     from fraudlane.sources.files import archive_files
     for folder in ("a", "b"):
