@@ -5,8 +5,8 @@ the same log and comes later gets a Conflict, as what it read is out of date. A
 load is started: a writer whose load has been started again since is fenced off (Fenced) and may not commit.
 
 Both need a file system that creates a file only where there is none: HDFS does so atomically, an object store needs conditional
-writes, and a local folder is for tests. A writer that dies while it writes a line leaves a file without one; it counts as a
-number without a commit.
+writes, and a local folder is for tests. A writer that dies while it writes a line leaves a file without a whole one; it
+counts as a number without a commit.
 """
 
 from __future__ import annotations
@@ -61,7 +61,7 @@ class CommitLog:
         """The commits in order, up to a number."""
         if not self.last():
             return []
-        lines = self.spark.read.text(self.path, pathGlobFilter="*.json").where("value <> ''").collect()  # one short line a commit
+        lines = self.spark.read.text(self.path, pathGlobFilter="*.json").where("value LIKE '{%}'").collect()  # one short line a commit
         found = sorted((json.loads(r.value) for r in lines), key=lambda e: e["number"])
         return [e for e in found if upto is None or e["number"] <= upto]
 

@@ -30,6 +30,7 @@ def test_a_later_claim_fences_off_the_earlier_writer(spark, scratch):
 def test_unfinished_files_are_not_entries(spark, scratch):
     log = CommitLog(spark, f"{scratch}/log")
     log.append({"load": 1}, expected=0)
-    with open(f"{scratch}/log/.2.json.left", "w") as f:
-        f.write("{")
-    assert log.entries() == [{"load": 1, "number": 1}] and log.append({"load": 2}, expected=1) == 2
+    with open(f"{scratch}/log/0000000002.json", "w") as f:
+        f.write('{"lo')  # its writer has died
+    assert log.entries() == [{"load": 1, "number": 1}] and log.append({"load": 2}, expected=log.last()) == 3
+    assert [e["number"] for e in log.entries()] == [1, 3]
