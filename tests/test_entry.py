@@ -35,7 +35,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("key", KEYS)
+@pytest.mark.parametrize("key", [k for k in KEYS if k in entry.oracle_sql()])
 def test_oracle_parity(spark, duck, key):
     sql = entry.oracle_sql()[key]
     df = entry.queries()[key](spark, SF0001)
