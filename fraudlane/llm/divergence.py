@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, named_back, set_apart
 
 #: Function words of the reference languages.
 COMMON_WORDS = {
@@ -302,6 +302,7 @@ def quality(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lan
     names = [f.split()[0] for f in FACTS.split(", ")]
     kept = docs.drop(*names)
     at, of = kept.columns.index(text_col), kept.columns.index(lang_col)
+    kept, given = set_apart(kept)  # a name with a dot can't enter an Arrow stage
     held = list(refs.values())
     from pyspark.sql.types import StructType
 
@@ -314,4 +315,4 @@ def quality(docs: DataFrame, rules: Rules = Rules(), text_col: str = "text", lan
             rows = list(zip(*[judge(t, held if lang is None or lang in refs else (), rules) for t, lang in texts])) or [[] for _ in names]
             yield pa.RecordBatch.from_arrays([*b.columns, *[pa.array(v, t) for v, t in zip(rows, types)]], names=[*b.schema.names, *names])
 
-    return kept.mapInArrow(run, schema)
+    return named_back(kept.mapInArrow(run, schema), given, (), tuple(names))
