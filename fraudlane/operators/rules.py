@@ -118,7 +118,8 @@ def spread_flags(rows: DataFrame, flagged: DataFrame, broadcast_ids: int = BROAD
     """``rows`` with ``any_hop`` and ``any_probe`` of their ids, false where ``flagged`` doesn't list the id.
 
     The ids are written and counted first. Few are sent to all tasks. Of many, a Bloom filter is: rows it rules out have no flag
-    and stay where they are, and only the others are exchanged by id, those of one id over several tasks."""
+    and stay where they are, and only the others are exchanged by id, those of one id over several tasks. That join always
+    shuffles: Spark takes the salted ids for as small as the file of the ids, and would send all of them to the driver and every executor."""
     counted = Observation()
     flagged = written(flagged.observe(counted, F.count(F.lit(1)).alias("n")), "flagged-ids")
     n = counted.get["n"]
@@ -129,7 +130,7 @@ def spread_flags(rows: DataFrame, flagged: DataFrame, broadcast_ids: int = BROAD
     hit = may_hold(filter_value(flagged, "trans_id", bits), "trans_id", bits)
     salt = F.pmod(F.xxhash64("trans_date", "terminal", "amt", "oper_type"), F.lit(ID_SALTS)).cast("int")
     salted = flagged.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ID_SALTS - 1))))
-    met = rows.where(hit).withColumn("_salt", salt).join(salted, ["trans_id", "_salt"], "left").drop("_salt").withColumns(unflagged)
+    met = rows.where(hit).withColumn("_salt", salt).join(salted.hint("merge"), ["trans_id", "_salt"], "left").drop("_salt").withColumns(unflagged)
     rest = rows.where(~hit).withColumns({c: F.lit(False) for c in unflagged})
     return met.unionByName(rest)
 

@@ -126,3 +126,11 @@ def test_slices_of_an_empty_table_and_of_one_crowded_second(spark):
     order = [F.col(c).asc_nulls_last() for c in ("trans_date", "trans_id")]
     got = exact_lags(same, ["client_id"], order, {"p": ("amt", 1)}, "trans_date", slice_rows=10).orderBy("trans_id").collect()
     assert [r.p for r in got] == [None, *range(299)]  # one second is one slice, and right
+
+
+def test_many_flagged_ids_are_not_broadcast(spark, enriched):
+    """Beyond the bound the ids' join shuffles, though their file is far below Spark's own threshold."""
+    flagged = enriched.select("trans_id").distinct().select("trans_id", F.lit(True).alias("any_hop"), F.lit(False).alias("any_probe"))
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+    text = plan(spread_flags(enriched, flagged, broadcast_ids=0))
+    assert "SortMergeJoin [trans_id" in text and "BroadcastHashJoin [trans_id" not in text
