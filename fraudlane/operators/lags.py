@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 from ..session import written
 
 DAY, HOUR = 86400, 3600
-#: A client with no more rows than this is never cut.
-LEAST_SLICE = 1_000_000
+#: A client with no more rows than this is never cut: a window task sorts a slice and buffers it once more.
+LEAST_SLICE = 250_000
+#: Rows of a window task where their number is known: AQE goes by packed bytes, of which rows with lags are many times more.
+TASK_ROWS = 250_000
 LAST_SLICE = 2 ** 62
 
 
@@ -75,6 +77,14 @@ def home_rows(df: DataFrame) -> DataFrame:
     return df.where(F.col("_home")).drop("_home", "_slice")
 
 
+def dealt(df: DataFrame, keys, rows: int | None) -> DataFrame:
+    """``df`` partitioned by ``keys`` into tasks of about ``TASK_ROWS`` rows, no fewer than the session's partitions; as it is if
+    it has no more than one task's rows or nobody has counted them."""
+    if rows is None or rows <= TASK_ROWS:
+        return df
+    return df.repartition(max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // TASK_ROWS)), *keys)
+
+
 def _same(left: DataFrame, right: DataFrame, columns) -> Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in columns])
 
@@ -126,13 +136,15 @@ def with_slices(df: DataFrame, client_cols, time_col: str, slices: DataFrame) ->
 
 
 def exact_lags(df: DataFrame, partition_cols, order_cols, specs: dict, time_col: str,
-               width=None, slices: DataFrame | None = None, client_cols=("client_id",), slice_rows: int | None = None) -> DataFrame:
+               width=None, slices: DataFrame | None = None, client_cols=("client_id",), slice_rows: int | None = None,
+               rows: int | None = None) -> DataFrame:
     """Add ``lag(col, k)`` columns (``specs = {out: (col, k)}``) over
     ``partition_cols`` ordered by ``order_cols`` (which must start with ``time_col``).
 
     Equal to ``F.lag(col, k).over(Window.partitionBy(*partition_cols).orderBy(*order_cols))``
     but a hot partition is spread over its slices: those of ``slices`` (a table of :func:`measured_slices` by ``client_cols``,
-    which are among the partition columns), or of a fixed ``width``; by default they are measured here.
+    which are among the partition columns), or of a fixed ``width``; by default they are measured here. With the number of
+    ``rows`` the slices are dealt to tasks of bounded size.
     """
     if width is None and slices is None:
         slices = measured_slices(df, client_cols, time_col, slice_rows)
@@ -148,6 +160,7 @@ def exact_lags(df: DataFrame, partition_cols, order_cols, specs: dict, time_col:
         # rows without a time sort after every dated row: give them a slice after all real ones
         # (a null slice could not join its carry back)
         x = x.withColumn("_slice", F.coalesce(F.floor(epoch_seconds(time_col) / F.lit(seconds_of(width))), F.lit(LAST_SLICE)))
+    x = dealt(x, ["_pkey", "_slice"], rows)
     part = Window.partitionBy("_pkey", "_slice")
     w = part.orderBy(*order_cols)
     # a slice's last kmax rows are those with no row kmax further on: no count, which would buffer the slice

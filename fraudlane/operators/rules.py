@@ -21,7 +21,7 @@ from ..functions.bloom import bits_for, filter_value, may_hold
 from ..schemas import CITY_HOP_WINDOW, OPER_REJECT, OPER_SUCCESS, PROBE_OPER_TYPES, PROBE_WINDOW
 from .enrich import VERSION_ORDER
 from ..session import written
-from .lags import exact_lags, home_rows, measured_slices, seconds_of, split_with_horizon
+from .lags import TASK_ROWS, dealt, exact_lags, home_rows, measured_slices, seconds_of, split_with_horizon
 
 CITY_HOP = CITY_HOP_WINDOW
 PROBE = PROBE_WINDOW
@@ -75,7 +75,7 @@ def with_rule_lags(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE
     """Add the lag columns rules 3 and 4 read.
 
     By default hot clients are cut into measured slices and the lags are exact; without a hot client both windows are plain
-    and share one shuffle by client. With ``slice_width`` all clients are cut into slices of that width, and values are exact wherever
+    and share one shuffle by client. The number of ``rows``, if given, bounds the rows of a task. With ``slice_width`` all clients are cut into slices of that width, and values are exact wherever
     a rule can fire: a predecessor older than the rule's horizon may read as null, which fails the rule just as the
     real (too old) value would.
     """
@@ -83,9 +83,9 @@ def with_rule_lags(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE
         slices = measured_slices(enriched, ["client_id"], "trans_date", slice_rows, rows)
         if slices is not None:
             order = window_order(enriched)
-            x = exact_lags(enriched, ["client_id"], order, CLIENT_LAGS, "trans_date", slices=slices)
-            return exact_lags(x, ["client_id", "card_num_dim", "oper_type"], order, CARD_LAGS, "trans_date", slices=slices)
-        return _lags_in(enriched, enriched, "")
+            x = exact_lags(enriched, ["client_id"], order, CLIENT_LAGS, "trans_date", slices=slices, rows=rows)
+            return exact_lags(x, ["client_id", "card_num_dim", "oper_type"], order, CARD_LAGS, "trans_date", slices=slices, rows=rows)
+        return _lags_in(dealt(enriched, ["client_id"], rows), enriched, "")
     horizon = max(seconds_of(city_window), seconds_of(probe_window))
     x = split_with_horizon(enriched, "trans_date", horizon, slice_width)
     return home_rows(_lags_in(x, enriched, ", _slice"))
@@ -130,7 +130,9 @@ def spread_flags(rows: DataFrame, flagged: DataFrame, broadcast_ids: int = BROAD
     hit = may_hold(filter_value(flagged, "trans_id", bits), "trans_id", bits)
     salt = F.pmod(F.xxhash64("trans_date", "terminal", "amt", "oper_type"), F.lit(ID_SALTS)).cast("int")
     salted = flagged.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ID_SALTS - 1))))
-    met = rows.where(hit).withColumn("_salt", salt).join(salted.hint("merge"), ["trans_id", "_salt"], "left").drop("_salt").withColumns(unflagged)
+    by_id, tasks = ["trans_id", "_salt"], max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n * ID_SALTS // (4 * TASK_ROWS)))
+    salted = salted.repartition(tasks, *by_id).hint("merge")  # narrow rows: four times as many in a task
+    met = rows.where(hit).withColumn("_salt", salt).repartition(tasks, *by_id).join(salted, by_id, "left").drop("_salt").withColumns(unflagged)
     rest = rows.where(~hit).withColumns({c: F.lit(False) for c in unflagged})
     return met.unionByName(rest)
 

@@ -1,6 +1,7 @@
 """Flags met by id without an exchange of whole rows, and slices measured from counts."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF0001
 from fraudlane.functions.bloom import bits_for, filter_value, may_hold
-from fraudlane.operators.lags import HOUR, exact_lags, measured_slices, with_slices
-from fraudlane.operators.rules import classify, spread_flags
+from fraudlane.operators.lags import HOUR, TASK_ROWS, exact_lags, measured_slices, with_slices
+from fraudlane.operators.rules import classify, spread_flags, with_rule_lags
 from fraudlane.plans.queries import _enriched, bank_tables, with_extra_versions
 
 WEEK = timedelta(days=7)
@@ -134,3 +135,12 @@ def test_many_flagged_ids_are_not_broadcast(spark, enriched):
     assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
     text = plan(spread_flags(enriched, flagged, broadcast_ids=0))
     assert "SortMergeJoin [trans_id" in text and "BroadcastHashJoin [trans_id" not in text
+
+
+def test_window_tasks_have_a_bounded_number_of_rows(spark, enriched):
+    """With the rows counted, the windows are dealt to tasks by that number, not to the few that AQE makes of their packed bytes."""
+    for slice_rows, keys in ((None, "client_id"), (5, "_pkey")):
+        text = plan(with_rule_lags(enriched, probe_window=WEEK, slice_rows=slice_rows, rows=100_000_000))
+        numbers = [int(n) for n in re.findall(rf"hashpartitioning\({keys}[^\n]*?, (\d+)\), REPARTITION_BY_NUM", text)]
+        assert numbers and set(numbers) == {-(-100_000_000 // TASK_ROWS)}, text[:3000]
+    assert "REPARTITION_BY_NUM" not in plan(with_rule_lags(enriched, probe_window=WEEK, rows=1000))
