@@ -42,7 +42,7 @@ from .components import connected
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: N-grams a task packs at once, and n-grams meant for one fragment; both bound a task's memory.
-PACK, FRAGMENT = 1 << 20, 1 << 21
+PACK, FRAGMENT = 1 << 19, 1 << 20
 #: Fragments of the order in which overlaps of pairs are counted.
 PARTS = 4
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -128,6 +128,7 @@ def _count_fragment(buckets: int):
         col = lambda name, kind: [np.frombuffer(x, dtype=kind) for x in t.column(name).to_pylist()]
         owner = np.concatenate([np.repeat(c, s) for c, s in zip(col("classes", np.int64), col("sizes", np.uint32))])
         tokens = np.concatenate(col("tokens", np.uint64))
+        pa.default_memory_pool().release_unused()  # what earlier fragments and stages of this worker have freed
         order = np.lexsort((owner, tokens))
         owner, tokens = owner[order], tokens[order]
         once = np.ones(len(tokens), dtype=bool)  # a class that several packs hold counts once
@@ -138,6 +139,7 @@ def _count_fragment(buckets: int):
         frequency = np.repeat(runs, runs).astype(np.uint32)
         order = np.lexsort((tokens, owner, owner.view(np.uint64) % np.uint64(buckets)))
         owner, tokens, frequency = owner[order], tokens[order], frequency[order]
+        del order, once, first, runs
         shared = frequency > 1
         bucket = owner.view(np.uint64) % np.uint64(buckets)
         rows = []

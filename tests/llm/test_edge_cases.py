@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -164,3 +165,29 @@ def test_conversations_with_odd_rows(spark):
     assert stream.count() == 8  # the first turn of 1 and 2 is one node
     empty = prefix_tree(talks.where("conv_id = 99"), rank_file())
     assert [t.count() for t in empty] == [0, 0, 0] and read_back(*empty, rank_file()).collect() == []
+
+
+def test_near_copies_link_across_packs_and_fragments():
+    """A pack and a fragment hold half a million and a million n-grams at most (twice that took 3,022 MB of an executor in the
+    pipeline); cut into many packs and fragments, the segments still count every n-gram and class."""
+    import pyarrow as pa
+
+    from fraudlane.llm import ngram_join
+
+    assert (ngram_join.PACK, ngram_join.FRAGMENT) == (1 << 19, 1 << 20)
+    shared = [f"w{k}" for k in range(400)]
+    texts = [" ".join(shared), " ".join([*shared, "x"]), " ".join(f"o{k}" for k in range(400))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["_text"])
+    kept, ngram_join.PACK = ngram_join.PACK, 100
+    try:
+        segments = pa.Table.from_batches(list(ngram_join._segments(4, 5)([batch])))
+    finally:
+        ngram_join.PACK = kept
+    found = {}
+    for f in set(segments["fragment"].to_pylist()):
+        counted = ngram_join._count_fragment(1)(segments.filter(pa.compute.equal(segments["fragment"], f)))
+        for classes, sizes, m in zip(*(counted[c].to_pylist() for c in ("classes", "sizes", "kept"))):
+            for c, n, k in zip(np.frombuffer(classes, np.int64), np.frombuffer(sizes, np.uint32), np.frombuffer(m, np.uint32)):
+                was = found.get(int(c), (0, 0))
+                found[int(c)] = (was[0] + int(n), was[1] + int(k))
+    assert sorted(found.values()) == [(396, 0), (396, 396), (397, 396)]
