@@ -14,6 +14,9 @@ first rows of a slice miss their predecessors.
   their values from the last ``k`` rows of the preceding slices, gathered per slice (at
   most ``k`` rows each) and joined back on the slice key, which keeps the big side's
   partitioning.
+* :func:`joint_lags` takes several windows of one client in one pass: the last rows of each slice are found first and are
+  put before the rows of the slices that follow, so that one shuffle by client and slice serves all windows, and no
+  window is computed twice or joined back.
 * :func:`split_with_horizon` is for consumers that only look back a bounded time and know a width that suits
   their data. Each row is also copied into the following slices of that width
   whose start lies within the horizon, so a row's predecessors inside the horizon always
@@ -100,17 +103,18 @@ def measured_slices(df: DataFrame, client_cols, time_col: str, slice_rows: int |
     client_cols = list(client_cols)
     if rows is not None and rows <= (LEAST_SLICE if slice_rows is None else slice_rows):
         return None
-    per_client = df.groupBy(*client_cols).agg(F.count(F.lit(1)).alias("_n"))
+    per_client = written(df.groupBy(*client_cols).agg(F.count(F.lit(1)).alias("_n")), "client-rows")
     total, most = per_client.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max("_n"), F.lit(0))).first()
     if slice_rows is None:
         slice_rows = max(LEAST_SLICE, total // (4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     if most <= slice_rows:
         return None
-    timed = df.select(*client_cols, epoch_seconds(time_col).alias("_second")).where("_second IS NOT NULL")
+    many = per_client.where(F.col("_n") > slice_rows).drop("_n")  # the hours of the others aren't counted
+    timed = df.join(many, _same(df, many, client_cols), "left_semi").select(*client_cols, epoch_seconds(time_col).alias("_second"))
+    timed = timed.where("_second IS NOT NULL")
     timed = timed.withColumn("_hour", F.floor(F.col("_second") / HOUR))
     hours = written(timed.groupBy(*client_cols, "_hour").agg(F.count(F.lit(1)).alias("_n")), "client-hours")
     hot = hours.groupBy(*client_cols).agg(F.sum("_n").alias("_all")).where(F.col("_all") > slice_rows).drop("_all")
-    hot = written(hot, "hot-clients")
     hours = hours.join(hot, _same(hours, hot, client_cols), "left_semi")
     crowded = hours.where(F.col("_n") > slice_rows).drop("_n")
     seconds = timed.join(crowded, _same(timed, crowded, [*client_cols, "_hour"]), "left_semi").groupBy(*client_cols, "_hour", "_second").agg(F.count(F.lit(1)).alias("_n"))
@@ -181,3 +185,44 @@ def exact_lags(df: DataFrame, partition_cols, order_cols, specs: dict, time_col:
     helpers = {"_pkey", "_slice", "_rn", "_last", "_carry"}
     keep = [c for c in x.columns if c not in specs and c not in helpers]
     return x.select(*keep, *fixed)
+
+
+def joint_lags(df: DataFrame, client_cols, windows, order: list[str], time_col: str, slices: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` with the lags of several windows over the slices of :func:`measured_slices`: ``windows`` lists (further partition
+    columns, ``specs`` as in :func:`exact_lags`), ``order`` the names of the order columns, which start with ``time_col``.
+
+    The last rows of each slice of a hot client are found on the finest partition, as those of a coarser one are among them, and the
+    last ``k`` before a slice are repeated in it for the window that needs them. The repeated rows go once the lags are
+    taken; a slice has at most ``k`` of them for each of a window's partitions in it."""
+    client_cols, own = list(client_cols), df.columns
+    hot = slices.select(*client_cols).distinct().withColumn("_hot", F.lit(True)).toDF(*[f"_hot_{c}" for c in client_cols], "_hot")
+    x = with_slices(df, client_cols, time_col, slices)
+    x = x.join(hot, reduce(lambda a, b: a & b, [x[c].eqNullSafe(hot[f"_hot_{c}"]) for c in client_cols]), "left")
+    x = x.select(*own, F.xxhash64(*client_cols).alias("_pkey"), F.when(F.col("_hot"), F.col("_slice")).otherwise(F.lit(0)).alias("_slice"),
+                 F.coalesce("_hot", F.lit(False)).alias("_hot"))
+    ascending = [F.col(c).asc_nulls_last() for c in order]
+    descending = [F.col(c).desc_nulls_first() for c in order]
+    further = list(dict.fromkeys(c for cols, _ in windows for c in cols))
+    deepest = max(k for _, specs in windows for _, k in specs.values())
+
+    def last_rows(of: DataFrame, cols, k: int) -> DataFrame:
+        w = Window.partitionBy("_pkey", *client_cols, "_slice", *cols).orderBy(*descending)
+        return of.withColumn("_back", F.row_number().over(w)).where(F.col("_back") <= k)
+
+    ends = written(last_rows(x.where("_hot").drop("_hot"), further, deepest).drop("_back"), "slice-ends")
+    x = x.select(*own, "_pkey", "_slice", F.lit(None).cast("int").alias("_for"))
+    for m, (cols, specs) in enumerate(windows):
+        k, part = max(k for _, k in specs.values()), ["_pkey", *client_cols, *cols]
+        tail = F.sort_array(F.collect_list(F.struct((-F.col("_back")).alias("_at"), *own))).alias("_tail")
+        tails = last_rows(ends, cols, k).groupBy(*[F.col(c).alias(f"_part_{c}") for c in part], "_slice").agg(tail)
+        before = Window.partitionBy(*[f"_part_{c}" for c in part]).orderBy("_slice").rowsBetween(-k, -1)
+        carry = tails.select(F.col("_part__pkey").alias("_pkey"), "_slice", F.flatten(F.collect_list("_tail").over(before)).alias("_carry"))
+        carry = carry.select("_pkey", "_slice", F.explode(F.slice("_carry", F.greatest(F.size("_carry") - (k - 1), F.lit(1)), k)).alias("_row"))
+        x = x.unionByName(carry.select(*[F.col("_row")[c].alias(c) for c in own], "_pkey", "_slice", F.lit(m).alias("_for")))
+    x = dealt(x, ["_pkey", "_slice"], rows)
+    lags = []
+    for m, (cols, specs) in enumerate(windows):
+        theirs = F.col("_for").isNull() | (F.col("_for") == m)
+        w = Window.partitionBy("_pkey", *client_cols, "_slice", *cols, F.coalesce(theirs, F.lit(False))).orderBy(*ascending)
+        lags += [F.lag(c, k).over(w).alias(out) for out, (c, k) in specs.items()]
+    return x.select("*", *lags).where("_for IS NULL").drop("_pkey", "_slice", "_for")

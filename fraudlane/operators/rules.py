@@ -21,14 +21,18 @@ from ..functions.bloom import bits_for, filter_value, may_hold
 from ..schemas import CITY_HOP_WINDOW, OPER_REJECT, OPER_SUCCESS, PROBE_OPER_TYPES, PROBE_WINDOW
 from .enrich import VERSION_ORDER
 from ..session import written
-from .lags import TASK_ROWS, dealt, exact_lags, home_rows, measured_slices, seconds_of, split_with_horizon
+from .lags import TASK_ROWS, dealt, home_rows, joint_lags, measured_slices, seconds_of, split_with_horizon
 
 CITY_HOP = CITY_HOP_WINDOW
 PROBE = PROBE_WINDOW
 #: Flagged ids that are sent to all tasks (some 30 MB); beyond that a filter of them is.
 BROADCAST_IDS = 500_000
-#: Tasks over which the rows of one flagged id are spread beyond that number.
+#: Tasks over which the rows of a crowded id are spread beyond that number.
 ID_SALTS = 16
+#: Hash buckets in which the rows of all ids are counted, and the rows that make all ids of a bucket crowded ones.
+ID_BUCKETS, CROWD_ROWS = 1 << 16, TASK_ROWS // 4
+#: With more flagged ids than this share of the rows no filter is built: most rows would pass it.
+FILTER_SHARE = 0.1
 CLIENT_LAGS = {"prev_time": ("trans_date", 1), "prev_city": ("terminal_city", 1)}
 CARD_LAGS = {f"{name}_back_{k}": (c, k) for k in (1, 2, 3) for name, c in (("time", "trans_date"), ("amt", "amt"), ("result", "oper_result"))}
 
@@ -82,9 +86,8 @@ def with_rule_lags(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE
     if slice_width is None:
         slices = measured_slices(enriched, ["client_id"], "trans_date", slice_rows, rows)
         if slices is not None:
-            order = window_order(enriched)
-            x = exact_lags(enriched, ["client_id"], order, CLIENT_LAGS, "trans_date", slices=slices, rows=rows)
-            return exact_lags(x, ["client_id", "card_num_dim", "oper_type"], order, CARD_LAGS, "trans_date", slices=slices, rows=rows)
+            windows = [((), CLIENT_LAGS), (("card_num_dim", "oper_type"), CARD_LAGS)]
+            return joint_lags(enriched, ["client_id"], windows, _order_columns(enriched), "trans_date", slices, rows)
         return _lags_in(dealt(enriched, ["client_id"], rows), enriched, "")
     horizon = max(seconds_of(city_window), seconds_of(probe_window))
     x = split_with_horizon(enriched, "trans_date", horizon, slice_width)
@@ -100,41 +103,68 @@ def _lags_in(x: DataFrame, enriched: DataFrame, slice_col: str) -> DataFrame:
                         *[f"lag({c}, {k}) {by_card} AS {out}" for out, (c, k) in CARD_LAGS.items()])
 
 
-def flagged_ids(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE, slice_width=None, slice_rows=None) -> DataFrame:
-    """(trans_id, any_hop, any_probe) of the ids that rule 3 or 4 flags on any of their rows. Rows without an id take part as
-    predecessors but are never flagged (``NULL IN (...)`` is never true). Only the columns the rules read are carried; they are
-    written once, as the slices are measured on them before the lags are taken."""
+def rule_columns(enriched: DataFrame) -> tuple[DataFrame, int]:
+    """The columns that rules 3 and 4 read, written once, and the number of rows."""
     needed = dict.fromkeys([*_order_columns(enriched), "client_id", "card_num_dim", "oper_type", "amt", "oper_result", "terminal_city"])
     counted = Observation()
     narrow = written(enriched.select(*needed).observe(counted, F.count(F.lit(1)).alias("n")), "rule-columns")
-    x = with_rule_lags(narrow, city_window, probe_window, slice_width, slice_rows, counted.get["n"])
+    return narrow, counted.get["n"]
+
+
+def flagged_ids(narrow: DataFrame, rows: int, city_window=CITY_HOP, probe_window=PROBE, slice_width=None, slice_rows=None) -> DataFrame:
+    """(trans_id, any_hop, any_probe) of the ids that rule 3 or 4 flags on any of their rows, from :func:`rule_columns`. Rows without
+    an id take part as predecessors but are never flagged (``NULL IN (...)`` is never true)."""
+    x = with_rule_lags(narrow, city_window, probe_window, slice_width, slice_rows, rows)
     no = F.lit(False)
     x = x.select("trans_id", F.coalesce(city_hop_rule(city_window), no).alias("any_hop"), F.coalesce(amount_probe_rule(probe_window), no).alias("any_probe"))
     x = x.where(F.col("trans_id").isNotNull() & (F.col("any_hop") | F.col("any_probe")))
     return x.groupBy("trans_id").agg(F.max("any_hop").alias("any_hop"), F.max("any_probe").alias("any_probe"))
 
 
-def spread_flags(rows: DataFrame, flagged: DataFrame, broadcast_ids: int = BROADCAST_IDS) -> DataFrame:
+def id_bucket() -> Column:
+    return F.pmod(F.xxhash64("trans_id"), F.lit(ID_BUCKETS).cast("long"))
+
+
+def crowded_buckets(ids: DataFrame, most: int = CROWD_ROWS) -> list[int]:
+    """The hash buckets that hold more than ``most`` rows (or four times an even share, where that is more): every id with as
+    many rows is in one of them. At most a quarter of the ID_BUCKETS numbers reach the driver, nearly always none."""
+    counts = ids.where("trans_id IS NOT NULL").groupBy(id_bucket().alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    counts = written(counts, "id-buckets")
+    even = (counts.agg(F.sum("n")).first()[0] or 0) // ID_BUCKETS
+    return [r.bucket for r in counts.where(F.col("n") > max(most, 4 * even)).collect()]
+
+
+def spread_flags(rows: DataFrame, flagged: DataFrame, broadcast_ids: int = BROADCAST_IDS, ids: DataFrame | None = None,
+                 n_rows: int | None = None, crowd_rows: int = CROWD_ROWS) -> DataFrame:
     """``rows`` with ``any_hop`` and ``any_probe`` of their ids, false where ``flagged`` doesn't list the id.
 
     The ids are written and counted first. Few are sent to all tasks. Of many, a Bloom filter is: rows it rules out have no flag
-    and stay where they are, and only the others are exchanged by id, those of one id over several tasks. That join always
-    shuffles: Spark takes the salted ids for as small as the file of the ids, and would send all of them to the driver and every executor."""
+    and stay where they are, and only the others are exchanged by id. Where the number of rows (``n_rows``) is known and the
+    ids are more than a share of it, all rows are exchanged, and computed once instead of once on either side of the filter. That join
+    always shuffles: Spark may take the ids for small, and would send all of them to the driver and every executor.
+    The rows of a crowded id (by the counts of ``ids``, a written copy of the rows' ids, or of the rows) go over several tasks."""
     counted = Observation()
     flagged = written(flagged.observe(counted, F.count(F.lit(1)).alias("n")), "flagged-ids")
     n = counted.get["n"]
     unflagged = {c: F.coalesce(F.col(c), F.lit(False)) for c in ("any_hop", "any_probe")}
     if n <= broadcast_ids:
         return rows.join(F.broadcast(flagged), "trans_id", "left").withColumns(unflagged)
+    crowded = id_bucket().isin([-1, *crowded_buckets(rows if ids is None else ids, crowd_rows)])  # -1: no bucket, but a list
+    content = F.xxhash64("trans_date", "terminal", "amt", "oper_type")
+    salt = F.when(F.col("trans_id").isNull(), content).when(crowded, F.pmod(content, F.lit(ID_SALTS))).otherwise(F.lit(0).cast("long"))
+    salts = F.when(crowded, F.sequence(F.lit(0), F.lit(ID_SALTS - 1))).otherwise(F.array(F.lit(0))).cast("array<long>")
+    by_id, tasks = ["trans_id", "_salt"], max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(n_rows or 4 * n) // TASK_ROWS))
+    salted = flagged.withColumn("_salt", F.explode(salts)).repartition(tasks, *by_id).hint("merge")
+
+    def meet(some: DataFrame) -> DataFrame:
+        return some.withColumn("_salt", salt).repartition(tasks, *by_id).join(salted, by_id, "left").drop("_salt").withColumns(unflagged)
+
+    if n_rows is not None and n > FILTER_SHARE * n_rows:
+        return meet(rows)
     bits = bits_for(n)
     hit = may_hold(filter_value(flagged, "trans_id", bits), "trans_id", bits)
-    salt = F.pmod(F.xxhash64("trans_date", "terminal", "amt", "oper_type"), F.lit(ID_SALTS)).cast("int")
-    salted = flagged.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(ID_SALTS - 1))))
-    by_id, tasks = ["trans_id", "_salt"], max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n * ID_SALTS // (4 * TASK_ROWS)))
-    salted = salted.repartition(tasks, *by_id).hint("merge")  # narrow rows: four times as many in a task
-    met = rows.where(hit).withColumn("_salt", salt).repartition(tasks, *by_id).join(salted, by_id, "left").drop("_salt").withColumns(unflagged)
     rest = rows.where(~hit).withColumns({c: F.lit(False) for c in unflagged})
-    return met.unionByName(rest)
+    return meet(rows.where(hit)).unionByName(rest)
 
 
 def classify(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE, slice_width=None, slice_rows=None,
@@ -146,7 +176,9 @@ def classify(enriched: DataFrame, city_window=CITY_HOP, probe_window=PROBE, slic
     versions were joined. They are found in a first pass over the rules' columns, and the whole rows meet the few
     flagged ids in a second one (:func:`spread_flags`): no row is exchanged by its id unless it may be flagged.
     """
-    x = spread_flags(enriched, flagged_ids(enriched, city_window, probe_window, slice_width, slice_rows), broadcast_ids)
+    narrow, rows = rule_columns(enriched)
+    flagged = flagged_ids(narrow, rows, city_window, probe_window, slice_width, slice_rows)
+    x = spread_flags(enriched, flagged, broadcast_ids, narrow.select("trans_id"), rows)
     event_type = (F.when(passport_rule(), "1").when(contract_rule(), "2")
                   .when(F.col("any_hop"), "3").when(F.col("any_probe"), "4"))
     return x.withColumn("event_type", event_type)

@@ -21,6 +21,7 @@ latest published load, so a load that stops before it is published changes nothi
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
@@ -262,34 +263,52 @@ class DayDrop:
     archive_dir: str | None = None
 
 
+def _together(steps: list) -> list:
+    """The results of steps that don't read each other's output, run side by side: most of them are short jobs that leave cores
+    idle. If one fails, the others end first and the error is raised."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 def _load_phase(wh: Warehouse, load_id: int, drop: DayDrop) -> None:
     """Stage, load history and facts, advance the marks, publish (the first commit)."""
     # staging and marks (state as of the loads before this one); everything below reads the staged copies
     meta = seed_marks(wh.meta(before=load_id))
-    stages = {"terminals": wh.stage(stage_terminals(drop.terminals, drop.business_date), "stg_terminals", load_id)}
-    keys = {"terminals": stages["terminals"].select("terminal_id")}
-    for dim in ("cards", "accounts", "clients"):
-        source = getattr(drop, dim)
-        stages[dim] = wh.stage(incremental_extract(source, dim, read_mark(meta, f"stg_{dim}")), f"stg_{dim}", load_id)
-        keys[dim] = wh.stage(key_snapshot(source, dim), f"stg_keys_{dim}", load_id)
-    transactions = wh.stage(drop.transactions.select(*TRANSACTIONS_FILE.names), "stg_transactions", load_id)
-    blacklist = wh.stage(stage_blacklist(drop.blacklist), "stg_blacklist", load_id)
-
-    # history: one pass per dimension over its open versions
-    for dim in DIMENSIONS:
+    extracted = ("cards", "accounts", "clients")
+
+    def extract(dim: str) -> DataFrame:
+        mark = read_mark(meta, f"stg_{dim}")
+        return wh.stage(incremental_extract(getattr(drop, dim), dim, mark), f"stg_{dim}", load_id)
+
+    staged = _together([
+        lambda: wh.stage(drop.transactions.select(*TRANSACTIONS_FILE.names), "stg_transactions", load_id),
+        lambda: wh.stage(stage_terminals(drop.terminals, drop.business_date), "stg_terminals", load_id),
+        lambda: wh.stage(stage_blacklist(drop.blacklist), "stg_blacklist", load_id),
+        *[lambda dim=dim: extract(dim) for dim in extracted],
+        *[lambda dim=dim: wh.stage(key_snapshot(getattr(drop, dim), dim), f"stg_keys_{dim}", load_id) for dim in extracted]])
+    transactions, terminals, blacklist = staged[:3]
+    stages = {"terminals": terminals, **dict(zip(extracted, staged[3:6]))}
+    keys = {"terminals": terminals.select("terminal_id"), **dict(zip(extracted, staged[6:]))}
+
+    def load_history(dim: str) -> None:
+        """One pass over the dimension's open versions."""
         wh.write_versions(dim, load_id, stages[dim], keys[dim], drop.load_ts, drop.business_date if dim == "terminals" else None)
 
-    # insert-only facts: only loads that may hold a staged id are read. The transactions by day: gathered by day first, so that the files of a day follow its bytes
-    # and not the tasks (AQE splits a crowded day again)
-    earlier = wh.loads_that_may_hold(transactions, "trans_id", load_id)
-    fresh = new_transactions(transactions, wh.transactions_of(earlier))
-    by_day = fresh.withColumn("trans_day", F.to_date("trans_date")).hint("rebalance", F.col("trans_day"))
-    wh.write(by_day, "fact_transactions", load_id, partition_by="trans_day")
-    wh.write_id_filter(load_id)
-    wh.write(new_blacklist(blacklist, wh.fact("fact_passport_blacklist", before=load_id)),
-             "fact_passport_blacklist", load_id)
-
-    for dim in ("cards", "accounts", "clients"):
+    def load_transactions() -> None:
+        """Insert-only: only loads that may hold a staged id are read. By day: gathered by day first, so that the files of a day follow
+        its bytes and not the tasks (AQE splits a crowded day again)."""
+        earlier = wh.loads_that_may_hold(transactions, "trans_id", load_id)
+        fresh = new_transactions(transactions, wh.transactions_of(earlier))
+        by_day = fresh.withColumn("trans_day", F.to_date("trans_date")).hint("rebalance", F.col("trans_day"))
+        wh.write(by_day, "fact_transactions", load_id, partition_by="trans_day")
+        wh.write_id_filter(load_id)
+
+    def load_blacklist() -> None:
+        wh.write(new_blacklist(blacklist, wh.fact("fact_passport_blacklist", before=load_id)), "fact_passport_blacklist", load_id)
+
+    _together([load_transactions, load_blacklist, *[lambda dim=dim: load_history(dim) for dim in DIMENSIONS]])
+
+    for dim in extracted:
         meta = advance_mark(meta, f"stg_{dim}", stages[dim])
     meta = advance_terminals_mark(meta, stages["terminals"], drop.business_date)
     wh.write(meta, "meta", load_id)

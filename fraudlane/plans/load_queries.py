@@ -105,10 +105,9 @@ def _two_days(spark, sf_dir) -> Warehouse:
     if key in _RUN:
         return _RUN[key]
     wh = Warehouse(spark, scratch_dir(spark, "warehouse"))
-    text = transactions_text(spark, sf_dir)
     for day in (1, 2):
         business_date, load_ts = REPLAY_DAYS[day]
-        drop = DayDrop(business_date, load_ts, business_date, text.where(F.col("trans_date") < FIRST_DROP_UNTIL) if day == 1 else text,
+        drop = DayDrop(business_date, load_ts, business_date, transactions_text(spark, sf_dir, FIRST_DROP_UNTIL if day == 1 else None),
                        blacklist=blacklist_sheet(spark, sf_dir),
                        **{d: replay_source(spark, sf_dir, d, day) for d in ("terminals", "cards", "accounts", "clients")})
         run_day(wh, day, drop, probe_window=PROBE_WINDOW)

@@ -71,10 +71,13 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def transactions_text(spark: SparkSession, sf_dir: str, until: str | None = None) -> DataFrame:
     """The same transactions as the daily text file carries them: all strings, decimal
-    comma, and the event time with its microseconds (the load rounds it to seconds)."""
+    comma, and the event time with its microseconds (the load rounds it to seconds); those
+    before the day ``until``, if given."""
     tr = transactions(spark, sf_dir)
+    if until is not None:
+        tr = tr.where(F.col("trans_date") < ts_lit(f"{until} 00:00:00"))
     return tr.select(
         "trans_id",
         F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("trans_date"),

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF0001
 from fraudlane.functions.bloom import bits_for, filter_value, may_hold
-from fraudlane.operators.lags import HOUR, TASK_ROWS, exact_lags, measured_slices, with_slices
-from fraudlane.operators.rules import classify, spread_flags, with_rule_lags
+from fraudlane.operators.lags import HOUR, TASK_ROWS, exact_lags, joint_lags, measured_slices, with_slices
+from fraudlane.operators.rules import classify, crowded_buckets, spread_flags, with_rule_lags
 from fraudlane.plans.queries import _enriched, bank_tables, with_extra_versions
 
 WEEK = timedelta(days=7)
@@ -144,3 +144,45 @@ def test_window_tasks_have_a_bounded_number_of_rows(spark, enriched):
         numbers = [int(n) for n in re.findall(rf"hashpartitioning\({keys}[^\n]*?, (\d+)\), REPARTITION_BY_NUM", text)]
         assert numbers and set(numbers) == {-(-100_000_000 // TASK_ROWS)}, text[:3000]
     assert "REPARTITION_BY_NUM" not in plan(with_rule_lags(enriched, probe_window=WEEK, rows=1000))
+
+
+def test_windows_over_slices_are_computed_once(spark, enriched):
+    """One exchange by client and slice serves the rules' windows, and nothing is joined back to the rows by slice."""
+    text = plan(with_rule_lags(enriched, probe_window=WEEK, slice_rows=5, rows=100_000_000))
+    assert text.count("REPARTITION_BY_NUM") == 1 and "Join [_pkey" not in text
+
+
+def test_joint_lags_equal_plain_windows(spark):
+    df = hot_null_client(spark).withColumn("kind", F.col("amt") % 3)
+    df = df.unionByName(df.where("trans_id < 'n00900'").withColumn("client_id", F.lit("d")))  # a second hot client
+    order = ["trans_date", "trans_id"]
+    windows = [((), {"d1": ("trans_date", 1), "a1": ("amt", 1)}), (("kind",), {"k1": ("amt", 1), "k3": ("trans_id", 3)})]
+    by = [F.col(c).asc_nulls_last() for c in order]
+    lags = [F.lag(c, k).over(Window.partitionBy("client_id", *cols).orderBy(*by)).alias(o) for cols, specs in windows for o, (c, k) in specs.items()]
+    want = sorted(map(repr, df.select("*", *lags).collect()))
+    for slice_rows in (1, 2, 40, 250):
+        slices = measured_slices(df, ["client_id"], "trans_date", slice_rows)
+        got = joint_lags(df, ["client_id"], windows, order, "trans_date", slices, rows=1_000_000)
+        assert sorted(map(repr, got.select(*df.columns, "d1", "a1", "k1", "k3").collect())) == want, slice_rows
+
+
+def test_only_crowded_ids_are_spread(spark):
+    ids = spark.range(3000).select(F.when(F.col("id") < 1000, "hot").otherwise(F.concat(F.lit("i"), "id")).alias("trans_id"))
+    ids = ids.unionByName(spark.createDataFrame([(None,)] * 2000, "trans_id string"))
+    assert len(crowded_buckets(ids, 500)) == 1 and crowded_buckets(ids, 1500) == [] and crowded_buckets(ids.limit(0), 500) == []
+    rows = ids.select("trans_id", F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz").alias("trans_date"), F.monotonically_increasing_id().alias("amt"),
+                      F.lit("T1").alias("terminal"), F.lit("PAYMENT").alias("oper_type"))
+    flagged = spark.createDataFrame([("hot", True, False), ("i2000", False, True)], "trans_id string, any_hop boolean, any_probe boolean")
+    for n_rows in (None, 5, 5_000_000):  # through a filter, all rows at once, and with far more rows than flagged ids
+        got = spread_flags(rows, flagged, 0, ids, n_rows, 500)
+        assert got.count() == 5000 and got.where("any_hop").count() == 1000 and got.where("any_probe").count() == 1
+    text = plan(spread_flags(rows, flagged, 0, ids, 5, 500))
+    assert "ubquery" not in text and "SortMergeJoin [trans_id" in text
+
+
+def test_steps_side_by_side_raise_the_first_error():
+    from fraudlane.plans.daily import _together
+    done = []
+    with pytest.raises(ZeroDivisionError):
+        _together([lambda: 1 / 0, lambda: done.append(1)])
+    assert done == [1] and _together([lambda: 1, lambda: 2]) == [1, 2]
