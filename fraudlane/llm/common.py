@@ -18,15 +18,21 @@ def shared_folder(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{tag}-{uuid.uuid4().hex[:12]}"
 
 
-def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
-    """Write ``df`` to shared Parquet and read it back: cuts the lineage, so what follows neither
-    recomputes it nor depends on the executors that made it."""
+def materialise(df: DataFrame, tag: str, codec: str = "zstd", level: int = 3, path: str | None = None) -> DataFrame:
+    """Write ``df`` to shared Parquet (in a new folder, or in ``path``) and read it back: cuts the lineage, so what follows neither
+    recomputes it nor depends on the executors that made it. ``level`` is that of zstd."""
     spark = df.sparkSession
-    path = shared_folder(spark, tag)
-    df.write.option("compression", codec).parquet(path)
+    path = path or shared_folder(spark, tag)
+    df.write.option("compression", codec).option("parquet.compression.codec.zstd.level", str(level)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Give back the disk of a table that materialise has written and nothing reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def set_apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with all columns under names that no operator uses itself, and these names by the columns' own."""
     names = {c: f"_given_{k}" for k, c in enumerate(docs.columns)}

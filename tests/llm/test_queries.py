@@ -99,6 +99,36 @@ def test_training_order_query_returns_what_its_files_hold(spark, monkeypatch, sc
     assert {r.slot: tuple(r) for r in rows} == {r.slot: tuple(r) for r in want} and [r.slot for r in rows] == sorted(r.slot for r in rows)
 
 
+def test_records_cross_the_shuffle_in_packed_groups(spark):
+    import pyarrow as pa
+    from fraudlane.llm.training_order import _pack, pack_groups, unpack_groups
+    records = token_records(spark.read.parquet(f"{SF0001}/documents.parquet"), rank_file(), END_TOKEN, 64)
+    given = [bytes(r.record) for r in records.orderBy("part", "ordinal").collect()]
+    order, batches = Permutation(len(given), 9), []
+    for a in range(0, len(given), 300):
+        batches.append(pa.RecordBatch.from_arrays([pa.array(range(a, min(a + 300, len(given))), pa.int64()), pa.array(given[a:a + 300], pa.binary())], names=["index", "record"]))
+    groups = list(pack_groups(order, 50, 3, gathered=1000)(iter(batches)))
+    assert all(g.num_rows <= 3 and g["task"].to_pylist() == sorted(g["task"].to_pylist()) for g in groups) and len(groups) == -(-len(given) // 1200)
+    assert sum(len(p) for g in groups for p in g["packed"].to_pylist()) < 0.9 * sum(len(_pack(r)) for r in given)
+    shards = -(-len(given) // 50)
+    for g in groups:
+        slots = [np.frombuffer(s, "<i8") for s in g["slots"].to_pylist()]
+        assert all((s // 50 * 3 // shards == t).all() for s, t in zip(slots, g["task"].to_pylist()))
+    back = [r for b in unpack_groups(128)(g.select(["slots", "packed"]) for g in groups) for r in zip(b["slot"].to_pylist(), b["record"].to_pylist())]
+    assert dict(back) == {int(s): r for s, r in zip(order.slot(np.arange(len(given))), given)} and len(back) == len(given)
+
+
+def test_training_order_leaves_its_shards_alone(spark, monkeypatch, scratch):
+    """The table of the records is gone once the shards are written, and the records aren't packed one by one."""
+    import os
+    from fraudlane.llm import training_order
+    for module in (queries, training_order):
+        monkeypatch.setattr(module, "shared_folder", lambda spark, tag: f"{scratch}/{tag}")
+    rows = QUERIES["op1_training_order"](spark, SF0001)
+    assert "ArrowEvalPython" not in rows._jdf.queryExecution().executedPlan().toString()
+    assert "token-records" not in os.listdir(scratch) and sorted(os.listdir(f"{scratch}/training-shards")) == ["index", "records"] and rows.count() > 0
+
+
 def test_ring_shards_are_even_and_gapless(spark, docs):
     rows = QUERIES["op4_ring_shards"](spark, SF0001).collect()
     assert {r.doc_id: (r["size"], r.text_crc32) for r in rows} == {
