@@ -8,23 +8,31 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 
+def _with_degrees(links: DataFrame) -> DataFrame:
+    """``links`` with n_a and n_b, the number of links of each end."""
+    n = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    return links.join(n.toDF("a", "n_a"), "a").join(n.toDF("b", "n_b"), "b")
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, root) for every node of links (a, b); the roots name the components.
 
-    In each round every node points to the node of least priority among its neighbours and itself,
-    and the links between the nodes pointed to make the next, smaller graph. Priorities are hashes of
-    node and round, so a path shrinks by a constant share in each round however its ids are ordered.
-    A neighbourhood is only ever a minimum, never a list.
+    In each round every node points to the first of its neighbours and itself, and the links between
+    the nodes pointed to make the next, smaller graph. In every second round the order is by a hash of
+    node and round, so a path shrinks by a constant share however its ids are ordered; in the others
+    nodes of more links come first, so a star becomes one node, where by hashes about half of its leaves would stay.
+    A neighbourhood is only ever a minimum or a count, never a list.
     """
     links = materialise(links.select("a", "b").where("a != b").distinct(), "links")
     roots, step = None, 0
     while not links.isEmpty():
         step += 1
-        priority = lambda c: F.struct(F.xxhash64(F.col(c), F.lit(step)).alias("p"), F.col(c).alias("node"))
-        ends = links.select(F.col("a").alias("node"), priority("b").alias("to")).unionByName(
-            links.select(F.col("b").alias("node"), priority("a").alias("to")))
+        priority = lambda c: F.struct((-F.col(f"n_{c}")).alias("n"), F.xxhash64(F.col(c), F.lit(step)).alias("p"), F.col(c).alias("node"))
+        ranked = _with_degrees(links) if step % 2 else links.withColumns({"n_a": F.lit(0), "n_b": F.lit(0)})
+        # both ends come with the link, so a node's own priority is at hand
+        ends = ranked.select(F.explode(F.array("a", "b")).alias("node"), F.least(priority("a"), priority("b")).alias("to"))
         point = ends.groupBy("node").agg(F.min("to").alias("to"))
-        point = materialise(point.select("node", F.least("to", priority("node"))["node"].alias("root")), "points")
+        point = materialise(point.select("node", F.col("to.node").alias("root")), "points")
         if roots is None:
             roots = point
         else:

@@ -211,7 +211,7 @@ def linked(pairs: DataFrame, near: DataFrame, percent: int) -> DataFrame:
     b = pieces.select(F.col("class").alias("b"), F.col("part").alias("part_b"), F.col("piece").alias("pb"))
     met = pairs.join(a, "a").join(b, (pairs["b"] == b["b"]) & (a["part"] == b["part_b"])).select(
         pairs["a"], pairs["b"], "na", "nb", F.size(F.array_intersect("pa", "pb")).alias("overlap"))
-    summed = met.groupBy("a", "b", "na", "nb").agg(F.sum("overlap").alias("overlap"))
+    summed = met.groupBy("a", "b").agg(F.first("na").alias("na"), F.first("nb").alias("nb"), F.sum("overlap").alias("overlap"))  # by a and b, so that they are distinct
     return summed.where(100 * F.col("overlap") >= percent * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
 
 
@@ -227,8 +227,7 @@ def class_components(near: DataFrame, percent: int) -> DataFrame:
     prefix = near.select("class", "n", "m", F.explode(F.slice("tokens", 1, F.col("prefix"))).alias("token"))
     hub = prefix.groupBy("token").agg(F.min(F.struct((F.col("n") - F.col("m")).alias("own"), "class", "n", "m")).alias("h"))
     hub = hub.select("token", "h.class", "h.n", "h.m")
-    first = materialise(linked(_pairs(prefix, hub, F.col("a.class") != F.col("b.class"), percent), near, percent), "hub-links")
-    so_far = connected(first)
+    so_far = connected(linked(_pairs(prefix, hub, F.col("a.class") != F.col("b.class"), percent), near, percent))
     rooted = near.join(so_far.select(F.col("node").alias("class"), "root"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     entries = lambda length: rooted.select("class", "n", "m", "root", F.explode(F.slice("tokens", 1, F.col(length))).alias("token"))
     smaller = F.struct("a.n", "a.m", "a.class") < F.struct("b.n", "b.m", "b.class")

@@ -344,6 +344,27 @@ def test_jaccard_on_a_cloud_of_near_copies(spark):
         assert got == brute_components(texts, width, percent), (width, percent)
 
 
+def test_stars_of_links_contract_in_few_rounds(spark, monkeypatch):
+    """A hub's leaves go in the first round, whatever their hashes; chains of hubs, a path and a cycle come out as brute force has them."""
+    from fraudlane.llm import components
+    written = []
+    monkeypatch.setattr(components, "materialise", lambda df, tag, **k: written.append(tag) or materialise(df, tag, **k))
+
+    def rounds(pairs):
+        written.clear()
+        got = {r.node: r.root for r in components.connected(spark.createDataFrame(pairs, "a long, b long")).collect()}
+        parent = {k: k for pair in pairs for k in pair}
+        find = lambda k: k if parent[k] == k else find(parent[k])
+        for a, b in pairs:
+            parent[find(b)] = find(a)
+        assert set(got) == set(parent) and len({(find(k), r) for k, r in got.items()}) == len(set(got.values())) == len(set(map(find, parent)))
+        return written.count("points")
+
+    assert rounds([(7, k) for k in range(10, 1500)]) == 1
+    assert rounds([(h, 1000 * h + k) for h in range(1, 5) for k in range(200)] + [(1, 2), (2, 3), (3, 4), (4, 4)]) <= 3
+    assert rounds([(k, k + 1) for k in range(300)] + [(k + 1, k) for k in range(1000, 1050)] + [(1050, 1000)]) <= 12
+
+
 def test_token_counts_are_the_librarys(spark, docs):
     from tokenizers import Tokenizer
     t = Tokenizer.from_str(tokenizer_json())
