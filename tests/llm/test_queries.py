@@ -521,3 +521,17 @@ def test_pipeline_stages_against_brute_force(spark):
     assert sorted(r.slot for r in records) == list(range(len(records)))
     assert {d for r in records for d in r.doc_ids} == set(copies)
     assert corpus_pipeline.run(spark, SF0001).count() == len(records)
+
+
+def test_pipeline_orders_records_in_packed_groups(spark, monkeypatch, scratch):
+    """The last stage shares op1's writer: no record crosses a shuffle by itself, and the table of the records goes."""
+    from fraudlane.llm import training_order
+    for module in (corpus_pipeline, training_order):
+        monkeypatch.setattr(module, "shared_folder", lambda spark, tag: f"{scratch}/{tag}")
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet")
+    rows = corpus_pipeline.training_order(spark, docs, SF0001).collect()
+    assert not os.path.exists(f"{scratch}/token-records") and sorted(os.listdir(f"{scratch}/training-shards")) == ["index", "records"]
+    records = token_records(docs, rank_file(), END_TOKEN, corpus_pipeline.RECORD_TOKENS, path=f"{scratch}/again")
+    want = in_training_order(records, corpus_pipeline.ORDER_KEY, corpus_pipeline.RECORDS_PER_SHARD).collect()
+    assert {r.slot: tuple(r) for r in rows} == {
+        r.slot: (r.slot, r.shard, r.place, r.n_tokens, [d.doc_id for d in r.docs], zlib.crc32(r.record)) for r in want} and len(rows) == len(want)
