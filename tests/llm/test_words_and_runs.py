@@ -88,6 +88,20 @@ def test_variant_groups_of_the_documents(spark, texts):
     assert sum(r.form is not None for r in got.values()) > 5
 
 
+def test_misspelt_words_are_made_once(spark):
+    """No filter repeats the making of a word, and only A-Z are lowered."""
+    docs = spark.createDataFrame([(1, "ÀÉÎÕÜÝÞß Abcdefgh ABCDEFGH abcdefgi ÀÉÎÕÜÝÞß"), (2, None), (3, "Élevage abcdefgh ÉLEVAGE Abcdefgi")], "doc_id long, text string")
+    made = queries._misspelt_words(docs)
+    assert not [x for x in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x and "crc32" in x]
+    want = collections.Counter()
+    for r in docs.where("text IS NOT NULL").collect():
+        for run in re.findall("[A-Za-zÀ-ÿ]+", r.text):
+            run = re.sub("[A-Z]", lambda m: m[0].lower(), run)
+            h = zlib.crc32(f"{r.doc_id}:{run}".encode())
+            want[run[:h % len(run)] + run[h % len(run) + 1:] if h % 31 == 0 else run] += 1
+    assert {r.word: r.n for r in made.collect()} == {w: n for w, n in want.items() if n >= 2 and len(w) >= 7}
+
+
 def test_near_words_of_a_dense_vocabulary(spark):
     rng = random.Random(3)
     words = {"".join(rng.choice("abé") for _ in range(rng.randint(2, 7))) for _ in range(250)} | {"aa", "ab", "aaa", "aaaa", "a" * 40, "a" * 41, "\U0001F600a", "\U0001F600b"}
