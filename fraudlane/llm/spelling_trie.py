@@ -1,16 +1,14 @@
-"""Spelling variant grouping: words one edit apart, found by walking a trie held as a table of edges.
-
-Two tries are one table: of the words and of the reversed words, each closed by an end mark. An edge is (node, symbol, child),
-a node being the hash of its way and prefix; an edge below which a single word lies carries that word. A state is
-(word, position, node, edits). With no edit made a word stands on its own path, so those states are known without a
-walk: one for each prefix from the half of the word on. There the word may be edited: a symbol of the trie in place of
-its own (of a pair of words, the one with the lesser symbol does it), or one more. The states with one edit are the frontier. Level by level it
-is joined with the edges by node and next symbol, until an edge carries a word: if the rest of both is equal, the words
-are neighbours. An edge also names the symbols that follow it, so that states that lead no further are not written. An edit in a word's first half is one in the second half of the reversed word, and a word with a symbol less
-is met by the walk of the other; so each pair is found, while no state is made at the wide nodes near the root.
-Every found pair is held against ``levenshtein``, so that two prefixes with one hash could not make a false one.
-
-The rounds are as many as the longest path that two words share behind an edit; each is written to the shared folder.
+"""Spelling variant grouping: words one edit apart, found by the edges of a trie held as a table.
+
+Two tries are one table: of the words and of the reversed words, each closed by an end mark. A node is the hash of its way and
+prefix; its edges are symbols, each with a fingerprint of the rests of the words below it: the least and the most of their hashes, and which of
+256 marks they set. Nodes with one edge are left out, as no word can be edited there. With no edit made a word stands on its own path, so those
+states are known without a walk: one for each prefix from the half of the word on. There it meets the edges of its node and may be edited: a symbol of the trie
+in place of its own (of a pair of words, the one with the lesser symbol does it), or one more. What is left of the word behind the edit
+must then be a rest below that edge. Its hash is known too, so the fingerprint tells most edits that lead to no word, without a walk
+down the edges; the others are spelt out and looked up among the words. An edit in a word's first half is one in the second half of the
+reversed word, and a word with a symbol less is met by the state of the other; so each pair is found, while no state is made at the wide nodes near the root.
+Hashes only tell what need not be looked up: two prefixes or rests with one hash cost a look-up, and neither make nor lose a pair.
 
 Defined cases: null words and words of fewer than two code points are left out; repeated words count as one word with their summed n (null as
 0); an empty table gives an empty result; columns beside word and n don't matter and don't come back. Words of any length, U+0003 not being in them
@@ -25,7 +23,10 @@ from pyspark.sql import functions as F
 from .common import materialise
 
 END = "\x03"
-PAIR = "a string, a_n long, b string, b_n long"
+#: The marks of a fingerprint, 64 in each column.
+MARKS = ("marks_0", "marks_1", "marks_2", "marks_3")
+#: Words of one task where their states and edges are made, some twenty for each word.
+WORDS_A_TASK = 50_000
 
 
 def counted(words: DataFrame, word_col: str = "word", n_col: str = "n") -> DataFrame:
@@ -46,68 +47,64 @@ def _node(depth) -> Column:
     return F.xxhash64("way", F.substring("spelt", F.lit(1), depth))
 
 
-def trie_edges(walks: DataFrame) -> DataFrame:
-    """(node, symbol, child, only, after): the edges of both tries below the shortest half of a word; ``only`` is the single
-    word below an edge (spelt, n, depth of the node), or null; ``after`` are the symbols that follow its child, if there are more words."""
-    size = F.char_length("spelt")
-    # a word enters the trie by each of its prefixes; those before its half are needed where a shorter word walks
-    shortest = walks.agg(F.coalesce(F.min(F.floor(size / 2)), F.lit(0)).cast("int")).first()[0]
-    steps = walks.select("way", "spelt", "n", F.explode(F.sequence(F.lit(shortest), size)).alias("depth"))
-    symbol = F.when(F.col("depth") == size, F.lit(END)).otherwise(F.substring("spelt", F.col("depth") + 1, F.lit(1)))
-    edges = steps.select(_node(F.col("depth")).alias("node"), symbol.alias("symbol"), "way", "spelt", "n", "depth")
-    below = edges.groupBy("node", "symbol").agg(
-        F.count(F.lit(1)).alias("words"), F.min(F.struct("spelt", "n", "depth", "way")).alias("least"))
-    child = F.xxhash64(F.col("least.way"), F.substring("least.spelt", F.lit(1), F.col("least.depth") + 1))
-    only = F.when(F.col("words") == 1, F.struct(F.col("least.spelt").alias("spelt"), F.col("least.n").alias("n"), F.col("least.depth").alias("depth")))
-    below = materialise(below.select("node", "symbol", child.alias("child"), only.alias("only")), "trie-steps")
-    after = below.groupBy(F.col("node").alias("child")).agg(F.array_join(F.collect_list("symbol"), "").alias("after"))
-    return below.join(after, "child", "left")
+def _rest(position: Column) -> Column:
+    """What follows the first ``position`` symbols."""
+    return F.substring("spelt", position + 1, F.char_length("spelt"))
 
 
-def _alive() -> Column:
-    """Whether a state leads on: the rest of its word equals that of the single word of its edge, or its next symbol follows the edge."""
-    same = _rest(F.col("spelt"), F.col("position")) == _rest(F.col("only.spelt"), F.col("only.depth") + 1)
-    return F.when(F.col("only").isNotNull(), same).otherwise(F.contains("after", _next()))
+def _marks(rest: str) -> list[Column]:
+    """For each of MARKS the bit that the hash in column ``rest`` sets: one bit in one of them."""
+    bit = F.expr(f"shiftleft(1L, cast({rest} & 63 AS int))")
+    return [F.when(F.expr(f"(shiftright({rest}, 6) & {len(MARKS) - 1}) = {k}"), bit).otherwise(F.lit(0)) for k in range(len(MARKS))]
 
 
-def _next() -> Column:
-    return F.coalesce(F.nullif(F.substring("spelt", F.col("position") + 1, F.lit(1)), F.lit("")), F.lit(END))
+def trie_branches(walks: DataFrame) -> DataFrame:
+    """(node, edges): the nodes of both tries with two edges or more, from the shortest half of a word on; an edge is its symbol and
+    the fingerprint (least, most, MARKS) of what follows the symbol in the words below."""
+    size = F.char_length("spelt")
+    # a word enters the trie by each of its prefixes; those before its half are needed where a shorter word stands
+    shortest = walks.agg(F.coalesce(F.min(F.floor(size / 2)), F.lit(0)).cast("int")).first()[0]
+    steps = walks.select("way", "spelt", F.explode(F.sequence(F.lit(shortest), size)).alias("depth"))
+    symbol = F.when(F.col("depth") == size, F.lit(END)).otherwise(F.substring("spelt", F.col("depth") + 1, F.lit(1)))
+    edges = steps.select(_node(F.col("depth")).alias("node"), symbol.alias("symbol"), F.xxhash64(_rest(F.col("depth") + 1)).alias("rest"))
+    # numbers only, so that they are summed in place; a node has an edge for each symbol at most
+    edges = edges.groupBy("node", "symbol").agg(F.min("rest").alias("least"), F.max("rest").alias("most"),
+                                                *[F.bit_or(mark).alias(c) for c, mark in zip(MARKS, _marks("rest"))])
+    return edges.groupBy("node").agg(F.collect_list(F.struct("symbol", "least", "most", *MARKS)).alias("edges")).where(F.size("edges") > 1)
 
 
-def _rest(spelt: Column, position: Column) -> Column:
-    """What follows the first ``position`` symbols."""
-    return F.substring(spelt, position + 1, F.char_length(spelt))
+def _below(rest: str) -> Column:
+    """Whether the hash ``rest``, with its bits in columns named after it, may be that of a rest below the edge."""
+    common = F.lit(0)
+    for c in MARKS:
+        common = common.bitwiseOR(F.col(c).bitwiseAND(F.col(f"{rest}_{c}")))
+    return F.col(rest).between(F.col("least"), F.col("most")) & (common != 0)
 
 
 def near_words(words: DataFrame) -> DataFrame:
     """(a, a_n, b, b_n): all ordered pairs of words (word, n; see ``counted``) that differ by one inserted, deleted or
-    replaced code point."""
-    walks = materialise(_both_ways(words), "trie-walks")
-    edges = materialise(trie_edges(walks), "trie-edges")
-    size = F.char_length("spelt")
+    replaced code point. ``words`` is read several times, so it had better be a written table."""
+    walks = _both_ways(words.repartition(1 + words.count() // WORDS_A_TASK, "word"))
+    size, position = F.char_length("spelt"), F.col("position")
     # the states without an edit, from the half of each word to its end
     exact = walks.select("way", "spelt", "n", F.explode(F.sequence(F.floor(size / 2).cast("int"), size)).alias("position"))
-    exact = exact.select("way", "spelt", "n", "position", _node(F.col("position")).alias("node"))
-    own = F.substring("spelt", F.col("position") + 1, F.lit(1))  # empty at the end
-    edited = exact.join(edges.where(F.col("symbol") != END), "node").where(F.col("symbol") != own)
-    replaced = F.when((own != "") & (F.col("symbol") > own), F.array(F.col("position"), F.col("position") + 1)).otherwise(F.array("position"))
-    edited = edited.select("way", "spelt", "n", "only", "after", F.col("child").alias("node"), F.explode(replaced).alias("position"))
-    found, states = None, edited
-    while True:
-        states = materialise(states.where(_alive()).drop("after"), "trie-frontier")
-        hits = states.where("only IS NOT NULL").select("way", "spelt", "n", F.col("only.spelt").alias("b"), F.col("only.n").alias("b_n"))
-        found = hits if found is None else found.unionByName(hits)
-        onward = states.where("only IS NULL").drop("only")
-        if onward.isEmpty():
-            break
-        onward = onward.withColumn("symbol", _next()).join(edges, ["node", "symbol"])
-        states = onward.select("way", "spelt", "n", "only", "after", F.col("child").alias("node"), (F.col("position") + 1).alias("position"))
+    exact = exact.select("way", "spelt", "n", "position", _node(position).alias("node"))
+    own = F.substring("spelt", position + 1, F.lit(1))  # empty at the end
+    met = exact.join(trie_branches(walks), "node").select("way", "spelt", "n", "position", "edges", own.alias("own"), F.xxhash64(_rest(position)).alias("kept"),
+                                                          F.xxhash64(_rest(position + 1)).alias("skipped"))
+    # hashes and bits are made once for a state, then held against each edge of its node
+    met = met.select("*", *[mark.alias(f"{rest}_{c}") for rest in ("kept", "skipped") for c, mark in zip(MARKS, _marks(rest))])
+    met = met.select("*", F.inline("edges")).where((F.col("symbol") != F.col("own")) & (F.col("symbol") != END))
+    edited = lambda k: F.concat(F.substring("spelt", F.lit(1), position), "symbol", _rest(position + k))
+    one_more, replaced = _below("kept"), (F.col("own") != "") & (F.col("symbol") > F.col("own")) & _below("skipped")
+    made = F.when(one_more & replaced, F.array(edited(0), edited(1))).when(one_more, F.array(edited(0))).when(replaced, F.array(edited(1)))
+    made = met.select("way", "spelt", "n", F.explode(made).alias("made"))
     forward = lambda c: F.when(F.col("way") == 0, F.col(c)).otherwise(F.reverse(F.col(c)))
-    pairs = found.select(forward("spelt").alias("a"), F.col("n").alias("a_n"), forward("b").alias("b"), "b_n")
-    pairs = pairs.where(F.levenshtein("a", "b", 1) == 1)
+    made = made.select(forward("spelt").alias("a"), F.col("n").alias("a_n"), forward("made").alias("b"))
+    pairs = made.join(words.select(F.col("word").alias("b"), F.col("n").alias("b_n")), "b")
     mirrored = pairs.select(F.explode(F.array(F.struct("a", "a_n", "b", "b_n"), F.struct(
         F.col("b").alias("a"), F.col("b_n").alias("a_n"), F.col("a").alias("b"), F.col("a_n").alias("b_n")))).alias("p")).select("p.*")
-    return mirrored.distinct()
+    return mirrored.repartition("a").distinct()  # dealt by a, so that a count by a needs no other shuffle
 
 
 def variant_groups(words: DataFrame, ratio: int = 10, word_col: str = "word", n_col: str = "n") -> DataFrame:

@@ -11,8 +11,11 @@ import numpy as np
 import pytest
 import sentencepiece
 
+from pyspark.sql import functions as F
+
 from conftest import SF0001
-from fraudlane.llm import queries  # noqa: F401
+from fraudlane.llm import queries, spelling_trie  # noqa: F401
+from fraudlane.llm.common import materialise
 from fraudlane.llm.periodic_runs import periodic_runs, runs_of
 from fraudlane.llm.piece_bpe import PieceModel, decode_texts, encode_texts
 from fraudlane.llm.registry import QUERIES
@@ -112,6 +115,26 @@ def test_near_words_of_a_dense_vocabulary(spark):
     assert groups(variant_groups(df, ratio=2)) == brute_groups(counts, 2)
 
 
+def test_tables_written_do_not_grow_with_the_words(spark, monkeypatch):
+    """The path that two words share behind an edit takes no rounds, whatever its length."""
+    def written(side: str) -> int:
+        tags = []
+        monkeypatch.setattr(spelling_trie, "materialise", lambda df, tag: (tags.append(tag), materialise(df, tag))[1])
+        counts = {side + mid + side + last: n for mid, n in (("or", 5), ("our", 900), ("ar", 70), ("er", 8)) for last in ("a", "bc", "bd")}
+        assert groups(variant_groups(spark.createDataFrame(list(counts.items()), "word string, n long"))) == brute_groups(counts)
+        return len(tags)
+    assert written("col") == written("colabcdéfghijklmnopq")
+
+
+def test_equal_hashes_neither_make_nor_lose_a_pair(spark, monkeypatch):
+    rng = random.Random(5)
+    words = {"".join(rng.choice("abé") for _ in range(rng.randint(2, 6))) for _ in range(60)}
+    df = spark.createDataFrame([(w, 1) for w in words], "word string, n long")
+    monkeypatch.setattr(spelling_trie, "_node", lambda depth: F.lit(7).cast("long"))
+    got = [(r.a, r.b) for r in near_words(df).collect()]
+    assert sorted(got) == sorted((a, b) for a in words for b in words if one_edit(a, b))
+
+
 def test_variant_groups_of_odd_words(spark):
     rows = [("colour", 50), ("colour", 50), ("color", 9), ("colr", 1), (None, 7), ("", 3), ("a", 2), ("nulln", None), ("nullns", 4)]
     df = spark.createDataFrame(rows, "word string, n long")
